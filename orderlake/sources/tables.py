@@ -92,7 +92,7 @@ ITEM_COLS = ["productId", "quantity", "unitPrice", "discount", "price"]
 
 
 def typed_documents(orders: DataFrame, lineitem: DataFrame, dirty: bool = True,
-                    with_detail: bool = True) -> DataFrame:
+                    with_detail: bool = True, keep_key: bool = False) -> DataFrame:
     """Public order documents (header + ``OrderDetail``) as stored on the ledger.
 
     Dates are text (``yyyy-MM-dd HH:mm:ss``; a missing date is ``""``, the
@@ -117,6 +117,7 @@ def typed_documents(orders: DataFrame, lineitem: DataFrame, dirty: bool = True,
     empty = F.array().cast("array<struct<productId:string,quantity:int,unitPrice:double,"
                            "discount:double,price:double>>")
     return j.select(
+        *(["orderKey"] if keep_key else []),
         "orderId", "customerIdHash", "employee", "orderDate", "requiredDate", "shippedDate",
         "shipperID", "freight", "status", "approvedByOrg1",
         F.struct(F.col("orderId").alias("orderId"),
