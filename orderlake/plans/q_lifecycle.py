@@ -1 +1,136 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: lifecycle commands and replay over the event log derived from the tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from orderlake.operators import lifecycle as L
+from orderlake.operators.nest import nest_items
+from orderlake.plans.registry import register
+from orderlake.plans.sql_fragments import HEADER, with_views
+from orderlake.sources import tables as T
+from orderlake.sources.events import events_sql, lifecycle_events
+
+_EV = events_sql()
+_CLEAN_LINES_N = """SELECT cast(l_orderkey AS varchar) AS orderId, count(*) AS n_items,
+       cast(sum(cast(l_quantity AS integer)) AS bigint) AS units FROM lineitem GROUP BY l_orderkey"""
+
+
+def _events(spark, sf):
+    return lifecycle_events(spark, sf)
+
+
+def _headers(spark, sf):
+    return T.order_headers(T.read_table(spark, sf, "orders"))
+
+
+def _org2_details(spark, sf):
+    """Org2's private detail rows: one per order (lines nested, empty list when none)."""
+    h = _headers(spark, sf).select("orderKey", "orderId")
+    lines = T.order_lines(T.read_table(spark, sf, "lineitem"), dirty=False)
+    n = nest_items(lines, "orderKey", T.ITEM_COLS, sort_cols=["lineNumber"])
+    j = h.join(n, "orderKey", "left")
+    empty = F.array().cast("array<struct<productId:string,quantity:int,unitPrice:double,"
+                           "discount:double,price:double>>")
+    return j.select("orderId", F.struct(F.col("orderId").alias("orderId"), F.coalesce("items", empty).alias("items"),
+                                        F.coalesce("total", F.lit(0.0)).alias("total")).alias("detail"))
+
+
+def _units(items):
+    return F.aggregate(items, F.lit(0).cast("bigint"), lambda a, x: a + x["quantity"])
+
+
+@register("first_create_wins", with_views(
+    """SELECT orderId, block, tx, org FROM ev WHERE function = 'CreateOrder'
+       QUALIFY row_number() OVER (PARTITION BY orderId ORDER BY block, tx) = 1""", ev=_EV))
+def q_first_create_wins(spark, sf):
+    return L.first_create_wins(_events(spark, sf)).select("orderId", "block", "tx", "org")
+
+
+@register("create_orders", with_views(
+    """SELECT orderId, sha256(customerId) AS customerIdHash, 'CREATED' AS status, FALSE AS approvedByOrg1,
+              block, tx
+       FROM ev
+       WHERE function = 'CreateOrder' AND org = 'Org2MSP' AND customerId IS NOT NULL AND has_meta AND has_details
+         AND orderId NOT IN (SELECT cast(o_orderkey AS varchar) FROM orders WHERE o_orderstatus = 'F')
+       QUALIFY row_number() OVER (PARTITION BY orderId ORDER BY block, tx) = 1""", ev=_EV))
+def q_create_orders(spark, sf):
+    state = _headers(spark, sf).filter(F.col("status") == "APPROVED").join(
+        T.read_table(spark, sf, "orders").filter(F.col("o_orderstatus") == "F")
+         .select(F.col("o_orderkey").alias("orderKey")), "orderKey", "left_semi")
+    out = L.create_orders(state, _events(spark, sf))
+    return out.select("orderId", "customerIdHash", "status", "approvedByOrg1", "block", "tx")
+
+
+@register("verify_customers", with_views(
+    """SELECT ev.orderId, ev.block, ev.tx, r.reason IS NULL AS verified,
+              CASE WHEN r.reason IS NULL THEN 'APPROVED' END AS status, r.reason
+       FROM ev
+       LEFT JOIN h ON h.orderId = ev.orderId
+       CROSS JOIN LATERAL (SELECT CASE
+            WHEN ev.org <> 'Org1MSP' THEN 'only Org1 can verify customer'
+            WHEN h.customerIdHash IS NULL THEN 'order not found in world state'
+            WHEN ev.customerId IS NULL THEN 'missing customerId'
+            WHEN sha256(ev.customerId) <> h.customerIdHash THEN 'customer mismatch between Org1 and Org2'
+            END AS reason) r
+       WHERE ev.function = 'VerifyCustomer'""", ev=_EV, h=HEADER))
+def q_verify_customers(spark, sf):
+    claims = _events(spark, sf).filter(F.col("function") == L.VERIFY)
+    return L.verify_customers(_headers(spark, sf), claims)
+
+
+_SHARE_SQL = with_views(
+    """SELECT DISTINCT o.orderId, coalesce(n.n_items, 0) AS n_items, coalesce(n.units, 0) AS units
+       FROM (SELECT cast(o_orderkey AS varchar) AS orderId FROM orders) o
+       JOIN ev ON ev.orderId = o.orderId AND ev.function = 'ShareOrderDetailsToOrg1' AND ev.org = 'Org2MSP'
+       LEFT JOIN n ON n.orderId = o.orderId""", ev=_EV, n=_CLEAN_LINES_N)
+
+
+@register("share_details", _SHARE_SQL)
+def q_share_details(spark, sf):
+    reqs = _events(spark, sf).filter(F.col("function") == L.SHARE)
+    s = L.share_details(_org2_details(spark, sf), reqs)
+    return s.select("orderId", F.size("detail.items").cast("bigint").alias("n_items"),
+                    _units("detail.items").alias("units"))
+
+
+@register("publish_orders", with_views(
+    """SELECT h.orderId, h.status, s.n_items FROM h JOIN s USING (orderId) WHERE h.approvedByOrg1""",
+    h=HEADER, s=_SHARE_SQL))
+def q_publish_orders(spark, sf):
+    reqs = _events(spark, sf).filter(F.col("function") == L.SHARE)
+    shared = L.share_details(_org2_details(spark, sf), reqs)
+    p = L.publish_orders(_headers(spark, sf), shared)
+    return p.select("orderId", "status", F.size("OrderDetail.items").cast("bigint").alias("n_items"))
+
+
+@register("live_private_details", with_views(
+    """SELECT collection, orderId, block FROM (
+         SELECT 'Org2MSPOrderDetailsCollection' AS collection, orderId, block, 1000 AS ttl FROM ev
+         WHERE function = 'CreateOrder' AND org = 'Org2MSP'
+         UNION ALL
+         SELECT 'Org1Org2OrderDetailsShared', orderId, block, 10 FROM ev
+         WHERE function = 'ShareOrderDetailsToOrg1' AND org = 'Org2MSP') r
+       WHERE (SELECT max(block) FROM ev) - block <= ttl""", ev=_EV))
+def q_live_private_details(spark, sf):
+    ev = _events(spark, sf)
+    rows = ev.filter(((F.col("function") == L.CREATE) | (F.col("function") == L.SHARE)) &
+                     (F.col("org") == L.ORG2)).select(
+        F.when(F.col("function") == L.CREATE, L.ORG2_DETAILS).otherwise(L.SHARED_DETAILS).alias("collection"),
+        "orderId", "block")
+    current = ev.agg(F.max("block").alias("current_block"))
+    live = L.live_private_details(rows.crossJoin(F.broadcast(current)), F.col("current_block"))
+    return live.select("collection", "orderId", "block")
+
+
+@register("order_lifecycle")
+def q_order_lifecycle(spark, sf):
+    s = L.order_lifecycle(_events(spark, sf))
+    return s.select("orderId", "status", "approvedByOrg1",
+                    F.col("OrderDetail").isNotNull().alias("has_detail"),
+                    F.size("OrderDetail.items").alias("n_items"), "last_block")
+
+
+@register("rejected_events")
+def q_rejected_events(spark, sf):
+    return L.rejected_events(_events(spark, sf))
