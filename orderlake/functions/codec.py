@@ -15,9 +15,14 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _strip_breaks(x: Column) -> Column:
+    """Drop MIME line breaks (literal replaces, no regex)."""
+    return F.replace(F.replace(x, F.lit("\r\n"), F.lit("")), F.lit("\n"), F.lit(""))
+
+
 def b64_decode_strict(c) -> Column:
     """Base64 text -> bytes; null unless well formed and padded."""
-    x = F.regexp_replace(_c(c), r"[\r\n]", "")
+    x = _strip_breaks(_c(c))
     return F.when(F.length(x) % 4 == 0, F.try_to_binary(x, F.lit("base64")))
 
 
@@ -27,7 +32,7 @@ def b64_decode_lenient(c) -> Column:
 
 def b64_encode(c) -> Column:
     """Bytes or text -> base64 without the line breaks Spark inserts."""
-    return F.regexp_replace(F.base64(_c(c)), r"[\r\n]", "")
+    return F.replace(F.base64(_c(c)), F.lit("\r\n"), F.lit(""))
 
 
 def utf8_strict(b) -> Column:

@@ -10,6 +10,8 @@ diameter in practice.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,8 +26,10 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
     ensure_checkpoint_dir(vertices.sparkSession)
     e = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     e = e.filter(F.col("src") != F.col("dst")).distinct().checkpoint()
+    logging.getLogger(__name__).info("edges ready")
     labels = vertices.select("v").distinct().withColumn("label", F.col("v")).checkpoint()
-    for _ in range(max_rounds):
+    log = logging.getLogger(__name__)
+    for rnd in range(max_rounds):
         nb = e.join(labels.withColumnRenamed("v", "src"), "src").select(F.col("dst").alias("v"), "label")
         new = labels.unionByName(nb).groupBy("v").agg(F.min("label").alias("label"))
         hop = new.select(F.col("v").alias("label"), F.col("label").alias("_l2"))
@@ -35,5 +39,6 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
         changed = new.join(labels.withColumnRenamed("label", "_old"), "v").filter(F.col("label") != F.col("_old"))
         labels = new
         if changed.isEmpty():
+            log.info("connected components converged after %d rounds", rnd + 1)
             return labels
     raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")

@@ -32,7 +32,9 @@ pairs.
 from __future__ import annotations
 
 import itertools
+import logging
 import math
+import time
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -104,11 +106,18 @@ def dbscan(points: DataFrame, id_col: str, cols: list[str], eps: float = 0.9, mi
     cc = [f"c{i}" for i in range(d)]
     oc = [f"o{i}" for i in range(d)]
 
+    log = logging.getLogger(__name__)
+    t0 = time.time()
+
+    def mark(what):
+        log.info("dbscan %s done at %.2fs", what, time.time() - t0)
+
     # 1. distinct weighted points with their grid cell
     g = (points.groupBy(*cols)
                .agg(F.count(F.lit(1)).alias("w"), F.min(order_col).alias("rep"))
                .select(*cols, "w", "rep", *[F.floor(F.col(c) / side).alias(k) for c, k in zip(cols, cc)]))
     g = g.checkpoint()
+    mark("distinct points")
 
     # 2. cell counts
     cells = g.groupBy(*cc).agg(F.sum("w").alias("n"))
@@ -141,6 +150,7 @@ def dbscan(points: DataFrame, id_col: str, cols: list[str], eps: float = 0.9, mi
                         (F.coalesce(F.col("cnt"), F.lit(0)) >= min_samples))
             .drop("_dense", "cnt"))
     pts = pts.checkpoint()
+    mark("core flags")
     core = pts.filter("core")
 
     # 4. links between core cells
@@ -148,6 +158,7 @@ def dbscan(points: DataFrame, id_col: str, cols: list[str], eps: float = 0.9, mi
                                *[F.max(c).alias(f"hi_{c}") for c in cols],
                                F.min("rep").alias("cell_rep"))
     kc = kc.withColumn("v", F.struct(*cc)).checkpoint()
+    mark("core cells")
     a = kc.select(*cc, "v", *[F.col(f"lo_{c}").alias(f"alo_{c}") for c in cols],
                   *[F.col(f"hi_{c}").alias(f"ahi_{c}") for c in cols], _offset_col(offs, d).alias("o"))
     a = a.select("*", *[(F.col(c) + F.col(f"o.{o}")).alias(t) for c, o, t in zip(cc, oc, tc)]).drop("o")
@@ -161,24 +172,67 @@ def dbscan(points: DataFrame, id_col: str, cols: list[str], eps: float = 0.9, mi
     sure = ab.filter(F.col("_mx") <= eps2_in).select(F.col("v").alias("src"), F.col("u").alias("dst"))
     maybe = ab.filter(F.col("_mx") > eps2_in)
     core_pts = core.select(*cols, F.struct(*cc).alias("cell"))
-    # candidates of cell v near box u, and of cell u near box v
-    ca = maybe.select("v", "u", *[F.col(f"blo_{c}") for c in cols], *[F.col(f"bhi_{c}") for c in cols]) \
-        .join(core_pts.withColumnRenamed("cell", "v"), "v")
+    # quick positive: for every grid direction, each core cell's extreme core point along
+    # it (one aggregation over core points, combined map-side); a pair of cells is linked
+    # when the two facing extreme points are within eps. Cell-level work only.
+    dirs = list(itertools.product((-1, 0, 1), repeat=d))
+    if len(dirs) <= 81:
+        pt = F.struct(*[F.col(c) for c in cols])
+
+        def dot(dv):
+            e = None
+            for w, c in zip(dv, cols):
+                if w:
+                    t = F.col(c) * float(w)
+                    e = t if e is None else e + t
+            return e if e is not None else F.lit(0.0)
+
+        ext = core.groupBy(*cc).agg(*[F.max_by(pt, dot(dv)).alias(f"x{k}") for k, dv in enumerate(dirs)])
+        ext = ext.select(F.struct(*cc).alias("cell"), F.array(*[F.col(f"x{k}") for k in range(len(dirs))]).alias("ext"))
+
+        def dir_index(sign_cols):
+            idx = None
+            for sc in sign_cols:
+                idx = (sc + 1) if idx is None else idx * 3 + (sc + 1)
+            return idx + 1  # element_at is 1-based
+
+        sgn = [F.signum(F.col(f"_u.{c}") - F.col(f"_v.{c}")).cast("int") for c in cc]
+        probe = (maybe.select("v", "u")
+                      .join(ext.select(F.col("cell").alias("v"), F.col("ext").alias("ea")), "v")
+                      .join(ext.select(F.col("cell").alias("u"), F.col("ext").alias("eb")), "u")
+                      .withColumn("_v", F.col("v")).withColumn("_u", F.col("u")))
+        pa = F.element_at("ea", dir_index(sgn))
+        pb = F.element_at("eb", dir_index([-x for x in sgn]))
+        quick = (probe.filter(_dist2([pa[c] for c in cols], [pb[c] for c in cols]) <= eps2)
+                      .select("v", "u")).checkpoint()
+    else:
+        quick = maybe.select("v", "u").limit(0)
+    mark("quick links")
+    rest = maybe.join(quick, ["v", "u"], "left_anti")
+    if log.isEnabledFor(logging.DEBUG):
+        log.debug("cell pairs: %d sure, %d maybe, %d settled by probes", sure.count(), maybe.count(), quick.count())
     amn, _ = _point_box([F.col(c) for c in cols], [F.col(f"blo_{c}") for c in cols],
                         [F.col(f"bhi_{c}") for c in cols])
-    ca = ca.filter(amn <= eps2_out).select("v", "u", *[F.col(c).alias(f"a_{c}") for c in cols])
-    cb = maybe.select("v", "u", *[F.col(f"alo_{c}") for c in cols], *[F.col(f"ahi_{c}") for c in cols]) \
-        .join(core_pts.withColumnRenamed("cell", "u"), "u")
+    ca = (rest.select("v", "u", *[F.col(f"blo_{c}") for c in cols], *[F.col(f"bhi_{c}") for c in cols])
+              .join(core_pts.withColumnRenamed("cell", "v"), "v")
+              .filter(amn <= eps2_out)
+              .select("v", "u", *[F.col(c).alias(f"a_{c}") for c in cols]))
     bmn2, _ = _point_box([F.col(c) for c in cols], [F.col(f"alo_{c}") for c in cols],
                          [F.col(f"ahi_{c}") for c in cols])
-    cb = cb.filter(bmn2 <= eps2_out).select("v", "u", *[F.col(c).alias(f"b_{c}") for c in cols])
+    cb = (rest.select("v", "u", *[F.col(f"alo_{c}") for c in cols], *[F.col(f"ahi_{c}") for c in cols])
+              .join(core_pts.withColumnRenamed("cell", "u"), "u")
+              .filter(bmn2 <= eps2_out)
+              .select("v", "u", *[F.col(c).alias(f"b_{c}") for c in cols]))
+    # exhaustive test only for the pairs the quick test did not settle
     linked = (ca.join(cb, ["v", "u"])
                 .filter(_dist2([F.col(f"a_{c}") for c in cols], [F.col(f"b_{c}") for c in cols]) <= eps2)
-                .select(F.col("v").alias("src"), F.col("u").alias("dst")).distinct())
+                .select("v", "u").distinct())
+    linked = quick.unionByName(linked).select(F.col("v").alias("src"), F.col("u").alias("dst"))
     edges = sure.unionByName(linked)
 
     # 5. components over core cells; cluster key = smallest core point of the component
     comp = connected_components(kc.select("v"), edges)
+    mark("components")
     kc2 = kc.join(comp, "v")
     ckey = kc2.groupBy("label").agg(F.min("cell_rep").alias("ckey"))
     kc2 = kc2.join(ckey, "label").select(*cc, *[F.col(f"lo_{c}") for c in cols],

@@ -39,7 +39,7 @@ def nest_items(lines: DataFrame, key: str, item_cols: list[str], sort_cols: list
     grouped = lines.groupBy(key).agg(*aggs)
     return grouped.select(
         key,
-        F.transform(F.array_sort("_items"), lambda e: e["item"]).alias("items"),
+        F.transform(F.sort_array("_items"), lambda e: e["item"]).alias("items"),
         *(["total"] if total_col else []),
     )
 

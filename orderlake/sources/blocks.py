@@ -131,7 +131,7 @@ def blocks_from_documents(docs: DataFrame) -> DataFrame:
                                   config_env.alias("env"))
     all_tx = txs.select(F.col("block").cast("long"), F.col("pos").cast("long"), "env").unionByName(genesis)
 
-    blocks = all_tx.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("pos", "env"))).alias("txs"))
+    blocks = all_tx.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("pos", "env"))).alias("txs"))
     n = F.col("block")
     return blocks.select(
         F.struct(
