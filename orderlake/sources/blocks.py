@@ -38,10 +38,14 @@ ORG2_CERT = "-----BEGIN CERTIFICATE-----\nsubject=C=US,ST=North Carolina,O=org2.
 ORDERER_CERT = "-----BEGIN CERTIFICATE-----\nsubject=C=US,O=example.com\n-----END CERTIFICATE-----\n"
 
 
-def read_blocks(spark: SparkSession, path: str) -> DataFrame:
-    """S3: every decoded block file under ``path`` (one JSON document per file)."""
+def read_blocks(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """S3: every decoded block under ``path``.
+
+    ``multi_line=True``: one (pretty-printed) JSON document per file, as a
+    block decoder writes them; ``False``: JSON lines, one block per line.
+    """
     return (spark.read.schema(BLOCK)
-            .option("multiLine", True)
+            .option("multiLine", multi_line)
             .option("recursiveFileLookup", True)
             .json(path))
 
