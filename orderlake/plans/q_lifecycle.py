@@ -123,7 +123,87 @@ def q_live_private_details(spark, sf):
     return live.select("collection", "orderId", "block")
 
 
-@register("order_lifecycle")
+# The replay rules in SQL: running windows over each order's events in ledger order.
+_W = "(PARTITION BY orderId ORDER BY block, tx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+_U = "(PARTITION BY orderId ORDER BY block, tx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+_REPLAY_SQL = f"""
+e0 AS (
+  SELECT *,
+    CASE WHEN function IN ('CreateOrder', 'ShareOrderDetailsToOrg1', 'CreateOrderAndApprove') THEN org = 'Org2MSP'
+         WHEN function = 'VerifyCustomer' THEN org = 'Org1MSP'
+         WHEN function = 'PublishOrderDetails' THEN org IN ('Org1MSP', 'Org2MSP')
+         ELSE FALSE END AS org_ok,
+    function IN ('CreateOrder', 'CreateOrderAndApprove') AND customerId IS NOT NULL AND has_meta AND has_details
+        AS full_cl
+  FROM ev),
+e1 AS (SELECT *, org_ok AND full_cl AS valid_cl,
+              coalesce(bool_or(org_ok AND full_cl) OVER {_W}, FALSE) AS exists_before FROM e0),
+e2 AS (SELECT *, valid_cl AND (function = 'CreateOrderAndApprove' OR NOT exists_before) AS acc_cl FROM e1),
+e3 AS (SELECT *, last_value(CASE WHEN acc_cl THEN sha256(customerId) END IGNORE NULLS) OVER {_W} AS hash_before
+       FROM e2),
+e4 AS (SELECT *,
+         function = 'VerifyCustomer' AND org_ok AND exists_before AND customerId IS NOT NULL
+           AND coalesce(sha256(customerId) = hash_before, FALSE) AS acc_verify,
+         function = 'ShareOrderDetailsToOrg1' AND org_ok AND exists_before AS acc_share
+       FROM e3),
+e5 AS (SELECT *,
+         coalesce(last_value(CASE WHEN acc_cl AND function = 'CreateOrder' THEN FALSE
+                                  WHEN (acc_cl AND function = 'CreateOrderAndApprove') OR acc_verify THEN TRUE END
+                             IGNORE NULLS) OVER {_W}, FALSE) AS approved_before,
+         coalesce(bool_or(acc_share OR (acc_cl AND function = 'CreateOrderAndApprove')) OVER {_W}, FALSE)
+           AS shared_before
+       FROM e4),
+e6 AS (SELECT *, function = 'PublishOrderDetails' AND org_ok AND exists_before AND approved_before
+                 AND shared_before AS acc_publish FROM e5),
+e7 AS (SELECT *, acc_cl OR acc_verify OR acc_share OR acc_publish AS accepted,
+         CASE WHEN acc_cl OR acc_verify OR acc_share OR acc_publish THEN NULL
+              WHEN function = 'CreateOrder' AND NOT org_ok THEN 'only Org2 can create order'
+              WHEN function = 'CreateOrder' AND exists_before THEN 'order ' || orderId || ' already exists'
+              WHEN function = 'CreateOrder' THEN 'missing transient fields'
+              WHEN function = 'VerifyCustomer' AND NOT org_ok THEN 'only Org1 can verify customer'
+              WHEN function = 'VerifyCustomer' AND NOT exists_before THEN 'order not found in world state'
+              WHEN function = 'VerifyCustomer' AND customerId IS NULL THEN 'missing customerId'
+              WHEN function = 'VerifyCustomer' THEN 'customer mismatch between Org1 and Org2'
+              WHEN function = 'ShareOrderDetailsToOrg1' AND NOT org_ok THEN 'only Org2 can share order details'
+              WHEN function = 'ShareOrderDetailsToOrg1' THEN 'order details not found in Org2 private collection'
+              WHEN function = 'PublishOrderDetails' AND NOT org_ok THEN 'only Org1 or Org2 can publish order'
+              WHEN function = 'PublishOrderDetails' AND NOT exists_before THEN 'order not found'
+              WHEN function = 'PublishOrderDetails' AND NOT approved_before THEN 'order not approved by Org1'
+              WHEN function = 'PublishOrderDetails' THEN 'shared order details not found'
+              WHEN function = 'CreateOrderAndApprove' AND NOT org_ok THEN 'only Org2 can create and approve order'
+              WHEN function = 'CreateOrderAndApprove' THEN 'missing transient fields'
+              ELSE 'unknown function' END AS reason
+       FROM e6),
+e8 AS (SELECT *,
+         bool_or(acc_cl) OVER {_U} AS exists_after,
+         last_value(CASE WHEN acc_cl AND function = 'CreateOrder' THEN 'CREATED'
+                         WHEN (acc_cl AND function = 'CreateOrderAndApprove') OR acc_verify THEN 'APPROVED' END
+                    IGNORE NULLS) OVER {_U} AS status_after,
+         coalesce(last_value(CASE WHEN acc_cl AND function = 'CreateOrder' THEN FALSE
+                                  WHEN (acc_cl AND function = 'CreateOrderAndApprove') OR acc_verify THEN TRUE END
+                             IGNORE NULLS) OVER {_U}, FALSE) AS approved_after,
+         last_value(CASE WHEN acc_cl AND function = 'CreateOrder' THEN 0
+                         WHEN acc_cl AND function = 'CreateOrderAndApprove' THEN 1
+                         WHEN acc_verify THEN 0 WHEN acc_publish THEN 1 END IGNORE NULLS) OVER {_U} AS detail_after
+       FROM e7)"""
+
+
+_LIFECYCLE_SQL = f"""WITH ev AS ({_EV}),
+n AS ({_CLEAN_LINES_N}),{_REPLAY_SQL}
+SELECT orderId, status, approvedByOrg1, has_detail, n_items, last_block FROM (
+  SELECT e.orderId, e.status_after AS status, e.approved_after AS approvedByOrg1,
+         coalesce(e.detail_after = 1, FALSE) AS has_detail,
+         CASE WHEN e.detail_after = 1 THEN cast(coalesce(n.n_items, 0) AS integer) END AS n_items,
+         e.block AS last_block, e.exists_after
+  FROM e8 e LEFT JOIN n ON n.orderId = e.orderId
+  QUALIFY row_number() OVER (PARTITION BY e.orderId ORDER BY e.block DESC, e.tx DESC) = 1) f
+WHERE exists_after"""
+
+_REJECTED_SQL = f"""WITH ev AS ({_EV}),{_REPLAY_SQL}
+SELECT orderId, block, tx, function, org, reason FROM e8 WHERE NOT accepted"""
+
+
+@register("order_lifecycle", _LIFECYCLE_SQL)
 def q_order_lifecycle(spark, sf):
     s = L.order_lifecycle(_events(spark, sf))
     return s.select("orderId", "status", "approvedByOrg1",
@@ -131,6 +211,6 @@ def q_order_lifecycle(spark, sf):
                     F.size("OrderDetail.items").alias("n_items"), "last_block")
 
 
-@register("rejected_events")
+@register("rejected_events", _REJECTED_SQL)
 def q_rejected_events(spark, sf):
     return L.rejected_events(_events(spark, sf))
