@@ -3,12 +3,13 @@
 Event rows: orderId, block, tx, function, org, customerId, order (meta
 struct), orderDetails (struct<total, items>). Ledger order is (block, tx).
 
-Replay is expressed as window scans over one partitioning (``orderId``
-ordered by ``block, tx``): every rule of the contract depends only on
-"is there an accepted X before this event" or "the last accepted Y before
-this event", which are running aggregates. Consecutive window expressions
-with the same spec share one shuffle and one sort; the window buffer spills,
-so a long history of one order does not need to fit in memory.
+Replay is expressed as running aggregates in ledger order (``block, tx``):
+every rule of the contract depends only on "was there an accepted X before
+this event" or "the first / last accepted Y before this event". Those scans
+are associative, so they run in two levels (``scan_before``): inside
+(order, block-range chunk) partitions, plus a carry-in from a scan over
+one-row chunk summaries. A hot order spreads over many chunks and tasks;
+the final state is a plain aggregation per order.
 """
 
 from __future__ import annotations
@@ -57,27 +58,67 @@ ORG2_DETAILS = "Org2MSPOrderDetailsCollection"
 SHARED_DETAILS = "Org1Org2OrderDetailsShared"
 
 
-def _last_before(w, value, cond):
-    """Last ``value`` among earlier rows where ``cond`` holds (null if none)."""
-    return F.last(F.when(cond, value), ignorenulls=True).over(w)
+def scan_before(df: DataFrame, key: str, chunk, order: list[str], specs) -> DataFrame:
+    """Running aggregates over the strictly earlier rows of the same ``key``, in ``order``.
 
+    ``specs``: (name, kind, value, cond) with kind ``any`` (was ``cond`` true
+    before), ``first`` / ``last`` (``value`` of the first / last earlier row
+    where ``cond`` holds). Adds one column per spec.
 
-def _any_before(w, cond):
-    return F.coalesce(F.max(cond.cast("int")).over(w), F.lit(0)) == 1
-
-
-def replay(events: DataFrame) -> DataFrame:
-    """C1 + C2 per event: acceptance, rejection reason and the state after the event.
-
-    Output columns: the event columns plus ``accepted`` (bool), ``reason``
-    (null when accepted) and the state after the event: ``exists``,
-    ``customerIdHash``, ``meta``, ``approved``, ``status``, ``detail``
-    (published details or null).
+    Two levels, so a key with a huge history is not one task: rows are
+    scanned inside (key, chunk) partitions, each chunk is reduced to a
+    one-row summary, and a scan over the summaries of a key gives every chunk
+    its carry-in. Only the summaries (one small row per key and chunk) are
+    shuffled again.
     """
-    order = [F.col("block"), F.col("tx")]
-    before = Window.partitionBy("orderId").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    upto = Window.partitionBy("orderId").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-
+    df = df.withColumn("_chunk", chunk)
+    w = Window.partitionBy(key, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    ordk = F.struct(*[F.col(c) for c in order])
+    local, summ = df, []
+    for name, kind, value, cond in specs:
+        if kind == "any":
+            local = local.withColumn(f"_l_{name}", F.max(cond.cast("int")).over(w) == 1)
+            summ.append(F.max(cond.cast("int")).alias(f"_s_{name}"))
+        else:
+            tagged = F.when(cond, F.struct(ordk.alias("o"), value.alias("v")))
+            agg = F.max if kind == "last" else F.min
+            win = F.last if kind == "last" else F.first
+            local = local.withColumn(f"_l_{name}", win(tagged, ignorenulls=True).over(w)["v"])
+            summ.append(agg(tagged).alias(f"_s_{name}"))
+    summary = df.groupBy(key, "_chunk").agg(*summ)
+    wc = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carry_cols = []
+    for name, kind, _, _ in specs:
+        if kind == "any":
+            carry_cols.append((F.max(f"_s_{name}").over(wc) == 1).alias(f"_c_{name}"))
+        else:
+            win = F.last if kind == "last" else F.first
+            carry_cols.append(win(f"_s_{name}", ignorenulls=True).over(wc)["v"].alias(f"_c_{name}"))
+    carry = summary.select(key, "_chunk", *carry_cols)
+    out = local.join(carry, [key, "_chunk"], "left")
+    for name, kind, _, _ in specs:
+        lc, cc = F.col(f"_l_{name}"), F.col(f"_c_{name}")
+        if kind == "any":
+            v = F.coalesce(lc, F.lit(False)) | F.coalesce(cc, F.lit(False))
+        elif kind == "last":
+            v = F.when(lc.isNotNull(), lc).otherwise(cc)
+        else:
+            v = F.when(cc.isNotNull(), cc).otherwise(lc)
+        out = out.withColumn(name, v).drop(f"_l_{name}", f"_c_{name}")
+    return out.drop("_chunk")
+
+
+def replay(events: DataFrame, chunk_blocks: int = 1024, with_state: bool = False) -> DataFrame:
+    """C1 + C2 per event: ``accepted`` and the rejection ``reason`` (null when accepted).
+
+    With ``with_state`` the state after each event is added: ``exists``,
+    ``customerIdHash``, ``meta``, ``status``, ``approved``, ``detail``.
+
+    Histories are cut into chunks of ``chunk_blocks`` blocks; a ledger block
+    holds a bounded number of transactions, so a chunk is bounded too.
+    """
+    key, order = "orderId", ["block", "tx"]
+    chunk = F.floor(F.col("block") / F.lit(chunk_blocks))
     fn, org = F.col("function"), F.col("org")
     is_create, is_caa = fn == CREATE, fn == CREATE_APPROVE
     org_ok = (F.when(fn.isin(CREATE, SHARE, CREATE_APPROVE), org == ORG2)
@@ -85,38 +126,46 @@ def replay(events: DataFrame) -> DataFrame:
                .when(fn == PUBLISH, org.isin(ORG1, ORG2))
                .otherwise(F.lit(False)))
     full_input = F.col("customerId").isNotNull() & F.col("order").isNotNull() & F.col("orderDetails").isNotNull()
-    valid_createlike = (is_create | is_caa) & org_ok & full_input
     detail_of_event = F.struct(F.col("orderId").alias("orderId"), F.col("orderDetails.items").alias("items"),
                                F.col("orderDetails.total").alias("total"))
     detail_type = events.select(detail_of_event.alias("d")).schema["d"].dataType
     no_detail = F.lit(None).cast(detail_type)
-
-    # Pass 1: existence and create acceptance.
-    e = events.withColumn("_org_ok", F.coalesce(org_ok, F.lit(False))) \
-              .withColumn("_valid_cl", F.coalesce(valid_createlike, F.lit(False)))
-    e = e.withColumn("_exists_before", _any_before(before, F.col("_valid_cl")))
-    e = e.withColumn("_acc_cl", F.col("_valid_cl") & (is_caa | ~F.col("_exists_before")))
-    e = (e.withColumn("_hash_before", _last_before(before, sha256_hex("customerId"), F.col("_acc_cl")))
-          .withColumn("_priv_before", _last_before(before, detail_of_event, F.col("_acc_cl"))))
-
-    # Pass 2: verify and share acceptance.
-    claim_ok = sha256_hex("customerId") == F.col("_hash_before")
-    acc_verify = (fn == VERIFY) & F.col("_org_ok") & F.col("_exists_before") & \
-        F.col("customerId").isNotNull() & F.coalesce(claim_ok, F.lit(False))
-    acc_share = (fn == SHARE) & F.col("_org_ok") & F.col("_priv_before").isNotNull()
-    e = e.withColumn("_acc_verify", acc_verify).withColumn("_acc_share", acc_share)
-
-    # Pass 3: approval and shared details before each event; publish acceptance.
+    created = F.struct(sha256_hex("customerId").alias("hash"), detail_of_event.alias("detail"),
+                       F.col("order").alias("meta"))
+
+    e = (events.withColumn("_org_ok", F.coalesce(org_ok, F.lit(False)))
+               .withColumn("_valid_cl", F.coalesce((is_create | is_caa) & org_ok & full_input, F.lit(False))))
+
+    # Pass 1: a create is accepted only when no valid create-like event came before;
+    # create-and-approve always overwrites. The last accepted create-like before an
+    # event is the last valid create-and-approve, else the first valid create-like.
+    e = scan_before(e, key, chunk, order, [
+        ("_exists_before", "any", None, F.col("_valid_cl")),
+        ("_last_caa", "last", created, F.col("_valid_cl") & is_caa),
+        ("_first_cl", "first", created, F.col("_valid_cl")),
+    ])
+    e = (e.withColumn("_acc_cl", F.col("_valid_cl") & (is_caa | ~F.col("_exists_before")))
+          .withColumn("_cur", F.coalesce("_last_caa", "_first_cl"))
+          .drop("_last_caa", "_first_cl"))
+
+    # Pass 2: verify and share (row-local given pass 1).
+    claim_ok = F.coalesce(sha256_hex("customerId") == F.col("_cur.hash"), F.lit(False))
+    e = (e.withColumn("_acc_verify", (fn == VERIFY) & F.col("_org_ok") & F.col("_exists_before") &
+                      F.col("customerId").isNotNull() & claim_ok)
+          .withColumn("_acc_share", (fn == SHARE) & F.col("_org_ok") & F.col("_cur").isNotNull()))
+
+    # Pass 3: approval and shared details before each event; publish.
     approval_event = F.when(F.col("_acc_cl") & is_create, F.lit(False)) \
                       .when((F.col("_acc_cl") & is_caa) | F.col("_acc_verify"), F.lit(True))
     shared_event = F.when(F.col("_acc_cl") & is_caa, detail_of_event) \
-                    .when(F.col("_acc_share"), F.col("_priv_before"))
-    e = (e.withColumn("_approved_before",
-                      F.coalesce(F.last(approval_event, ignorenulls=True).over(before), F.lit(False)))
-          .withColumn("_shared_before", F.last(shared_event, ignorenulls=True).over(before)))
-    acc_publish = (fn == PUBLISH) & F.col("_org_ok") & F.col("_exists_before") & \
-        F.col("_approved_before") & F.col("_shared_before").isNotNull()
-    e = e.withColumn("_acc_publish", acc_publish)
+                    .when(F.col("_acc_share"), F.col("_cur.detail"))
+    e = scan_before(e, key, chunk, order, [
+        ("_approval_before", "last", approval_event, approval_event.isNotNull()),
+        ("_shared_before", "last", shared_event, shared_event.isNotNull()),
+    ])
+    e = e.withColumn("_approved_before", F.coalesce("_approval_before", F.lit(False)))
+    e = e.withColumn("_acc_publish", (fn == PUBLISH) & F.col("_org_ok") & F.col("_exists_before") &
+                     F.col("_approved_before") & F.col("_shared_before").isNotNull())
 
     accepted = F.col("_acc_cl") | F.col("_acc_verify") | F.col("_acc_share") | F.col("_acc_publish")
     reason = (
@@ -139,49 +188,77 @@ def replay(events: DataFrame) -> DataFrame:
         .when(is_caa, MSG["missing_transient"])
         .otherwise(MSG["unknown"])
     )
-    e = e.withColumn("accepted", accepted).withColumn("reason", reason)
-
-    # Pass 4: state after each event.
-    status_event = F.when(F.col("_acc_cl") & is_create, F.lit("CREATED")) \
-                    .when((F.col("_acc_cl") & is_caa) | F.col("_acc_verify"), F.lit("APPROVED"))
-    detail_event = F.when(F.col("_acc_cl") & is_create, F.struct(F.lit(0).alias("k"), no_detail.alias("d"))) \
-                    .when(F.col("_acc_cl") & is_caa, F.struct(F.lit(1).alias("k"), detail_of_event.alias("d"))) \
-                    .when(F.col("_acc_verify"), F.struct(F.lit(0).alias("k"), no_detail.alias("d"))) \
-                    .when(F.col("_acc_publish"), F.struct(F.lit(1).alias("k"), F.col("_shared_before").alias("d")))
-    e = (e.withColumn("exists", F.col("_exists_before") | F.col("_acc_cl"))
-          .withColumn("customerIdHash", _last_before(upto, sha256_hex("customerId"), F.col("_acc_cl")))
-          .withColumn("meta", _last_before(upto, F.col("order"), F.col("_acc_cl")))
-          .withColumn("status", F.last(status_event, ignorenulls=True).over(upto))
-          .withColumn("approved", F.coalesce(F.last(approval_event, ignorenulls=True).over(upto), F.lit(False)))
-          .withColumn("detail", F.last(detail_event, ignorenulls=True).over(upto)["d"]))
-    return e.drop(*[c for c in e.columns if c.startswith("_")])
+    e = (e.withColumn("accepted", accepted).withColumn("reason", reason)
+          .withColumn("_created", F.when(F.col("_acc_cl"), created))
+          .withColumn("_status_event", F.when(F.col("_acc_cl") & is_create, F.lit("CREATED"))
+                      .when((F.col("_acc_cl") & is_caa) | F.col("_acc_verify"), F.lit("APPROVED")))
+          .withColumn("_approval_event", approval_event)
+          .withColumn("_detail_event",
+                      F.when(F.col("_acc_cl") & is_create, F.struct(F.lit(0).alias("k"), no_detail.alias("d")))
+                       .when(F.col("_acc_cl") & is_caa, F.struct(F.lit(1).alias("k"), detail_of_event.alias("d")))
+                       .when(F.col("_acc_verify"), F.struct(F.lit(0).alias("k"), no_detail.alias("d")))
+                       .when(F.col("_acc_publish"), F.struct(F.lit(1).alias("k"), F.col("_shared_before").alias("d")))))
+    if with_state:
+        e = scan_before(e, key, chunk, order, [
+            ("_created_before", "last", F.col("_created"), F.col("_created").isNotNull()),
+            ("_status_before", "last", F.col("_status_event"), F.col("_status_event").isNotNull()),
+            ("_detail_before", "last", F.col("_detail_event"), F.col("_detail_event").isNotNull()),
+        ])
+        cur = F.coalesce("_created", "_created_before")
+        e = (e.withColumn("exists", F.col("_exists_before") | F.col("_acc_cl"))
+              .withColumn("customerIdHash", cur["hash"])
+              .withColumn("meta", cur["meta"])
+              .withColumn("status", F.coalesce("_status_event", "_status_before"))
+              .withColumn("approved", F.coalesce("_approval_event", "_approved_before"))
+              .withColumn("detail", F.coalesce("_detail_event", "_detail_before")["d"]))
+    return e.drop(*[c for c in e.columns if c.startswith("_") and c not in _STATE_INPUTS])
+
+
+# Per-event columns that ``final_state`` folds (kept by ``replay``).
+_STATE_INPUTS = ("_acc_cl", "_created", "_status_event", "_approval_event", "_detail_event")
 
 
 def final_state(replayed: DataFrame) -> DataFrame:
-    """State of every order that exists after its last event (public order model)."""
+    """State of every order after its last event (public order model).
+
+    A plain aggregation per order (the latest contribution of each kind,
+    by ledger position), combined map-side, so a hot order is reduced before
+    the shuffle.
+    """
+    o = F.struct("block", "tx")
+
+    def latest(col):
+        return F.max(F.when(F.col(col).isNotNull(), F.struct(o.alias("o"), F.col(col).alias("v"))))["v"]
+
     last = replayed.groupBy("orderId").agg(
-        F.max_by(F.struct("exists", "customerIdHash", "meta", "status", "approved", "detail", "block"),
-                 F.struct("block", "tx")).alias("s"))
-    m = F.col("s.meta")
-    return last.filter(F.col("s.exists")).select(
+        F.max(F.col("_acc_cl").cast("int")).alias("_exists"),
+        latest("_created").alias("_c"),
+        latest("_status_event").alias("status"),
+        latest("_approval_event").alias("_approved"),
+        latest("_detail_event").alias("_d"),
+        F.max("block").alias("last_block"),
+    )
+    m = F.col("_c.meta")
+    return last.filter(F.col("_exists") == 1).select(
         "orderId",
-        F.col("s.customerIdHash").alias("customerIdHash"),
+        F.col("_c.hash").alias("customerIdHash"),
         m["employee"].alias("employee"), m["orderDate"].alias("orderDate"),
         m["requiredDate"].alias("requiredDate"), m["shippedDate"].alias("shippedDate"),
         m["shipperID"].alias("shipperID"), m["freight"].alias("freight"),
-        F.col("s.status").alias("status"), F.col("s.approved").alias("approvedByOrg1"),
-        F.col("s.detail").alias("OrderDetail"),
-        F.col("s.block").alias("last_block"),
+        "status", F.coalesce("_approved", F.lit(False)).alias("approvedByOrg1"),
+        F.col("_d.d").alias("OrderDetail"),
+        "last_block",
     )
 
 
-def order_lifecycle(events: DataFrame) -> DataFrame:
-    return final_state(replay(events))
+def order_lifecycle(events: DataFrame, chunk_blocks: int = 1024) -> DataFrame:
+    return final_state(replay(events, chunk_blocks))
 
 
-def rejected_events(events: DataFrame) -> DataFrame:
+def rejected_events(events: DataFrame, chunk_blocks: int = 1024) -> DataFrame:
     """Every rejected event with the contract's reason."""
-    return replay(events).filter(~F.col("accepted")).select("orderId", "block", "tx", "function", "org", "reason")
+    return replay(events, chunk_blocks).filter(~F.col("accepted")).select(
+        "orderId", "block", "tx", "function", "org", "reason")
 
 
 # ---------------------------------------------------------------- set-based commands

@@ -118,8 +118,9 @@ def q_live_private_details(spark, sf):
                      (F.col("org") == L.ORG2)).select(
         F.when(F.col("function") == L.CREATE, L.ORG2_DETAILS).otherwise(L.SHARED_DETAILS).alias("collection"),
         "orderId", "block")
-    current = ev.agg(F.max("block").alias("current_block"))
-    live = L.live_private_details(rows.crossJoin(F.broadcast(current)), F.col("current_block"))
+    # the ledger height is one scalar aggregate; it enters the plan as a literal
+    current = ev.agg(F.max("block").alias("b")).first()["b"]
+    live = L.live_private_details(rows, current)
     return live.select("collection", "orderId", "block")
 
 

@@ -67,8 +67,9 @@ def q_price_lines(spark, sf):
     h=SILVER_HEADER, i=ITEMS))
 def q_table_counts(spark, sf):
     h, i = silver_tables(spark, sf)
-    return h.agg(F.count(F.lit(1)).alias("header_rows")).crossJoin(
-        i.agg(F.count(F.lit(1)).alias("items_rows")))
+    tagged = h.select(F.lit(1).alias("h"), F.lit(0).alias("i")).unionByName(
+        i.select(F.lit(0).alias("h"), F.lit(1).alias("i")))
+    return tagged.agg(F.sum("h").cast("bigint").alias("header_rows"), F.sum("i").cast("bigint").alias("items_rows"))
 
 
 # ---------------------------------------------------------------- gold

@@ -2,6 +2,8 @@
 
 import hashlib
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from orderlake.operators import lifecycle as L
@@ -77,12 +79,13 @@ def brute_force(events):
     return world, rejected
 
 
-def test_replay_matches_brute_force(spark):
+@pytest.mark.parametrize("chunk_blocks", [1024, 3, 1])
+def test_replay_matches_brute_force(spark, chunk_blocks):
     ev = lifecycle_events(spark, SF0001)
     rows = [r.asDict(recursive=True) for r in ev.collect()]
     world, rejected = brute_force(rows)
 
-    state = L.order_lifecycle(ev).select(
+    state = L.order_lifecycle(ev, chunk_blocks).select(
         "orderId", "customerIdHash", "status", "approvedByOrg1",
         F.size("OrderDetail.items").alias("n")).collect()
     got = {r.orderId: (r.customerIdHash, r.status, r.approvedByOrg1, -1 if r.n is None else r.n) for r in state}
@@ -90,14 +93,15 @@ def test_replay_matches_brute_force(spark):
             for k, v in world.items()}
     assert got == want
 
-    rej = {(r.orderId, r.block, r.tx, r.reason) for r in L.rejected_events(ev).collect()}
+    rej = {(r.orderId, r.block, r.tx, r.reason) for r in L.rejected_events(ev, chunk_blocks).collect()}
     assert rej == set(rejected)
     # every rejection rule of the contract is exercised by the generated log
     reasons = {r[3] if "already exists" not in r[3] else "exists" for r in rejected}
     assert len(reasons) >= 12
 
 
-def test_replay_hand_written(spark):
+@pytest.mark.parametrize("chunk_blocks", [1024, 2, 1])
+def test_replay_hand_written(spark, chunk_blocks):
     meta = {"employee": 1, "orderDate": "1996-07-04", "requiredDate": "1996-08-01", "shippedDate": "",
             "shipperID": 1, "freight": 3.5}
     item = {"productId": "p", "quantity": 2, "unitPrice": 1.0, "discount": 0.0, "price": 2.0}
@@ -120,7 +124,7 @@ def test_replay_hand_written(spark):
     from orderlake.schemas import LIFECYCLE_EVENT
     df = spark.createDataFrame(rows, LIFECYCLE_EVENT)
     out = {(r.block, r.accepted, r.reason, r.status, r.detail is not None)
-           for r in L.replay(df).collect()}
+           for r in L.replay(df, chunk_blocks, with_state=True).collect()}
     assert out == {
         (1, False, "order not found", None, False),
         (2, True, None, "CREATED", False),
