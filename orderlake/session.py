@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -60,3 +61,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         d = tempfile.mkdtemp(prefix="orderlake-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder (never a machine-local temp dir on a cluster)."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/orderlake-scratch/{name}-{uuid.uuid4().hex}"
