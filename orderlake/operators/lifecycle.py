@@ -14,6 +14,7 @@ the final state is a plain aggregation per order.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -58,7 +59,7 @@ ORG2_DETAILS = "Org2MSPOrderDetailsCollection"
 SHARED_DETAILS = "Org1Org2OrderDetailsShared"
 
 
-def scan_before(df: DataFrame, key: str, chunk, order: list[str], specs) -> DataFrame:
+def scan_before(df: DataFrame, key: str, chunk, order: list[str], specs, persist: bool = True) -> DataFrame:
     """Running aggregates over the strictly earlier rows of the same ``key``, in ``order``.
 
     ``specs``: (name, kind, value, cond) with kind ``any`` (was ``cond`` true
@@ -85,7 +86,12 @@ def scan_before(df: DataFrame, key: str, chunk, order: list[str], specs) -> Data
             win = F.last if kind == "last" else F.first
             local = local.withColumn(f"_l_{name}", win(tagged, ignorenulls=True).over(w)["v"])
             summ.append(agg(tagged).alias(f"_s_{name}"))
-    summary = df.groupBy(key, "_chunk").agg(*summ)
+    # The windowed frame feeds both the chunk summaries and the final join: keep it
+    # (memory, spilling to disk) so upstream passes are computed once. It is
+    # already partitioned by (key, chunk), so the summary needs no exchange.
+    if persist:
+        local = local.persist(StorageLevel.MEMORY_AND_DISK)
+    summary = local.groupBy(key, "_chunk").agg(*summ)
     wc = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carry_cols = []
     for name, kind, _, _ in specs:
@@ -108,7 +114,8 @@ def scan_before(df: DataFrame, key: str, chunk, order: list[str], specs) -> Data
     return out.drop("_chunk")
 
 
-def replay(events: DataFrame, chunk_blocks: int = 1024, with_state: bool = False) -> DataFrame:
+def replay(events: DataFrame, chunk_blocks: int = 1024, with_state: bool = False,
+           persist: bool = True) -> DataFrame:
     """C1 + C2 per event: ``accepted`` and the rejection ``reason`` (null when accepted).
 
     With ``with_state`` the state after each event is added: ``exists``,
@@ -116,6 +123,8 @@ def replay(events: DataFrame, chunk_blocks: int = 1024, with_state: bool = False
 
     Histories are cut into chunks of ``chunk_blocks`` blocks; a ledger block
     holds a bounded number of transactions, so a chunk is bounded too.
+    ``persist`` keeps each pass's windowed frame (memory and disk) because it
+    is read twice; otherwise Spark recomputes the earlier passes.
     """
     key, order = "orderId", ["block", "tx"]
     chunk = F.floor(F.col("block") / F.lit(chunk_blocks))
@@ -143,7 +152,7 @@ def replay(events: DataFrame, chunk_blocks: int = 1024, with_state: bool = False
         ("_exists_before", "any", None, F.col("_valid_cl")),
         ("_last_caa", "last", created, F.col("_valid_cl") & is_caa),
         ("_first_cl", "first", created, F.col("_valid_cl")),
-    ])
+    ], persist)
     e = (e.withColumn("_acc_cl", F.col("_valid_cl") & (is_caa | ~F.col("_exists_before")))
           .withColumn("_cur", F.coalesce("_last_caa", "_first_cl"))
           .drop("_last_caa", "_first_cl"))
@@ -162,7 +171,7 @@ def replay(events: DataFrame, chunk_blocks: int = 1024, with_state: bool = False
     e = scan_before(e, key, chunk, order, [
         ("_approval_before", "last", approval_event, approval_event.isNotNull()),
         ("_shared_before", "last", shared_event, shared_event.isNotNull()),
-    ])
+    ], persist)
     e = e.withColumn("_approved_before", F.coalesce("_approval_before", F.lit(False)))
     e = e.withColumn("_acc_publish", (fn == PUBLISH) & F.col("_org_ok") & F.col("_exists_before") &
                      F.col("_approved_before") & F.col("_shared_before").isNotNull())
@@ -203,7 +212,7 @@ def replay(events: DataFrame, chunk_blocks: int = 1024, with_state: bool = False
             ("_created_before", "last", F.col("_created"), F.col("_created").isNotNull()),
             ("_status_before", "last", F.col("_status_event"), F.col("_status_event").isNotNull()),
             ("_detail_before", "last", F.col("_detail_event"), F.col("_detail_event").isNotNull()),
-        ])
+        ], persist)
         cur = F.coalesce("_created", "_created_before")
         e = (e.withColumn("exists", F.col("_exists_before") | F.col("_acc_cl"))
               .withColumn("customerIdHash", cur["hash"])

@@ -20,6 +20,11 @@ def _events(spark, sf):
     return lifecycle_events(spark, sf)
 
 
+def _commands(spark, sf):
+    """The event log without item lists (for commands that never read them)."""
+    return lifecycle_events(spark, sf, with_details=False)
+
+
 def _headers(spark, sf):
     return T.order_headers(T.read_table(spark, sf, "orders"))
 
@@ -44,7 +49,7 @@ def _units(items):
     """SELECT orderId, block, tx, org FROM ev WHERE function = 'CreateOrder'
        QUALIFY row_number() OVER (PARTITION BY orderId ORDER BY block, tx) = 1""", ev=_EV))
 def q_first_create_wins(spark, sf):
-    return L.first_create_wins(_events(spark, sf)).select("orderId", "block", "tx", "org")
+    return L.first_create_wins(_commands(spark, sf)).select("orderId", "block", "tx", "org")
 
 
 @register("create_orders", with_views(
@@ -58,7 +63,7 @@ def q_create_orders(spark, sf):
     state = _headers(spark, sf).filter(F.col("status") == "APPROVED").join(
         T.read_table(spark, sf, "orders").filter(F.col("o_orderstatus") == "F")
          .select(F.col("o_orderkey").alias("orderKey")), "orderKey", "left_semi")
-    out = L.create_orders(state, _events(spark, sf))
+    out = L.create_orders(state, _commands(spark, sf))
     return out.select("orderId", "customerIdHash", "status", "approvedByOrg1", "block", "tx")
 
 
@@ -75,7 +80,7 @@ def q_create_orders(spark, sf):
             END AS reason) r
        WHERE ev.function = 'VerifyCustomer'""", ev=_EV, h=HEADER))
 def q_verify_customers(spark, sf):
-    claims = _events(spark, sf).filter(F.col("function") == L.VERIFY)
+    claims = _commands(spark, sf).filter(F.col("function") == L.VERIFY)
     return L.verify_customers(_headers(spark, sf), claims)
 
 
@@ -88,7 +93,7 @@ _SHARE_SQL = with_views(
 
 @register("share_details", _SHARE_SQL)
 def q_share_details(spark, sf):
-    reqs = _events(spark, sf).filter(F.col("function") == L.SHARE)
+    reqs = _commands(spark, sf).filter(F.col("function") == L.SHARE)
     s = L.share_details(_org2_details(spark, sf), reqs)
     return s.select("orderId", F.size("detail.items").cast("bigint").alias("n_items"),
                     _units("detail.items").alias("units"))
@@ -98,7 +103,7 @@ def q_share_details(spark, sf):
     """SELECT h.orderId, h.status, s.n_items FROM h JOIN s USING (orderId) WHERE h.approvedByOrg1""",
     h=HEADER, s=_SHARE_SQL))
 def q_publish_orders(spark, sf):
-    reqs = _events(spark, sf).filter(F.col("function") == L.SHARE)
+    reqs = _commands(spark, sf).filter(F.col("function") == L.SHARE)
     shared = L.share_details(_org2_details(spark, sf), reqs)
     p = L.publish_orders(_headers(spark, sf), shared)
     return p.select("orderId", "status", F.size("OrderDetail.items").cast("bigint").alias("n_items"))
@@ -113,7 +118,7 @@ def q_publish_orders(spark, sf):
          WHERE function = 'ShareOrderDetailsToOrg1' AND org = 'Org2MSP') r
        WHERE (SELECT max(block) FROM ev) - block <= ttl""", ev=_EV))
 def q_live_private_details(spark, sf):
-    ev = _events(spark, sf)
+    ev = _commands(spark, sf)
     rows = ev.filter(((F.col("function") == L.CREATE) | (F.col("function") == L.SHARE)) &
                      (F.col("org") == L.ORG2)).select(
         F.when(F.col("function") == L.CREATE, L.ORG2_DETAILS).otherwise(L.SHARED_DETAILS).alias("collection"),
@@ -214,4 +219,4 @@ def q_order_lifecycle(spark, sf):
 
 @register("rejected_events", _REJECTED_SQL)
 def q_rejected_events(spark, sf):
-    return L.rejected_events(_events(spark, sf))
+    return L.rejected_events(_commands(spark, sf))

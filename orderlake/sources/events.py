@@ -72,11 +72,21 @@ def _condition(cond, k, approved):
     return k % cond == 0
 
 
-def events_from_documents(orders: DataFrame, lines: DataFrame) -> DataFrame:
-    """Event log from the order header frame and item lines (one shuffle: nesting the lines)."""
+def events_from_documents(orders: DataFrame, lines: DataFrame | None) -> DataFrame:
+    """Event log from the order header frame and item lines (one shuffle: nesting the lines).
+
+    With ``lines=None`` the details carried by create events are left empty
+    (present or absent exactly as in the full log): commands that only test
+    whether details were supplied then need no shuffle at all.
+    """
     h = order_headers(orders)
-    nested = nest_items(lines, "orderKey", ITEM_COLS, sort_cols=["lineNumber"])
-    d = h.join(nested, "orderKey", "left")
+    if lines is not None:
+        nested = nest_items(lines, "orderKey", ITEM_COLS, sort_cols=["lineNumber"])
+        d = h.join(nested, "orderKey", "left")
+    else:
+        d = h.withColumn("items", F.lit(None).cast(
+            "array<struct<productId:string,quantity:int,unitPrice:double,discount:double,price:double>>"
+        )).withColumn("total", F.lit(None).cast("double"))
     k, approved = F.col("orderKey"), F.col("approvedByOrg1")
     meta = F.struct(
         F.col("employee").alias("employee"),
@@ -121,9 +131,9 @@ def events_from_documents(orders: DataFrame, lines: DataFrame) -> DataFrame:
     return d.select(F.explode(evs).alias("e")).select("e.*")
 
 
-def lifecycle_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events_from_documents(read_table(spark, sf_dir, "orders"),
-                                 order_lines(read_table(spark, sf_dir, "lineitem"), dirty=False))
+def lifecycle_events(spark: SparkSession, sf_dir: str, with_details: bool = True) -> DataFrame:
+    lines = order_lines(read_table(spark, sf_dir, "lineitem"), dirty=False) if with_details else None
+    return events_from_documents(read_table(spark, sf_dir, "orders"), lines)
 
 
 # The same log in DuckDB SQL: (orderId, block, tx, function, org, customerId, has_meta, has_details, k).
