@@ -47,17 +47,19 @@ def order_headers(orders: DataFrame) -> DataFrame:
     """Typed order header (10 fields) + customerId (clear text, for claims)."""
     k = F.col("o_orderkey")
     is_open = F.col("o_orderstatus") == "O"
-    od = F.col("o_orderdate").cast("timestamp")
+    # Day arithmetic on the wall-clock value (timestamp without zone), converted at the
+    # end: the result does not depend on the session zone's daylight-saving rules.
+    od = F.col("o_orderdate").cast("timestamp_ntz")
     return orders.select(
         k.alias("orderKey"),
         k.cast("string").alias("orderId"),
         F.col("o_custkey").cast("string").alias("customerId"),
         F.sha2(F.col("o_custkey").cast("string"), 256).alias("customerIdHash"),
         (k % 9 + 1).cast("int").alias("employee"),
-        od.alias("orderDate"),
-        (od + _days(7 + k % 36)).alias("requiredDate"),
+        od.cast("timestamp").alias("orderDate"),
+        (od + _days(7 + k % 36)).cast("timestamp").alias("requiredDate"),
         F.when(is_open, F.lit(None).cast("timestamp"))
-         .otherwise(od + _days(F.col("o_custkey") % 30)).alias("shippedDate"),
+         .otherwise((od + _days(F.col("o_custkey") % 30)).cast("timestamp")).alias("shippedDate"),
         (k % 3 + 1).cast("int").alias("shipperID"),
         (F.col("o_totalprice") / 1000).alias("freight"),
         F.when(is_open, "CREATED").otherwise("APPROVED").alias("status"),
