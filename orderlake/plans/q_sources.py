@@ -67,3 +67,44 @@ def q_table_replace(spark, sf):
     if sinks.list_tables(spark, ns).filter(F.col("tableName") == "orders").isEmpty():
         raise RuntimeError(f"table {ns}.orders missing after replace")
     return spark.table(f"{ns}.orders")
+
+
+# ---------------------------------------------------------------- streaming
+@register("stream_latest_orders", with_views(
+    """SELECT orderId, cast(block AS bigint) AS block_number, tx_index
+       FROM tx WHERE kind <> 'config'
+       QUALIFY row_number() OVER (PARTITION BY orderId ORDER BY block DESC, pos DESC) = 1""", tx=_TX))
+def q_stream_latest_orders(spark, sf):
+    """T1 + T2: block files streamed (several triggers), stateful latest write per order."""
+    from orderlake.streaming import ingest
+
+    blocks = scratch_path(spark, "stream_blocks")
+    blocks_from_tables(spark, sf).repartition(4).write.mode("overwrite").json(blocks)
+    name = "latest_" + blocks.rsplit("-", 1)[-1]
+    writes = ledger.order_writes(ingest.block_stream(spark, blocks, multi_line=False, max_files_per_trigger=2))
+    q = (ingest.latest_order_stream(writes).writeStream.outputMode("complete").format("memory")
+         .queryName(name).option("checkpointLocation", scratch_path(spark, "stream_ckpt"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.table(name).select("orderId", "block_number", "tx_index")
+
+
+@register("stream_silver_header", with_views(
+    """SELECT orderId, customerIdHash, employee, orderDate, requiredDate, shippedDate, shipperID, freight,
+              status, approvedByOrg1 FROM h""", h=SILVER_HEADER))
+def q_stream_silver_header(spark, sf):
+    """Blocks -> foreachBatch update log -> compacted state -> silver header."""
+    from orderlake.streaming import ingest
+
+    blocks = scratch_path(spark, "stream_blocks")
+    blocks_from_tables(spark, sf).repartition(4).write.mode("overwrite").json(blocks)
+    updates = scratch_path(spark, "stream_updates")
+    q = ingest.run_ingest(spark, blocks, updates, scratch_path(spark, "stream_ckpt"),
+                          multi_line=False, max_files_per_trigger=2)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    header, _ = ingest.current_silver(spark, updates)
+    return header
