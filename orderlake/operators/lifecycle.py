@@ -323,7 +323,9 @@ def verify_customers(state: DataFrame, claims: DataFrame) -> DataFrame:
 
 def share_details(org2_details: DataFrame, requests: DataFrame) -> DataFrame:
     """Detail rows of the requested orders, copied to the shared collection."""
-    req = requests.filter(F.col("org") == ORG2).select("orderId")
+    # Requests are reduced to distinct ids first (map-side), so an order requested
+    # many times cannot make one join partition huge.
+    req = requests.filter(F.col("org") == ORG2).select("orderId").distinct()
     return org2_details.join(req, "orderId", "left_semi")
 
 

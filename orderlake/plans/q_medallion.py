@@ -145,7 +145,7 @@ def q_lowercase_columns(spark, sf):
 
 
 @register("sql_adhoc", with_views(
-    """SELECT status, count(*) AS orders, sum(i_rows) AS item_rows,
+    """SELECT status, count(*) AS orders, cast(sum(i_rows) AS bigint) AS item_rows,
               cast(sum(qty) AS bigint) AS units
        FROM (SELECT h.orderId, h.status, count(i.orderId) AS i_rows, coalesce(sum(i.quantity), 0) AS qty
              FROM h LEFT JOIN i ON h.orderId = i.orderId GROUP BY h.orderId, h.status) t
@@ -156,11 +156,14 @@ def q_sql_adhoc(spark, sf):
     h, i = silver_tables(spark, sf)
     h.createOrReplaceTempView("orders_header")
     i.createOrReplaceTempView("orders_items")
+    # Items are aggregated per order before the outer join (map-side combine), so the
+    # join sees one row per order on both sides whatever the skew of the items.
     return spark.sql("""
-        SELECT status, count(*) AS orders, sum(i_rows) AS item_rows, sum(qty) AS units
-        FROM (SELECT h.orderId, h.status, count(i.orderId) AS i_rows, coalesce(sum(i.quantity), 0) AS qty
-              FROM orders_header h LEFT JOIN orders_items i ON h.orderId = i.orderId
-              GROUP BY h.orderId, h.status) t
+        SELECT status, count(*) AS orders, sum(coalesce(i_rows, 0)) AS item_rows,
+               sum(coalesce(qty, 0)) AS units
+        FROM orders_header h
+        LEFT JOIN (SELECT orderId, count(*) AS i_rows, sum(quantity) AS qty
+                   FROM orders_items GROUP BY orderId) i ON h.orderId = i.orderId
         GROUP BY status""")
 
 
