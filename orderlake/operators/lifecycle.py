@@ -32,7 +32,7 @@ ORG2 = "Org2MSP"
 # Rejection messages, as the contract words them.
 MSG = {
     "create_org": "only Org2 can create order",
-    "create_exists": "order {id} already exists",
+    "create_exists": "order <orderId> already exists",
     "missing_transient": "missing transient fields",
     "verify_org": "only Org1 can verify customer",
     "verify_not_found": "order not found in world state",
