@@ -123,25 +123,28 @@ def dbscan(points: DataFrame, id_col: str, cols: list[str], eps: float = 0.9, mi
     cells = g.groupBy(*cc).agg(F.sum("w").alias("n"))
     sparse_cells = cells.filter(F.col("n") < min_samples).select(*cc)
 
-    # 3. neighbour counts for points of sparse cells
-    sp = g.join(sparse_cells, cc, "left_semi")
-    spx = sp.select(*cols, "w", *cc, _offset_col(offs, d).alias("o")).select(
-        *cols, *[(F.col(c) + F.col(f"o.{o}")).alias(f"t{i}") for i, (c, o) in enumerate(zip(cc, oc))])
+    # 3. neighbour counts for points of sparse cells (skipped when every cell is dense)
     tc = [f"t{i}" for i in range(d)]
-    tcells = cells.select(*[F.col(c).alias(t) for c, t in zip(cc, tc)], "n")
-    spc = spx.join(tcells, tc)
-    lo = [F.col(t) * side for t in tc]
-    hi = [(F.col(t) + 1) * side for t in tc]
-    mn, mx = _point_box([F.col(c) for c in cols], lo, hi)
-    spc = spc.withColumn("_mn", mn).withColumn("_mx", mx).filter(F.col("_mn") <= eps2_out)
-    full = spc.filter(F.col("_mx") <= eps2_in).groupBy(*cols).agg(F.sum("n").alias("cnt"))
-    part = spc.filter(F.col("_mx") > eps2_in).select(*cols, *tc)
-    q = g.select(*[F.col(c).alias(f"q_{c}") for c in cols], F.col("w").alias("qw"),
-                 *[F.col(c).alias(t) for c, t in zip(cc, tc)])
-    pairs = part.join(q, tc).filter(
-        _dist2([F.col(c) for c in cols], [F.col(f"q_{c}") for c in cols]) <= eps2)
-    partial = pairs.groupBy(*cols).agg(F.sum("qw").alias("cnt"))
-    counts = full.unionByName(partial).groupBy(*cols).agg(F.sum("cnt").alias("cnt"))
+    if sparse_cells.isEmpty():
+        counts = g.select(*cols, F.lit(None).cast("long").alias("cnt")).limit(0)
+    else:
+        sp = g.join(sparse_cells, cc, "left_semi")
+        spx = sp.select(*cols, "w", *cc, _offset_col(offs, d).alias("o")).select(
+            *cols, *[(F.col(c) + F.col(f"o.{o}")).alias(f"t{i}") for i, (c, o) in enumerate(zip(cc, oc))])
+        tcells = cells.select(*[F.col(c).alias(t) for c, t in zip(cc, tc)], "n")
+        spc = spx.join(tcells, tc)
+        lo = [F.col(t) * side for t in tc]
+        hi = [(F.col(t) + 1) * side for t in tc]
+        mn, mx = _point_box([F.col(c) for c in cols], lo, hi)
+        spc = spc.withColumn("_mn", mn).withColumn("_mx", mx).filter(F.col("_mn") <= eps2_out)
+        full = spc.filter(F.col("_mx") <= eps2_in).groupBy(*cols).agg(F.sum("n").alias("cnt"))
+        part = spc.filter(F.col("_mx") > eps2_in).select(*cols, *tc)
+        q = g.select(*[F.col(c).alias(f"q_{c}") for c in cols], F.col("w").alias("qw"),
+                     *[F.col(c).alias(t) for c, t in zip(cc, tc)])
+        pairs = part.join(q, tc).filter(
+            _dist2([F.col(c) for c in cols], [F.col(f"q_{c}") for c in cols]) <= eps2)
+        partial = pairs.groupBy(*cols).agg(F.sum("qw").alias("cnt"))
+        counts = full.unionByName(partial).groupBy(*cols).agg(F.sum("cnt").alias("cnt"))
 
     dense_cells = cells.filter(F.col("n") >= min_samples).select(*cc, F.lit(True).alias("_dense"))
     pts = (g.join(dense_cells, cc, "left")
@@ -238,23 +241,26 @@ def dbscan(points: DataFrame, id_col: str, cols: list[str], eps: float = 0.9, mi
     kc2 = kc2.join(ckey, "label").select(*cc, *[F.col(f"lo_{c}") for c in cols],
                                          *[F.col(f"hi_{c}") for c in cols], "ckey").checkpoint()
 
-    # 6. border points: smallest cluster key among reaching core cells
+    # 6. border points: smallest cluster key among reaching core cells (none when all points are core)
     nb = pts.filter(~F.col("core")).select(*cols, *cc)
-    nbx = nb.select(*cols, _offset_col(offs, d).alias("o"), *cc).select(
-        *cols, *[(F.col(c) + F.col(f"o.{o}")).alias(t) for c, o, t in zip(cc, oc, tc)])
-    kt = kc2.select(*[F.col(c).alias(t) for c, t in zip(cc, tc)], "ckey",
-                    *[F.col(f"lo_{c}") for c in cols], *[F.col(f"hi_{c}") for c in cols])
-    nbk = nbx.join(kt, tc)
-    pmn, pmx = _point_box([F.col(c) for c in cols], [F.col(f"lo_{c}") for c in cols],
-                          [F.col(f"hi_{c}") for c in cols])
-    nbk = nbk.withColumn("_mn", pmn).withColumn("_mx", pmx).filter(F.col("_mn") <= eps2_out)
-    b_sure = nbk.filter(F.col("_mx") <= eps2_in).select(*cols, "ckey")
-    b_maybe = nbk.filter(F.col("_mx") > eps2_in).select(*cols, *tc, "ckey")
-    cq = core.select(*[F.col(c).alias(f"q_{c}") for c in cols], *[F.col(c).alias(t) for c, t in zip(cc, tc)])
-    b_pair = (b_maybe.join(cq, tc)
-                     .filter(_dist2([F.col(c) for c in cols], [F.col(f"q_{c}") for c in cols]) <= eps2)
-                     .select(*cols, "ckey"))
-    border = b_sure.unionByName(b_pair).groupBy(*cols).agg(F.min("ckey").alias("ckey"))
+    if nb.isEmpty():
+        border = nb.select(*cols, F.lit(None).cast(kc2.schema["ckey"].dataType).alias("ckey")).limit(0)
+    else:
+        nbx = nb.select(*cols, _offset_col(offs, d).alias("o"), *cc).select(
+            *cols, *[(F.col(c) + F.col(f"o.{o}")).alias(t) for c, o, t in zip(cc, oc, tc)])
+        kt = kc2.select(*[F.col(c).alias(t) for c, t in zip(cc, tc)], "ckey",
+                        *[F.col(f"lo_{c}") for c in cols], *[F.col(f"hi_{c}") for c in cols])
+        nbk = nbx.join(kt, tc)
+        pmn, pmx = _point_box([F.col(c) for c in cols], [F.col(f"lo_{c}") for c in cols],
+                              [F.col(f"hi_{c}") for c in cols])
+        nbk = nbk.withColumn("_mn", pmn).withColumn("_mx", pmx).filter(F.col("_mn") <= eps2_out)
+        b_sure = nbk.filter(F.col("_mx") <= eps2_in).select(*cols, "ckey")
+        b_maybe = nbk.filter(F.col("_mx") > eps2_in).select(*cols, *tc, "ckey")
+        cq = core.select(*[F.col(c).alias(f"q_{c}") for c in cols], *[F.col(c).alias(t) for c, t in zip(cc, tc)])
+        b_pair = (b_maybe.join(cq, tc)
+                         .filter(_dist2([F.col(c) for c in cols], [F.col(f"q_{c}") for c in cols]) <= eps2)
+                         .select(*cols, "ckey"))
+        border = b_sure.unionByName(b_pair).groupBy(*cols).agg(F.min("ckey").alias("ckey"))
 
     # cluster numbers: 0.. by cluster key
     keys = ckey.select("ckey").distinct()
