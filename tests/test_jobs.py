@@ -58,3 +58,14 @@ def test_csv_nesting(spark, scratch):
     assert lines == d.count()
     empty = n.filter(F.size("orderDetails.items") == 0).select("orderDetails.total").distinct().collect()
     assert all(r.total == 0.0 for r in empty)
+
+
+def test_cli_runs_jobs(spark, scratch):
+    from orderlake.plans import cli
+    bronze_dir = os.path.join(scratch, "bronze_cli")
+    bronze_documents(spark, SF0001).write.mode("overwrite").json(bronze_dir)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS c_silver LOCATION '{scratch}/c_silver'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS c_gold LOCATION '{scratch}/c_gold'")
+    cli.main(["bronze-to-silver", "--bronze", bronze_dir, "--namespace", "c_silver", "--json-lines"])
+    cli.main(["silver-to-gold", "--silver", "c_silver", "--gold", "c_gold", "--as-of", "2002-01-01"])
+    assert spark.table("c_gold.customer_rfm").count() > 0
