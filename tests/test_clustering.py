@@ -2,7 +2,6 @@
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from orderlake.operators import density, features
 from orderlake.plans.q_clustering import _gold_orders
