@@ -72,17 +72,27 @@ def latest_order_state(writes: DataFrame) -> DataFrame:
                                       if f.name != "orderId"], "orderId")
 
 
-def block_summary(blocks: DataFrame, default_channel: str = DEFAULT_CHANNEL) -> DataFrame:
-    """L2 + A7: number, transaction count, channel of the first transaction, hashes."""
+def block_summary(blocks: DataFrame, default_channel: str = DEFAULT_CHANNEL, ordered: bool = False) -> DataFrame:
+    """L2 + A7 (+ O3 when ``ordered``): number, transaction count, channel of the first
+    transaction, hashes.
+
+    A block without ``header.number`` takes the number in its file name when
+    the frame carries ``source_file`` (``read_blocks(..., with_source=True)``).
+    """
     txs = F.coalesce(F.col("data.data"), F.array())
-    return blocks.select(
-        _block_number(blocks).alias("block_number"),
+    number = _block_number(blocks)
+    if "source_file" in blocks.columns:
+        from_name = F.regexp_extract(F.col("source_file"), r"(\d+)[^/\d]*$", 1)
+        number = F.coalesce(number, F.when(from_name != "", from_name.cast("long")))
+    out = blocks.select(
+        number.alias("block_number"),
         F.size(txs).alias("tx_count"),
         F.coalesce(F.get(txs, 0)["payload"]["header"]["channel_header"]["channel_id"],
                    F.lit(default_channel)).alias("channel_id"),
         F.coalesce("header.previous_hash", F.lit("")).alias("previous_hash"),
         F.coalesce("header.data_hash", F.lit("")).alias("data_hash"),
     )
+    return out.orderBy("block_number") if ordered else out
 
 
 def _decode_or_raw(c):

@@ -38,16 +38,19 @@ ORG2_CERT = "-----BEGIN CERTIFICATE-----\nsubject=C=US,ST=North Carolina,O=org2.
 ORDERER_CERT = "-----BEGIN CERTIFICATE-----\nsubject=C=US,O=example.com\n-----END CERTIFICATE-----\n"
 
 
-def read_blocks(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_blocks(spark: SparkSession, path: str, multi_line: bool = True, with_source: bool = False) -> DataFrame:
     """S3: every decoded block under ``path``.
 
     ``multi_line=True``: one (pretty-printed) JSON document per file, as a
     block decoder writes them; ``False``: JSON lines, one block per line.
+    ``with_source`` adds ``source_file`` (the file path), which the block
+    summary uses as the fallback block number (``block_<n>.json``).
     """
-    return (spark.read.schema(BLOCK)
-            .option("multiLine", multi_line)
-            .option("recursiveFileLookup", True)
-            .json(path))
+    df = (spark.read.schema(BLOCK)
+          .option("multiLine", multi_line)
+          .option("recursiveFileLookup", True)
+          .json(path))
+    return df.withColumn("source_file", F.col("_metadata.file_path")) if with_source else df
 
 
 def _b64(text):
