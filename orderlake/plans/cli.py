@@ -1,10 +1,10 @@
-"""Command-line entry points for spark-submit.
+"""Command-line entry points for spark-submit (via the root script ``run_job.py``).
 
-    spark-submit -m orderlake.plans.cli ledger-to-bronze --blocks s3://.../blocks --bronze s3://.../bronze
-    spark-submit -m orderlake.plans.cli bronze-to-silver --bronze s3://.../bronze
-    spark-submit -m orderlake.plans.cli silver-to-gold --as-of 2024-01-01
-    spark-submit -m orderlake.plans.cli clustering --csv s3://.../clustering_csv
-    spark-submit -m orderlake.plans.cli ingest-stream --blocks ... --updates ... --checkpoint ...
+    spark-submit --py-files orderlake.zip run_job.py ledger-to-bronze --blocks <dir> --bronze <dir>
+    spark-submit --py-files orderlake.zip run_job.py bronze-to-silver --bronze <dir>
+    spark-submit --py-files orderlake.zip run_job.py silver-to-gold --as-of 2024-01-01
+    spark-submit --py-files orderlake.zip run_job.py clustering --csv <dir>
+    spark-submit --py-files orderlake.zip run_job.py ingest-stream --blocks ... --updates ... --checkpoint ...
 
 The session comes from the cluster (``getOrCreate``); its configuration is
 used as is. Printed output is the row counts the jobs observe while writing.
