@@ -16,7 +16,7 @@ from orderlake.plans.registry import register
 from orderlake.plans.sql_fragments import SILVER_HEADER, with_views
 from orderlake.session import scratch_path
 from orderlake.sources import sinks
-from orderlake.sources.blocks import blocks_from_tables, read_blocks
+from orderlake.sources.blocks import blocks_from_tables, ledger_blocks_path, read_blocks
 from orderlake.sources.bronze import bronze_scan
 from orderlake.sources.csv import read_order_details_csv, read_orders_csv
 from orderlake.sources.tables import bulk_load_frames
@@ -78,9 +78,8 @@ def q_stream_latest_orders(spark, sf):
     """T1 + T2: block files streamed (several triggers), stateful latest write per order."""
     from orderlake.streaming import ingest
 
-    blocks = scratch_path(spark, "stream_blocks")
-    blocks_from_tables(spark, sf).repartition(4).write.mode("overwrite").json(blocks)
-    name = "latest_" + blocks.rsplit("-", 1)[-1]
+    blocks = ledger_blocks_path(spark, sf)
+    name = "latest_" + scratch_path(spark, "q").rsplit("-", 1)[-1]
     writes = ledger.order_writes(ingest.block_stream(spark, blocks, multi_line=False, max_files_per_trigger=2))
     q = (ingest.latest_order_stream(writes).writeStream.outputMode("complete").format("memory")
          .queryName(name).option("checkpointLocation", scratch_path(spark, "stream_ckpt"))
@@ -98,8 +97,7 @@ def q_stream_silver_header(spark, sf):
     """Blocks -> foreachBatch update log -> compacted state -> silver header."""
     from orderlake.streaming import ingest
 
-    blocks = scratch_path(spark, "stream_blocks")
-    blocks_from_tables(spark, sf).repartition(4).write.mode("overwrite").json(blocks)
+    blocks = ledger_blocks_path(spark, sf)
     updates = scratch_path(spark, "stream_updates")
     q = ingest.run_ingest(spark, blocks, updates, scratch_path(spark, "stream_ckpt"),
                           multi_line=False, max_files_per_trigger=2)

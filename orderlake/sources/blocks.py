@@ -151,6 +151,38 @@ def blocks_from_documents(docs: DataFrame) -> DataFrame:
     )
 
 
+_MATERIALIZED: dict[tuple[str, str], str] = {}
+
+
+def ledger_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger derived from the tables, as block files, scanned with ``read_blocks``.
+
+    In the order system the blocks already sit on storage and every ledger job
+    reads them; here they are generated from the tables once per application
+    and scale-factor folder, written as JSON lines under the shared checkpoint
+    folder, and every caller reads those files through the block scanner.
+    """
+    import os
+
+    from orderlake.session import scratch_path
+
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    path = _MATERIALIZED.get(key)
+    if path is None:
+        path = scratch_path(spark, "ledger_blocks")
+        blocks_from_tables(spark, sf_dir).write.mode("overwrite").json(path)
+        _MATERIALIZED[key] = path
+    return read_blocks(spark, path, multi_line=False)
+
+
+def ledger_blocks_path(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the materialised block files (see ``ledger_blocks``)."""
+    import os
+
+    ledger_blocks(spark, sf_dir)
+    return _MATERIALIZED[(spark.sparkContext.applicationId, os.path.abspath(sf_dir))]
+
+
 def blocks_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     from orderlake.sources.tables import read_table, typed_documents
 
