@@ -9,7 +9,7 @@ from orderlake.operators.nest import nest_items
 from orderlake.plans.registry import register
 from orderlake.plans.sql_fragments import HEADER, with_views
 from orderlake.sources import tables as T
-from orderlake.sources.events import events_sql, lifecycle_events
+from orderlake.sources.events import events_sql, lifecycle_event_table
 
 _EV = events_sql()
 _CLEAN_LINES_N = """SELECT cast(l_orderkey AS varchar) AS orderId, count(*) AS n_items,
@@ -17,12 +17,12 @@ _CLEAN_LINES_N = """SELECT cast(l_orderkey AS varchar) AS orderId, count(*) AS n
 
 
 def _events(spark, sf):
-    return lifecycle_events(spark, sf)
+    return lifecycle_event_table(spark, sf)
 
 
 def _commands(spark, sf):
     """The event log without item lists (for commands that never read them)."""
-    return lifecycle_events(spark, sf, with_details=False)
+    return lifecycle_event_table(spark, sf, with_details=False)
 
 
 def _headers(spark, sf):

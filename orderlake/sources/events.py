@@ -136,6 +136,26 @@ def lifecycle_events(spark: SparkSession, sf_dir: str, with_details: bool = True
     return events_from_documents(read_table(spark, sf_dir, "orders"), lines)
 
 
+_MATERIALIZED: dict[tuple, str] = {}
+
+
+def lifecycle_event_table(spark: SparkSession, sf_dir: str, with_details: bool = True) -> DataFrame:
+    """The event log as a table: derived from the tables once per application and
+    scale-factor folder, written as parquet under the shared checkpoint folder,
+    and read back by every caller (as the replay would read an event table)."""
+    import os
+
+    from orderlake.session import scratch_path
+
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), with_details)
+    path = _MATERIALIZED.get(key)
+    if path is None:
+        path = scratch_path(spark, "lifecycle_events")
+        lifecycle_events(spark, sf_dir, with_details).write.mode("overwrite").parquet(path)
+        _MATERIALIZED[key] = path
+    return spark.read.parquet(path)
+
+
 # The same log in DuckDB SQL: (orderId, block, tx, function, org, customerId, has_meta, has_details, k).
 def events_sql() -> str:
     parts = []
