@@ -168,10 +168,14 @@ def ledger_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     path = _MATERIALIZED.get(key)
-    if path is None:
-        path = scratch_path(spark, "ledger_blocks")
-        blocks_from_tables(spark, sf_dir).write.mode("overwrite").json(path)
-        _MATERIALIZED[key] = path
+    if path is not None:
+        try:
+            return read_blocks(spark, path, multi_line=False)
+        except Exception:  # noqa: BLE001 - folder removed: derive it again
+            _MATERIALIZED.pop(key, None)
+    path = scratch_path(spark, "ledger_blocks")
+    blocks_from_tables(spark, sf_dir).write.mode("overwrite").json(path)
+    _MATERIALIZED[key] = path
     return read_blocks(spark, path, multi_line=False)
 
 

@@ -149,10 +149,14 @@ def lifecycle_event_table(spark: SparkSession, sf_dir: str, with_details: bool =
 
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), with_details)
     path = _MATERIALIZED.get(key)
-    if path is None:
-        path = scratch_path(spark, "lifecycle_events")
-        lifecycle_events(spark, sf_dir, with_details).write.mode("overwrite").parquet(path)
-        _MATERIALIZED[key] = path
+    if path is not None:
+        try:
+            return spark.read.parquet(path)
+        except Exception:  # noqa: BLE001 - folder removed: derive it again
+            _MATERIALIZED.pop(key, None)
+    path = scratch_path(spark, "lifecycle_events")
+    lifecycle_events(spark, sf_dir, with_details).write.mode("overwrite").parquet(path)
+    _MATERIALIZED[key] = path
     return spark.read.parquet(path)
 
 
