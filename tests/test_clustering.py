@@ -73,3 +73,17 @@ def test_dbscan_duplicates_and_2d(spark):
     want, core = brute_dbscan(pts, 0.5, 8)
     assert (lab["cluster"].to_numpy() == want).all()
     assert (lab["is_core"].to_numpy() == core).all()
+
+
+def test_dbscan_hot_cell(spark):
+    """A third of the points crowd into one grid cell; labels still match brute force."""
+    rng = np.random.default_rng(11)
+    hot = rng.uniform(0.0, 0.05, (300, 3))                       # one tiny region, one cell
+    rest = np.vstack([rng.normal(1.0, 0.25, (300, 3)), rng.uniform(-3, 3, (300, 3))])
+    pts = np.vstack([hot, rest])
+    rows = [(f"{i:04d}", *map(float, p)) for i, p in enumerate(pts)]
+    df = spark.createDataFrame(rows, "id string, x double, y double, z double")
+    lab = density.dbscan(df, "id", ["x", "y", "z"], 0.3, 10).orderBy("id").toPandas()
+    want, core = brute_dbscan(pts, 0.3, 10)
+    assert (lab["cluster"].to_numpy() == want).all()
+    assert (lab["is_core"].to_numpy() == core).all()
