@@ -16,12 +16,20 @@ from orderlake.schemas import RAW_ORDER, RAW_ORDER_WITH_CORRUPT
 CORRUPT = "_corrupt_record"
 
 
-def bronze_scan(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def bronze_scan(spark: SparkSession, path: str, multi_line: bool = True, lists: str = "whole") -> DataFrame:
     """Every order document under ``path`` (recursive), leaves as text.
 
     ``multi_line=True`` reads one JSON value per file (an object or a list of
     objects, as the listener stores them); ``False`` reads JSON lines.
+
+    ``lists="elementwise"`` handles files holding a list that mixes objects
+    with other values (``[{...}, 5]``): the JSON reader treats such a file as
+    one corrupt record, while the order model keeps every object of the list.
+    Each file is then read whole, parsed to a VARIANT, arrays are split into
+    their elements and every object element is cast to the bronze schema.
     """
+    if lists == "elementwise":
+        return _bronze_scan_elementwise(spark, path)
     df = (spark.read.schema(RAW_ORDER_WITH_CORRUPT)
           .option("multiLine", multi_line)
           .option("recursiveFileLookup", True)
@@ -35,6 +43,15 @@ def bronze_scan(spark: SparkSession, path: str, multi_line: bool = True) -> Data
     return df.filter(keep).select(*[f.name for f in RAW_ORDER.fields])
 
 
+def _bronze_scan_elementwise(spark: SparkSession, path: str) -> DataFrame:
+    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+    v = F.try_parse_json("value")
+    elems = F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.array(v))
+    e = files.select(F.explode(elems).alias("e"))
+    objects = e.filter(F.try_variant_get("e", "$", "map<string,variant>").isNotNull())
+    return objects.select(F.try_variant_get("e", "$", RAW_ORDER.simpleString()).alias("d")).select("d.*")
+
+
 def write_bronze(latest_docs: DataFrame, path: str, fmt: str = "json") -> None:
     """Store the latest document per order (one dataset, overwritten as a whole).
 
