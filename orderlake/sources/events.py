@@ -127,8 +127,9 @@ def events_from_documents(orders: DataFrame, lines: DataFrame | None) -> DataFra
 
     probe = d.select(meta.alias("m"), details.alias("d")).schema
     meta_type, det_type = probe["m"].dataType, probe["d"].dataType
-    evs = F.filter(F.array(*[ev(*s) for s in SLOTS]), lambda e: e.isNotNull())
-    return d.select(F.explode(evs).alias("e")).select("e.*")
+    # explode the fixed slots, then drop the empty ones with a plain predicate
+    return (d.select(F.explode(F.array(*[ev(*s) for s in SLOTS])).alias("e"))
+             .filter(F.col("e").isNotNull()).select("e.*"))
 
 
 def lifecycle_events(spark: SparkSession, sf_dir: str, with_details: bool = True) -> DataFrame:
