@@ -106,3 +106,24 @@ def q_stream_silver_header(spark, sf):
         raise RuntimeError(str(q.exception()))
     header, _ = ingest.current_silver(spark, updates)
     return header
+
+
+@register("stream_latest_event_per_user", """
+SELECT user_id, event_id, ts, event_type, value, props FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
+def q_stream_latest_event_per_user(spark, sf):
+    """T2 on the events stream: event files arrive over several triggers; running latest per user."""
+    from orderlake.sources.tables import read_table
+
+    ev = read_table(spark, sf, "events")
+    src = scratch_path(spark, "events_stream")
+    ev.repartition(6).write.mode("overwrite").parquet(src)
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 2).parquet(src)
+    latest = ledger.latest_per_key(stream, "user_id", ["ts", "event_id"])
+    name = "latest_events_" + src.rsplit("-", 1)[-1]
+    q = (latest.writeStream.outputMode("complete").format("memory").queryName(name)
+         .option("checkpointLocation", scratch_path(spark, "events_ckpt")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.table(name).select("user_id", "event_id", "ts", "event_type", "value", "props")
