@@ -32,16 +32,23 @@ def ledger_to_bronze(spark: SparkSession, blocks_path: str, bronze_path: str, ch
 
 
 def bronze_to_silver(spark: SparkSession, bronze_path: str, namespace: str = "silver",
-                     multi_line: bool = True) -> dict:
+                     multi_line: bool = True, buckets: int | None = None) -> dict:
+    """Bronze documents -> silver header and items.
+
+    Both tables are bucketed on ``orderId`` with the same bucket count
+    (default: the session's shuffle partitions), so the gold job joins them
+    without shuffling either side.
+    """
     sinks.ensure_namespace(spark, namespace)
     bronze = B.bronze_scan(spark, bronze_path, multi_line)
     if sinks.is_empty(bronze):
         log.info("no bronze data: stop")
         return {}
     header, items = silver.bronze_to_silver(bronze)
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     return {
-        "orders_header": sinks.replace_table(header, f"{namespace}.orders_header"),
-        "orders_items": sinks.replace_table(items, f"{namespace}.orders_items"),
+        "orders_header": sinks.replace_table(header, f"{namespace}.orders_header", bucket_by=("orderId", n)),
+        "orders_items": sinks.replace_table(items, f"{namespace}.orders_items", bucket_by=("orderId", n)),
     }
 
 

@@ -35,6 +35,15 @@ def test_jobs_write_tables(spark, scratch):
     c1 = medallion.bronze_to_silver(spark, bronze_dir, "t_silver", multi_line=False)
     assert c1["orders_header"] == spark.table("t_silver.orders_header").count() > 0
     assert c1["orders_items"] == spark.table("t_silver.orders_items").count() > 0
+    # silver tables are bucketed alike on orderId: the gold join shuffles neither side
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        from orderlake.operators import gold as G
+        j = G.items_with_header(spark.table("t_silver.orders_items"), spark.table("t_silver.orders_header"))
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan, plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     c2 = medallion.silver_to_gold(spark, "t_silver", "t_gold", as_of="2002-01-01")
     assert set(c2) == {"product_monthly", "customer_rfm", "product_anomaly", "orders"}
     names = {r.tableName for r in sinks.list_tables(spark, "t_gold").collect()}
