@@ -148,17 +148,26 @@ def lifecycle_event_table(spark: SparkSession, sf_dir: str, with_details: bool =
 
     from orderlake.session import scratch_path
 
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), with_details)
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     path = _MATERIALIZED.get(key)
+    table = None
     if path is not None:
         try:
-            return spark.read.parquet(path)
+            table = spark.read.parquet(path)
         except Exception:  # noqa: BLE001 - folder removed: derive it again
             _MATERIALIZED.pop(key, None)
-    path = scratch_path(spark, "lifecycle_events")
-    lifecycle_events(spark, sf_dir, with_details).write.mode("overwrite").parquet(path)
-    _MATERIALIZED[key] = path
-    return spark.read.parquet(path)
+    if table is None:
+        path = scratch_path(spark, "lifecycle_events")
+        lifecycle_events(spark, sf_dir, True).write.mode("overwrite").parquet(path)
+        _MATERIALIZED[key] = path
+        table = spark.read.parquet(path)
+    if with_details:
+        return table
+    # Same log without item lists: nested-column pruning reads only what is used.
+    d = F.col("orderDetails")
+    empty = F.array().cast(table.schema["orderDetails"].dataType["items"].dataType)
+    return table.withColumn("orderDetails", F.when(d.isNotNull(), F.struct(
+        d["total"].alias("total"), empty.alias("items"))))
 
 
 # The same log in DuckDB SQL: (orderId, block, tx, function, org, customerId, has_meta, has_details, k).
