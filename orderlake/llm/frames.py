@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,6 +46,11 @@ def refuse_clash(df: DataFrame, *added: str) -> None:
         raise ValueError(f"input already has the result column(s) {clash}; rename them first")
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once, also where ``use`` names it inside a lambda."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def row_key(id_col: Column, text: Column) -> tuple[Column, Column]:
     """Two non-null longs that rows share only if they agree in id and text (128 bits together)."""
     return F.xxhash64(text, F.lit(11)), F.xxhash64(F.lit(29), id_col, text)

@@ -66,4 +66,24 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(h.n_hit, 0)::BIGINT AS n_
 FROM docs d LEFT JOIN hit_words h ON d.doc_id = h.doc_id LEFT JOIN hit_items i ON d.doc_id = i.doc_id
 """
 
-ORACLE_SQL = {"op1_source_mix": OP1, "op9_decontaminate": OP9}
+OP4 = r"""
+WITH lines AS (
+  SELECT doc_id, source, p AS pos, l AS raw, trim(l, ' ' || chr(9) || chr(13)) AS line
+  FROM (SELECT doc_id, source, unnest(range(len(string_split(text, chr(10))))) AS p, unnest(string_split(text, chr(10))) AS l
+        FROM documents WHERE text IS NOT NULL)),
+wide AS (
+  SELECT line, min((doc_id, pos)) AS first FROM lines WHERE line <> '' GROUP BY line
+  HAVING count(DISTINCT coalesce('s' || source, '')) >= 3),
+marked AS (
+  SELECT l.*, w.line IS NOT NULL AND (l.doc_id, l.pos) <> w.first AS gone FROM lines l LEFT JOIN wide w ON l.line = w.line),
+texts AS (
+  SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_removed,
+         coalesce(string_agg(pos::VARCHAR, ',' ORDER BY pos) FILTER (gone), '') AS removed_lines,
+         coalesce(string_agg(raw, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS kept
+  FROM marked GROUP BY doc_id)
+SELECT d.doc_id, coalesce(t.n_lines, 0)::BIGINT AS n_lines, coalesce(t.n_removed, 0)::BIGINT AS n_removed,
+       coalesce(t.removed_lines, '') AS removed_lines, length(t.kept)::BIGINT AS kept_chars, sha256(t.kept) AS kept_sha256
+FROM documents d LEFT JOIN texts t ON d.doc_id = t.doc_id
+"""
+
+ORACLE_SQL = {"op4_line_dedup": OP4, "op1_source_mix": OP1, "op9_decontaminate": OP9}

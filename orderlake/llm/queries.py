@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.llm import decontam, mixing, simhash
+from orderlake.llm import decontam, linededup, mixing, pii, simhash
 from orderlake.llm.frames import documents, word_count
 from orderlake.llm.oracles import ORACLE_SQL  # noqa: F401
 
@@ -17,6 +17,19 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(sized, size="size").select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(documents(spark, sf_dir).select("doc_id", "text"))
+    counts = [F.size(pii.of_kinds(F.col("spans"), (k,))).cast("long").alias(f"n_{k}") for k in pii.BASE]
+    return found.select("doc_id", *counts, F.sha2(pii.joined(pii.of_kinds(F.col("spans"), pii.BASE)), 256).alias("base_sha256"),
+                        pii.joined(F.col("spans")).alias("spans"))
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = linededup.dedup_lines(documents(spark, sf_dir).select("doc_id", "text", "source"))
+    return done.select("doc_id", "n_lines", "n_removed", F.array_join("removed_lines", ",").alias("removed_lines"),
+                       F.length("text").cast("long").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir).select("doc_id", "text"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
@@ -31,5 +44,5 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_source_mix, op6_simhash, op9_decontaminate)
+    f.__name__: f for f in (op1_source_mix, op2_pii, op4_line_dedup, op6_simhash, op9_decontaminate)
 }
