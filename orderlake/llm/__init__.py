@@ -3,3 +3,11 @@ chat rendering, language, fingerprints, decontamination and toxicity.
 
 Nothing else in the library imports this subpackage.
 """
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this subpackage travel to the executors with their code, so these need no copy of the library.
+# What is broadcast is plain data for the same reason.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -44,58 +44,55 @@ def _is_word() -> np.ndarray:
     return vectext.byte_class(_DELIMITERS)
 
 
-class WindowSet:
-    """Windows of one block of items, for lookup by hash and exact verification."""
-
-    def __init__(self, items: list[tuple[str, str]], n: int):
-        is_word = _is_word()
-        self.ids = sorted({i for i, _ in items})
-        number = {x: k for k, x in enumerate(self.ids)}
-        texts = pa.array([t for _, t in items], pa.string())
-        by_length: dict[int, list] = {}
-        words: list[bytes] = []
-        for lo, _, data, offsets in vectext.chunks(texts):
-            data = vectext.lowered(data)
-            starts, ends, hashes, first = vectext.words(data, offsets, is_word)
-            raw, base = data.tobytes(), len(words)
-            words += [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
-            for k in range(len(offsets) - 1):
-                a, b = int(first[k]), int(first[k + 1])
-                if b > a:
-                    length = min(n, b - a)
-                    at = np.arange(a, b - length + 1)
-                    by_length.setdefault(length, []).append(
-                        (vectext.rolling(hashes[a:b], length), at + base, np.full(len(at), number[items[lo + k][0]])))
-        self.words = words
-        self.sets = {}
-        for length, parts in sorted(by_length.items()):
-            h, at, item = (np.concatenate([p[i] for p in parts]) for i in range(3))
-            order = np.argsort(h, kind="stable")
-            bits = max(16, int(len(h) * 64).bit_length())
-            seen = np.zeros(1 << bits, bool)
-            seen[h >> np.uint64(64 - bits)] = True
-            self.sets[length] = (h[order], at[order], item[order], bits, seen)
-
-    def hits(self, raw: bytes, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray, row_of: np.ndarray):
-        """(word index, length, item number) of every verified window of a chunk."""
-        for length, (known, at, item, bits, seen) in self.sets.items():
-            rolled = vectext.rolling(hashes, length)
-            if not len(rolled):
-                continue
-            maybe = np.flatnonzero(seen[rolled >> np.uint64(64 - bits)])
-            maybe = maybe[row_of[maybe] == row_of[maybe + length - 1]]
-            left, right = np.searchsorted(known, rolled[maybe], "left"), np.searchsorted(known, rolled[maybe], "right")
-            here = np.flatnonzero(right > left)
-            for w, a, b in zip(maybe[here].tolist(), left[here].tolist(), right[here].tolist()):
-                own = [raw[s:e] for s, e in zip(starts[w:w + length].tolist(), ends[w:w + length].tolist())]
-                last = None
-                for k in range(a, b):
-                    if self.words[at[k]:at[k] + length] == own and last != item[k]:
-                        last = item[k]
-                        yield w, length, int(last)
-
-
-def _scan_texts(column: pa.Array, windows: WindowSet) -> Iterator[tuple[int, list[tuple[int, int]], list[str], bytes, np.ndarray, np.ndarray]]:
+def window_set(items: list[tuple[str, str]], n: int) -> dict:
+    """Windows of one block of items as plain data: ``ids``, ``words`` (normalised, of all items in turn) and, by
+    window length, sorted hashes with the first word and item of each and a table of the hashes' leading bits."""
+    is_word = _is_word()
+    ids = sorted({i for i, _ in items})
+    number = {x: k for k, x in enumerate(ids)}
+    by_length: dict[int, list] = {}
+    words: list[bytes] = []
+    for lo, _, data, offsets in vectext.chunks(pa.array([t for _, t in items], pa.string())):
+        data = vectext.lowered(data)
+        starts, ends, hashes, first = vectext.words(data, offsets, is_word)
+        raw, base = data.tobytes(), len(words)
+        words += [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
+        for k in range(len(offsets) - 1):
+            a, b = int(first[k]), int(first[k + 1])
+            if b > a:
+                length = min(n, b - a)
+                at = np.arange(a, b - length + 1)
+                by_length.setdefault(length, []).append(
+                    (vectext.rolling(hashes[a:b], length), at + base, np.full(len(at), number[items[lo + k][0]])))
+    sets = {}
+    for length, parts in sorted(by_length.items()):
+        h, at, item = (np.concatenate([p[i] for p in parts]) for i in range(3))
+        order = np.argsort(h, kind="stable")
+        bits = max(16, int(len(h) * 64).bit_length())
+        seen = np.zeros(1 << bits, bool)
+        seen[h >> np.uint64(64 - bits)] = True
+        sets[length] = (h[order], at[order], item[order], bits, seen)
+    return {"ids": ids, "words": words, "sets": sets}
+
+
+def _hits(windows: dict, raw: bytes, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray, row_of: np.ndarray):
+    """(word index, length, item number) of every window of a chunk that is in the set, verified word by word."""
+    words = windows["words"]
+    for length, (known, at, item, bits, seen) in windows["sets"].items():
+        rolled = vectext.rolling(hashes, length)
+        if not len(rolled):
+            continue
+        maybe = np.flatnonzero(seen[rolled >> np.uint64(64 - bits)])
+        maybe = maybe[row_of[maybe] == row_of[maybe + length - 1]]
+        left, right = np.searchsorted(known, rolled[maybe], "left"), np.searchsorted(known, rolled[maybe], "right")
+        here = np.flatnonzero(right > left)
+        for w, a, b in zip(maybe[here].tolist(), left[here].tolist(), right[here].tolist()):
+            own = [raw[s:e] for s, e in zip(starts[w:w + length].tolist(), ends[w:w + length].tolist())]
+            for k in {int(item[k]) for k in range(a, b) if words[at[k]:at[k] + length] == own}:
+                yield w, length, k
+
+
+def _scan_texts(column: pa.Array, windows: dict) -> Iterator[tuple[int, list[tuple[int, int]], list[str], bytes, np.ndarray, np.ndarray]]:
     """Per row: number of words, merged hit spans in words, item ids, and the lowered bytes with word starts and ends."""
     is_word = _is_word()
     for _, _, data, offsets in vectext.chunks(column):
@@ -104,7 +101,7 @@ def _scan_texts(column: pa.Array, windows: WindowSet) -> Iterator[tuple[int, lis
         row_of = np.searchsorted(first, np.arange(len(starts)), "right") - 1
         covered = np.zeros(len(starts) + 1, np.int32)
         items: dict[int, set[int]] = {}
-        for w, length, item in windows.hits(low.tobytes() if windows.sets else b"", starts, ends, hashes, row_of):
+        for w, length, item in _hits(windows, low.tobytes(), starts, ends, hashes, row_of):
             covered[w] += 1
             covered[w + length] -= 1
             items.setdefault(int(row_of[w]), set()).add(item)
@@ -116,7 +113,7 @@ def _scan_texts(column: pa.Array, windows: WindowSet) -> Iterator[tuple[int, lis
                 edge = np.flatnonzero(np.diff(np.concatenate(([0], hit[a:b].astype(np.int8), [0]))))
                 spans = list(zip(edge[::2].tolist(), edge[1::2].tolist()))
             base = int(offsets[r])
-            yield (b - a, spans, sorted(windows.ids[i] for i in items.get(r, ())),
+            yield (b - a, spans, sorted(windows["ids"][i] for i in items.get(r, ())),
                    data[base:int(offsets[r + 1])], starts[a:b] - base, ends[a:b] - base)
 
 
@@ -150,7 +147,7 @@ def scan(docs: DataFrame, bench: DataFrame, *, text: str = "text", item_id: str
     """
     added = ("n_words", "n_hit", "hit_spans", "hit_items")
     refuse_clash(docs, *added)
-    sets = (WindowSet(block, n) for block in _blocks(bench, item_id, item_text, block_words))
+    sets = (window_set(block, n) for block in _blocks(bench, item_id, item_text, block_words))
     first = next(sets)
     if (second := next(sets, None)) is None:
         return _one_pass(docs, text, first, drop_text)
@@ -159,7 +156,7 @@ def scan(docs: DataFrame, bench: DataFrame, *, text: str = "text", item_id: str
     return merged.drop(text) if drop_text else merged
 
 
-def _one_pass(docs: DataFrame, text: str, windows: WindowSet, drop_text: bool = False) -> DataFrame:
+def _one_pass(docs: DataFrame, text: str, windows: dict, drop_text: bool = False) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(windows)
     at = docs.columns.index(text)
     kept = [k for k in range(len(docs.columns)) if not (drop_text and k == at)]
@@ -213,11 +210,11 @@ def clean(docs: DataFrame, bench: DataFrame, *, text: str = "text", item_id: str
     """
     out = docs
     for k, block in enumerate(_blocks(bench, item_id, item_text, block_words)):
-        out = _clean_pass(keep_lineage(out) if k else out, text, WindowSet(block, n), drop_share)
+        out = _clean_pass(keep_lineage(out) if k else out, text, window_set(block, n), drop_share)
     return out
 
 
-def _clean_pass(docs: DataFrame, text: str, windows: WindowSet, drop_share: float) -> DataFrame:
+def _clean_pass(docs: DataFrame, text: str, windows: dict, drop_share: float) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(windows)
     at = docs.columns.index(text)
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.llm import decontam, linededup, mixing, pii, simhash
+from orderlake.llm import decontam, langid, linededup, mixing, pii, simhash, winnow
 from orderlake.llm.frames import documents, word_count
 from orderlake.llm.oracles import ORACLE_SQL  # noqa: F401
 
@@ -35,6 +35,18 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3))
+    model = langid.learn(docs, where=fold != 1)
+    found = langid.predict(docs.drop("lang"), model, keep=["doc_id"])
+    return found.select("doc_id", F.coalesce(fold == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+def op8_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.compare_with_next(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = decontam.scan(documents(spark, sf_dir).select("doc_id", "text"), bench, drop_text=True)
@@ -44,5 +56,5 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_source_mix, op2_pii, op4_line_dedup, op6_simhash, op9_decontaminate)
+    f.__name__: f for f in (op1_source_mix, op2_pii, op4_line_dedup, op6_simhash, op7_language, op8_winnow, op9_decontaminate)
 }

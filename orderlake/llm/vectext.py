@@ -9,7 +9,6 @@ stays bounded by the segment and by 24 bytes a word.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -45,11 +44,16 @@ def chunks(column: pa.Array, most: int = CHUNK_BYTES) -> Iterator[tuple[int, int
         lo = hi
 
 
-@lru_cache(maxsize=4)
+_TABLES: dict[int, np.ndarray] = {}
+
+
 def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
-    return np.multiply.accumulate(out)
+    """base**0 to base**(n-1) modulo 2**64; the longest table so far is kept for the task."""
+    if len(_TABLES.get(base, ())) < n:
+        out = np.full(max(n, SEGMENT_BYTES), base, np.uint64)
+        out[:1] = 1
+        _TABLES[base] = np.multiply.accumulate(out)
+    return _TABLES[base][:n]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -74,10 +78,9 @@ def _segment(data: np.ndarray, row_starts: np.ndarray, is_word: np.ndarray, hash
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
     if not hashed:
         return starts, ends, None
-    n = max(SEGMENT_BYTES, 1 << int(len(data)).bit_length())
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(_P, n)[:len(data)], out=sums[1:])
-    return starts, ends, mix((sums[ends] - sums[starts]) * _powers(_P_INV, n)[starts])
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(_P, len(data)), out=sums[1:])
+    return starts, ends, mix((sums[ends] - sums[starts]) * _powers(_P_INV, len(data))[starts])
 
 
 def words(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray, hashed: bool = True):
