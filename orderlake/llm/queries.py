@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.llm import decontam, langid, linededup, mixing, pii, simhash, winnow
+from orderlake.llm import decontam, langid, linededup, mixing, pii, quality, simhash, toxicity, winnow
 from orderlake.llm.frames import documents, word_count
 from orderlake.llm.oracles import ORACLE_SQL  # noqa: F401
 
@@ -24,6 +24,14 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         pii.joined(F.col("spans")).alias("spans"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    ratio = quality.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    hashed = docs.withColumn("text_hash", F.xxhash64("text"))
+    scored = quality.score(hashed, ratio, keep=["doc_id", "text_hash"])
+    return quality.gumbel_top_k(scored, order=["doc_id", "text_hash"]).select("doc_id", "n_grams", "log_ratio", "gumbel_key", "selected")
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = linededup.dedup_lines(documents(spark, sf_dir).select("doc_id", "text", "source"))
     return done.select("doc_id", "n_lines", "n_removed", F.array_join("removed_lines", ",").alias("removed_lines"),
@@ -55,6 +63,11 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return toxicity.score(docs, toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")), keep=["doc_id"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_source_mix, op2_pii, op4_line_dedup, op6_simhash, op7_language, op8_winnow, op9_decontaminate)
+    f.__name__: f for f in (op1_source_mix, op2_pii, op3_quality, op4_line_dedup, op6_simhash, op7_language, op8_winnow, op9_decontaminate, op10_toxicity)
 }

@@ -66,15 +66,15 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _segment(data: np.ndarray, row_starts: np.ndarray, is_word: np.ndarray, hashed: bool):
-    word = is_word[data]
-    first = word.copy()
-    first[1:] &= ~word[:-1]
-    first[row_starts] = word[row_starts]
-    last = word.copy()
-    last[:-1] &= ~word[1:]
-    inner = row_starts[row_starts > 0] - 1
-    last[inner] = word[inner]
+def _segment(data: np.ndarray, row_starts: np.ndarray, classes: np.ndarray, hashed: bool):
+    kind = classes[data]
+    first, last = kind > 0, kind > 0
+    change = kind[1:] != kind[:-1]
+    first[1:] &= change
+    last[:-1] &= change
+    first[row_starts] = kind[row_starts] > 0
+    before = row_starts[row_starts > 0] - 1
+    last[before] = kind[before] > 0
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
     if not hashed:
         return starts, ends, None
@@ -83,9 +83,11 @@ def _segment(data: np.ndarray, row_starts: np.ndarray, is_word: np.ndarray, hash
     return starts, ends, mix((sums[ends] - sums[starts]) * _powers(_P_INV, len(data))[starts])
 
 
-def words(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray, hashed: bool = True):
+def words(data: np.ndarray, offsets: np.ndarray, classes: np.ndarray, hashed: bool = True):
     """Byte starts and ends of every word, its hash, and per row the number of the first word (n+1 values).
 
+    ``classes`` has the class of each byte: 0 stands between words, and a word is a run of one class.
+
     Equal words have equal hashes wherever they stand; different words may collide.
     """
     row_starts = np.unique(offsets[:-1][offsets[:-1] < len(data)])
@@ -93,14 +95,14 @@ def words(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray, hashed: bo
     while lo < len(data):
         hi = lo + SEGMENT_BYTES
         while hi < len(data):  # up to the next byte that no word holds
-            gap = np.flatnonzero(~is_word[data[hi:hi + SEGMENT_BYTES]])
+            gap = np.flatnonzero(classes[data[hi:hi + SEGMENT_BYTES]] == 0)
             if len(gap):
                 hi += int(gap[0])
                 break
             hi += SEGMENT_BYTES
         hi = min(hi, len(data))
         a, b = np.searchsorted(row_starts, (lo, hi))
-        starts, ends, hashes = _segment(data[lo:hi], row_starts[a:b] - lo, is_word, hashed)
+        starts, ends, hashes = _segment(data[lo:hi], row_starts[a:b] - lo, classes, hashed)
         found.append((starts + lo, ends + lo, hashes))
         lo = hi
     if not found:
@@ -123,10 +125,11 @@ def rolling(hashes: np.ndarray, n: int) -> np.ndarray:
     return mix(out)
 
 
-def byte_class(delimiters: bytes) -> np.ndarray:
-    """Table of 256: True for bytes that belong to words."""
-    table = np.ones(256, bool)
-    table[np.frombuffer(delimiters, np.uint8)] = False
+def byte_class(delimiters: bytes, apart: bytes = b"") -> np.ndarray:
+    """Class of each byte: 0 for delimiters, 2 for bytes that make up words of their own, else 1."""
+    table = np.ones(256, np.uint8)
+    table[np.frombuffer(delimiters, np.uint8)] = 0
+    table[np.frombuffer(apart, np.uint8)] = 2
     return table
 
 
