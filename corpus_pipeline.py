@@ -10,9 +10,11 @@ from orderlake.llm import stages
 from orderlake.session import scratch_path
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language", stages.language),
+    ("lines", stages.lines),
     ("near_duplicates", stages.near_duplicates),
     ("decontamination", stages.decontamination),
-    ("mixing", stages.mixing_stage),
+    ("mixing", stages.source_mix),
 ]
 
 #: SQL has no BK-tree, n-gram filter or SimHash; the stages are tested one by one against brute force.

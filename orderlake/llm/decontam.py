@@ -13,7 +13,7 @@ Defined results: a null or empty text has no words and is clean; a null or
 wordless item has no window; items that share an id count once; a null item id is
 reported as ``null``; rows that repeat are judged each on its own; empty tables
 give empty or all-clean results. Extra document columns pass through; a column
-named like a result column is refused.
+named like a result column is replaced by it.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlake.llm import vectext
-from orderlake.llm.frames import fresh, keep_lineage, refuse_clash, row_key
+from orderlake.llm.frames import fresh, keep_lineage, cleared, row_key
 
 #: Words are runs of digits, a-z and everything beyond ASCII, after A-Z were lower-cased.
 _DELIMITERS = bytes([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
@@ -146,7 +146,7 @@ def scan(docs: DataFrame, bench: DataFrame, *, text: str = "text", item_id: str
     ``drop_text`` leaves the text out, which spares sending it back from the scan.
     """
     added = ("n_words", "n_hit", "hit_spans", "hit_items")
-    refuse_clash(docs, *added)
+    docs = cleared(docs, *added)
     sets = (window_set(block, n) for block in _blocks(bench, item_id, item_text, block_words))
     first = next(sets)
     if (second := next(sets, None)) is None:

@@ -38,12 +38,22 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def refuse_clash(df: DataFrame, *added: str) -> None:
-    """Raise when ``df`` already has one of the result columns an operator adds."""
-    have = {c.lower() for c in df.columns}
-    clash = [c for c in added if c.lower() in have]
-    if clash:
-        raise ValueError(f"input already has the result column(s) {clash}; rename them first")
+def cleared(df: DataFrame, *added: str) -> DataFrame:
+    """``df`` without the columns that the result is about to have: those are replaced."""
+    return df.drop(*added)
+
+
+def shield(docs: DataFrame, *used: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with all but the columns ``used`` under names that clash with nothing, and how to undo it.
+
+    The undoing returns exactly the columns of ``docs``, in their order.
+    """
+    names = [c if c in used else f"__kept_{k}" for k, c in enumerate(docs.columns)]
+
+    def restore(df: DataFrame) -> DataFrame:
+        return df.select(*names).toDF(*docs.columns)
+
+    return docs.toDF(*names), restore
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -51,6 +61,24 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+def sums_before(lengths: Column) -> Column:
+    """For each element of an array the sum of those before it, in about n * sqrt(n) steps."""
+    def total(xs: Column) -> Column:
+        return F.aggregate(xs, F.lit(0).cast("long"), lambda a, x: a + x)
+
+    def in_blocks(ls: Column) -> Column:
+        width = F.ceil(F.sqrt(F.size(ls))).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(ls) - 1) / width).cast("int")),
+                             lambda b: total(F.slice(ls, b * width + 1, width)))
+        return let(blocks, lambda bs: let(
+            F.transform(bs, lambda _, b: total(F.slice(bs, F.lit(1), b))),
+            lambda ahead: F.transform(ls, lambda _, i: F.get(ahead, F.floor(i / width).cast("int")) + total(
+                F.slice(ls, (F.floor(i / width) * width).cast("int") + 1, i % width)))))
+
+    # sequence(0, -1) would count down, so no element, no blocks
+    return let(lengths, lambda ls: F.when(F.size(ls) > 0, in_blocks(ls)).otherwise(F.array().cast("array<bigint>")))
+
+
 def row_key(id_col: Column, text: Column) -> tuple[Column, Column]:
     """Two non-null longs that rows share only if they agree in id and text (128 bits together)."""
     return F.xxhash64(text, F.lit(11)), F.xxhash64(F.lit(29), id_col, text)

@@ -18,7 +18,7 @@ Defined results: a null text, or one without a letter, is ``und`` with score 0;
 text none of whose n-grams is known gets the language with most training documents and score 0;
 ties go to the first language by code point; with nothing learned every text is ``und``.
 Rows without a label or id are not learned from. Rows that repeat are judged each on its
-own; extra columns pass through; a column named like a result column is refused.
+own; extra columns pass through; a column named like a result column is replaced by it.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderlake.llm.frames import refuse_clash
+from orderlake.llm.frames import cleared
 from orderlake.llm.vectext import chunks, mix
 
 N = 4
@@ -174,7 +174,7 @@ def decide(texts: list[str | None], model: Model) -> tuple[list[str], np.ndarray
 
 def predict(docs: DataFrame, model: Model, *, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` of ``docs`` (all, if not given) plus lang_pred and score."""
-    refuse_clash(docs, "lang_pred", "score")
+    docs = cleared(docs, "lang_pred", "score")
     keep = docs.columns if keep is None else keep
     kept, at = [docs.columns.index(c) for c in keep], docs.columns.index(text)
     shared = docs.sparkSession.sparkContext.broadcast(asdict(model))

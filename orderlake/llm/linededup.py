@@ -14,7 +14,7 @@ Lines are compared without blanks at either end and by 128 bits of hash. Blank l
 never go. Defined results: a null text has no lines and stays null; a null site is a site of its
 own; a null id comes after all others; rows equal in id and text are one document
 and keep the same lines; line order stays. Empty tables give empty results. Extra
-columns pass through; a column named like a result column is refused.
+columns pass through; a column named like a result column is replaced by it.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.frames import fresh, keep_lineage, let, refuse_clash, row_key
+from orderlake.llm.frames import fresh, keep_lineage, let, cleared, row_key
 
 MIN_SITES = 3
 #: Sketch size as a power of two, and how many standard errors count as near the threshold.
@@ -59,7 +59,7 @@ def dedup_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
                 min_sites: int = MIN_SITES) -> DataFrame:
     """``docs`` with cross-site lines taken out of the text, plus n_lines, n_removed (longs) and
     removed_lines (their positions from 0, ascending)."""
-    refuse_clash(docs, "n_lines", "n_removed", "removed_lines")
+    docs = cleared(docs, "n_lines", "n_removed", "removed_lines")
     k1, k2, gone = fresh(docs, "_k1", "_k2", "_gone")
     keyed = docs.withColumns(dict(zip((k1, k2), row_key(F.col(doc_id), F.col(text)))))
     lines = _line_rows(keyed, doc_id, text, site, k1, k2)

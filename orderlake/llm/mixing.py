@@ -18,7 +18,7 @@ Defined results: null or blank texts have size 0 and are never needed for a targ
 (they count as taken with 0 words); documents without a source form a source of
 their own; rows that repeat are separate documents; rows that agree in id, source and
 text may swap places, which changes no total. An empty table gives an empty mix.
-Extra columns pass through; a column named like a result column is refused.
+Extra columns pass through; a column named like a result column is replaced by it.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.frames import fresh, keep_lineage, refuse_clash, running_sum
+from orderlake.llm.frames import fresh, keep_lineage, cleared, running_sum
 
 WEIGHTS = (5, 2, 1)
 BUDGET_SHARE = 1.5
@@ -68,8 +68,8 @@ def mix(docs: DataFrame, *, size: str, doc_id: str = "doc_id", source: str = "so
 
     ``size`` names a long column. ``text``, if given, separates documents of equal id, source and size.
     """
-    refuse_clash(docs, "source_size", "target", "copies", "taken")
-    (rid,) = fresh(docs, "_rid")
+    docs = cleared(docs, "source_size", "target", "copies", "taken")
+    rid, g = fresh(docs, "_rid", "_g")
     rows = keep_lineage(docs.withColumn(rid, F.monotonically_increasing_id()))
     tie = F.xxhash64(text) if text else F.lit(0).cast("long")
     sized = rows.select(F.col(rid).alias("rid"), F.col(doc_id).alias("doc_id"), F.col(source).alias("source"),
@@ -77,9 +77,9 @@ def mix(docs: DataFrame, *, size: str, doc_id: str = "doc_id", source: str = "so
     goals = targets(sized, source="source", size="size", weights=weights, budget_share=budget_share, max_epochs=max_epochs)
     copies = schedule(sized, goals, max_epochs=max_epochs, seed=seed)
     count = copies.groupBy("rid").agg(F.count(F.lit(1)).alias("copies")).select(F.col("rid").alias(rid), "copies")
-    goal = _small(goals.select(F.col("source").alias("g"), "source_size", "target"))
+    goal = _small(goals.select(F.col("source").alias(g), "source_size", "target"))
     out = rows.join(count, rid, "left").drop(rid)
-    out = out.join(goal, out[source].eqNullSafe(goal["g"]), "left").drop("g")
+    out = out.join(goal, out[source].eqNullSafe(goal[g]), "left").drop(g)
     copies_or_0 = F.coalesce("copies", F.lit(0)).cast("long")
     return out.withColumns({"copies": copies_or_0, "taken": copies_or_0 * F.coalesce(F.col(size), F.lit(0)).cast("long")})
 

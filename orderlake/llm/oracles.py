@@ -86,4 +86,27 @@ SELECT d.doc_id, coalesce(t.n_lines, 0)::BIGINT AS n_lines, coalesce(t.n_removed
 FROM documents d LEFT JOIN texts t ON d.doc_id = t.doc_id
 """
 
-ORACLE_SQL = {"op4_line_dedup": OP4, "op1_source_mix": OP1, "op9_decontaminate": OP9}
+OP5 = r"""
+WITH turns AS (
+  SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations),
+placed AS (
+  SELECT *, (row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, encode(role), encode(text)) - 1) AS place FROM turns),
+pieces AS (SELECT *, (place // 256)::BIGINT AS piece FROM placed),
+views AS (
+  SELECT p.*, v.role AS participant FROM pieces p
+  JOIN (SELECT DISTINCT conv_id, piece, role FROM pieces WHERE role <> 'system') v
+    ON p.conv_id IS NOT DISTINCT FROM v.conv_id AND p.piece = v.piece),
+parts AS (
+  SELECT *, CASE WHEN role = participant THEN '<|assistant|>' || chr(10) WHEN role = 'system' THEN '<|system|>' || chr(10)
+                 ELSE '<|user name=' || replace(role, '<|', '< |') || '|>' || chr(10) END AS head,
+         replace(text, '<|', '< |') || '<|end|>' AS body FROM views),
+sized AS (
+  SELECT *, coalesce(sum(length(head) + length(body) + 1) OVER (PARTITION BY conv_id, piece, participant ORDER BY place
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT + length(head) AS start FROM parts)
+SELECT conv_id, piece, participant, count(*)::BIGINT AS n_turns, count(*) FILTER (role = participant)::BIGINT AS n_own,
+       sum(length(head) + length(body) + 1)::BIGINT AS n_chars, sha256(string_agg(head || body || chr(10), '' ORDER BY place)) AS rendered_sha256,
+       string_agg(start::VARCHAR || ':' || (start + length(body))::VARCHAR, ',' ORDER BY place) FILTER (role = participant) AS masks
+FROM sized GROUP BY conv_id, piece, participant
+"""
+
+ORACLE_SQL = {"op5_perspectives": OP5, "op4_line_dedup": OP4, "op1_source_mix": OP1, "op9_decontaminate": OP9}

@@ -17,7 +17,7 @@ match what the plain patterns of the contract match.
 
 Defined results: a null or empty text has no span; spans of different kinds may
 overlap and are all reported; rows that repeat are judged each on its own; empty tables give
-empty results. Extra columns pass through; a column named like a result column is refused.
+empty results. Extra columns pass through; a column named like a result column is replaced by it.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.frames import fresh, let, refuse_clash
+from orderlake.llm.frames import fresh, let, cleared, sums_before
 
 #: Kinds in the order in which spans with equal starts are listed.
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn", "local_phone")
@@ -109,24 +109,6 @@ RULES = (
 )
 
 
-def _sums_before(lengths: Column) -> Column:
-    """For each element of an array the sum of those before it, in about n * sqrt(n) steps."""
-    def total(xs: Column) -> Column:
-        return F.aggregate(xs, F.lit(0).cast("long"), lambda a, x: a + x)
-
-    def in_blocks(ls: Column) -> Column:
-        width = F.ceil(F.sqrt(F.size(ls))).cast("int")
-        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(ls) - 1) / width).cast("int")),
-                             lambda b: total(F.slice(ls, b * width + 1, width)))
-        return let(blocks, lambda bs: let(
-            F.transform(bs, lambda _, b: total(F.slice(bs, F.lit(1), b))),
-            lambda ahead: F.transform(ls, lambda _, i: F.get(ahead, F.floor(i / width).cast("int")) + total(
-                F.slice(ls, (F.floor(i / width) * width).cast("int") + 1, i % width)))))
-
-    # sequence(0, -1) would count down, so no element, no blocks
-    return let(lengths, lambda ls: F.when(F.size(ls) > 0, in_blocks(ls)).otherwise(F.array().cast("array<bigint>")))
-
-
 _SPANS = "array<struct<start:bigint,kind_no:int,end:bigint,match:string,score:double>>"
 
 
@@ -136,7 +118,7 @@ def _found(text: Column, rule: Rule, has_digit: Column) -> Column:
 
     def spans(ms: Column, ps: Column) -> Column:
         lengths = F.transform(ms, lambda m, i: (F.length(m) + F.length(F.get(ps, i))).cast("long"))
-        return let(_sums_before(lengths), lambda ahead: F.transform(ms, lambda m, i: let(
+        return let(sums_before(lengths), lambda ahead: F.transform(ms, lambda m, i: let(
             ahead[i] + F.length(F.get(ps, i)), lambda start: F.struct(
                 start.alias("start"), F.lit(number).alias("kind_no"), (start + F.length(m)).alias("end"), m.alias("match"),
                 _score(rule, F.right(F.get(ps, i), F.lit(BEFORE)), F.left(F.get(ps, i + 1), F.lit(AFTER))).alias("score")))))
@@ -158,7 +140,7 @@ def _score(rule: Rule, before: Column, after: Column) -> Column:
 
 def find(docs: DataFrame, *, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``docs`` plus ``spans``: kind, start, end, match and score, by start, then kind as in ``KINDS``, then end."""
-    refuse_clash(docs, "spans")
+    docs = cleared(docs, "spans")
     raw, = fresh(docs, "_raw")
     body = F.coalesce(F.col(text), F.lit(""))
     has_digit = body.rlike("[0-9]")

@@ -16,7 +16,7 @@ Defined results: a null text, or one without a token, has log importance 0, no G
 is never selected; labels of unknown ids or without a value count for nothing; with no target text every ratio is 0
 and nothing beyond chance is preferred; rows that repeat are judged each on its own and share key and
 selection order. Without ``k``, as many texts are drawn as have a positive ratio. Extra columns pass
-through; a column named like a result column is refused.
+through; a column named like a result column is replaced by it.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlake.llm import vectext
-from orderlake.llm.frames import fresh, keep_lineage, refuse_clash, running_sum
+from orderlake.llm.frames import fresh, keep_lineage, cleared, running_sum
 
 BUCKET_BITS = 14
 MAX_LABELLED = 50_000
@@ -95,7 +95,7 @@ def learn(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: s
 
 def score(docs: DataFrame, ratio: np.ndarray, *, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` of ``docs`` (all, if not given) plus n_grams and log_ratio (sum over the text's n-grams)."""
-    refuse_clash(docs, "n_grams", "log_ratio")
+    docs = cleared(docs, "n_grams", "log_ratio")
     keep = docs.columns if keep is None else keep
     kept, at = [docs.columns.index(c) for c in keep], docs.columns.index(text)
     shared, bits = docs.sparkSession.sparkContext.broadcast(ratio), int(len(ratio)).bit_length() - 1
@@ -119,7 +119,7 @@ def gumbel_top_k(scored: DataFrame, *, order: list[str], k: int | None = None, w
 
     ``order`` names columns whose hash gives each row's noise and that settle ties.
     """
-    refuse_clash(scored, "gumbel_key", "selected")
+    scored = cleared(scored, "gumbel_key", "selected")
     one, rank = fresh(scored, "_one", "_rank")
     unit = (F.pmod(F.xxhash64(F.lit(seed), *order), F.lit(1 << 52)) + 0.5) / float(1 << 52)
     keyed = keep_lineage(scored.withColumn("gumbel_key", F.when(F.col(eligible) > 0, F.col(weight) - F.log(-F.log(unit)))))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.llm import decontam, langid, linededup, mixing, pii, quality, simhash, toxicity, winnow
+from orderlake.llm import chat, decontam, langid, linededup, mixing, pii, quality, simhash, toxicity, winnow
 from orderlake.llm.frames import documents, word_count
 from orderlake.llm.oracles import ORACLE_SQL  # noqa: F401
 
@@ -38,6 +38,13 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.length("text").cast("long").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op5_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    views = chat.rotate(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    masks = F.array_join(F.transform("masks", lambda m: F.concat_ws(":", m["start"], m["end"])), ",")
+    return views.select("conv_id", "piece", "participant", "n_turns", "n_own", F.length("rendered").cast("long").alias("n_chars"),
+                        F.sha2("rendered", 256).alias("rendered_sha256"), masks.alias("masks"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir).select("doc_id", "text"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
@@ -69,5 +76,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_source_mix, op2_pii, op3_quality, op4_line_dedup, op6_simhash, op7_language, op8_winnow, op9_decontaminate, op10_toxicity)
+    f.__name__: f for f in (op1_source_mix, op2_pii, op3_quality, op4_line_dedup, op5_perspectives, op6_simhash, op7_language, op8_winnow, op9_decontaminate, op10_toxicity)
 }

@@ -20,7 +20,7 @@ shard, never all pairs. Connected components over those edges give the classes.
 Defined results: null and wordless texts have fingerprint zero and are linked like
 any other; a text of fewer words is one shingle; rows that repeat have equal
 fingerprints; a null id never becomes a component id unless the class has no other.
-Extra columns pass through; a column named like a result column is refused.
+Extra columns pass through; a column named like a result column is replaced by it.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderlake.llm.frames import fresh, keep_lineage, refuse_clash, row_key
+from orderlake.llm.frames import fresh, keep_lineage, cleared, row_key
 from orderlake.operators.components import connected_components
 
 SHINGLE = 3
@@ -69,7 +69,7 @@ def text_fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 def fingerprints(docs: DataFrame, *, text: str = "text", shingle: int = SHINGLE, name: str = "fingerprint",
                  keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` of ``docs`` (all, if not given) plus the fingerprint as a signed 64-bit integer."""
-    refuse_clash(docs, name)
+    docs = cleared(docs, name)
     keep = docs.columns if keep is None else keep
     at, kept = docs.columns.index(text), [docs.columns.index(c) for c in keep]
 
@@ -211,7 +211,7 @@ def classes(prints: DataFrame, doc_id: str, fingerprint: str, distance: int = DI
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
                     distance: int = DISTANCE, shard_nodes: int = SHARD_NODES) -> DataFrame:
     """``docs`` without its text, plus fingerprint (signed long) and component_id (smallest ``doc_id`` of the class)."""
-    refuse_clash(docs, "fingerprint", "component_id")
+    docs = cleared(docs, "fingerprint", "component_id")
     rest = [c for c in docs.columns if c != text]
     prints = keep_lineage(fingerprints(docs, text=text, shingle=shingle, keep=rest))
     (fp,) = fresh(prints, "fp")

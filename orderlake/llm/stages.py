@@ -1,6 +1,7 @@
 """Stages of the corpus pipeline: each takes (spark, docs, sf_dir) and calls one operator.
 
-All but the last return the columns they were given.
+All but the last return exactly the columns they were given, n_chars renewed where a stage edits texts.
+Columns beyond those of ``documents`` may have any name: a stage sets them aside and puts them back.
 """
 
 from __future__ import annotations
@@ -8,22 +9,50 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.llm import decontam, mixing, simhash
-from orderlake.llm.frames import fresh, word_count
+from orderlake.llm import decontam, langid, linededup, mixing, simhash
+from orderlake.llm.frames import shield, word_count
+
+USED = ("doc_id", "text", "lang", "source", "n_chars")
+#: Least share of a text's n-grams that its language must hold.
+MIN_SCORE = 0.5
+
+
+def _measured(docs: DataFrame) -> DataFrame:
+    """``n_chars``, if there, as the length of the text."""
+    if "n_chars" not in docs.columns:
+        return docs
+    kind = docs.schema["n_chars"].dataType
+    return docs.withColumn("n_chars", F.coalesce(F.length("text").cast(kind), F.col("n_chars")))
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, and those whose text fits no learned language, go. Learns from all labelled rows."""
+    plain, restore = shield(docs, *USED)
+    found = langid.predict(plain, langid.learn(plain))
+    return restore(found.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_SCORE)))
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines seen on several sites go from all documents but the first; a document they made up altogether goes too."""
+    plain, restore = shield(docs, *USED)
+    done = linededup.dedup_lines(plain)
+    return restore(_measured(done).where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked fingerprints stays: that of the smallest doc_id."""
-    return simhash.keep_one(docs)
+    plain, restore = shield(docs, *USED)
+    return restore(simhash.keep_one(plain))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark passages are cut out; a document that is half benchmark or more goes."""
-    return decontam.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    plain, restore = shield(docs, *USED)
+    return restore(_measured(decontam.clean(plain, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))))
 
 
-def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with how often the mix takes each, and its words; those it does not take go."""
-    (size,) = fresh(docs, "size")
-    sized = docs.withColumn(size, word_count(F.col("text")))
-    return mixing.mix(sized, size=size, text="text").where("copies > 0")
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the mix takes, with how often (copies), their words (size), the words taken and
+    their source's size and target. These replace columns of the same names."""
+    sized = docs.drop("size").withColumn("size", word_count(F.col("text")))
+    return mixing.mix(sized, size="size", text="text").where("copies > 0")

@@ -17,7 +17,7 @@ of the id), so what reaches the driver has a fixed largest size; scoring covers
 Defined results: null and wordless texts have no feature and get the severity of an unmarked text; labels
 without a value, or of unknown ids, count for nothing; if an id has several labels the largest holds; with labels of one class
 only, nothing can be learned and every severity is 0. Rows that repeat are judged each on its own; extra
-columns pass through; a column named like a result column is refused.
+columns pass through; a column named like a result column is replaced by it.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlake.llm import vectext
-from orderlake.llm.frames import keep_lineage, refuse_clash
+from orderlake.llm.frames import keep_lineage, cleared
 
 MAX_PER_CLASS = 3000
 MAX_FEATURES = 4096
@@ -191,7 +191,7 @@ def fit(entries: tuple[np.ndarray, np.ndarray, np.ndarray], dense: np.ndarray, g
 def score(docs: DataFrame, model: dict, *, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` of ``docs`` (all, if not given) plus p_toxic, severity (0 to 3), grade (most likely) and toxic."""
     added = ("p_toxic", "severity", "grade", "toxic")
-    refuse_clash(docs, *added)
+    docs = cleared(docs, *added)
     keep = docs.columns if keep is None else keep
     kept, at = [docs.columns.index(c) for c in keep], docs.columns.index(text)
     shared = docs.sparkSession.sparkContext.broadcast(model)

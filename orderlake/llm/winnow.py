@@ -12,7 +12,7 @@ Defined results: a null or empty text has the empty fingerprint, and two of thes
 a text of fewer than ``k`` code points is one run; fewer than ``w`` runs are one window.
 Long texts are hashed in pieces that overlap by a window, with the same result.
 Equal texts have equal fingerprints. Rows that repeat are judged each on its own; extra
-columns pass through; a column named like a result column is refused.
+columns pass through; a column named like a result column is replaced by it.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderlake.llm.frames import refuse_clash
+from orderlake.llm.frames import cleared
 from orderlake.llm.vectext import mix
 
 K = 12
@@ -111,7 +111,7 @@ def likeness(a: set, b: set) -> float:
 
 def fingerprints(docs: DataFrame, *, text: str = "text", k: int = K, w: int = W) -> DataFrame:
     """``docs`` plus ``fingerprint``."""
-    refuse_clash(docs, "fingerprint")
+    docs = cleared(docs, "fingerprint")
     at = docs.columns.index(text)
 
     def run(batches):
