@@ -1,11 +1,13 @@
 """Connected components by iterated min-label propagation with pointer jumping.
 
-Each round is one join and one aggregation over the edge list; the label
-table is checkpointed to the session's checkpoint folder (reliable storage
-named by ``spark.checkpoint.dir``) so lineage stays short and a lost
-executor only recomputes one round. Pointer jumping (label <- label of the
-label) shortens long chains, so rounds grow with log of the component
-diameter in practice.
+Each round sends labels over the edges, keeps the smallest one of every vertex,
+and replaces it by that label's own label of the round before (pointer
+jumping), so rounds grow with the log of the component diameter in practice.
+Rounds go on until no label changes. The label table is checkpointed to the
+session's checkpoint folder (reliable storage named by ``spark.checkpoint.dir``)
+so lineage stays short and a lost executor only recomputes one round. Both joins
+read checkpointed or freshly shuffled sides, so a label or vertex with most of
+the rows can be split by the adaptive skew join.
 """
 
 from __future__ import annotations
@@ -18,27 +20,27 @@ from pyspark.sql import functions as F
 from orderlake.session import ensure_checkpoint_dir
 
 
-def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 200) -> DataFrame:
+def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """vertices: column ``v``; edges: ``src``, ``dst`` (same type as ``v``).
 
     Returns (v, label) with label = the smallest vertex of its component.
     """
     ensure_checkpoint_dir(vertices.sparkSession)
+    log = logging.getLogger(__name__)
     e = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     e = e.filter(F.col("src") != F.col("dst")).distinct().checkpoint()
-    logging.getLogger(__name__).info("edges ready")
     labels = vertices.select("v").distinct().withColumn("label", F.col("v")).checkpoint()
-    log = logging.getLogger(__name__)
-    for rnd in range(max_rounds):
-        nb = e.join(labels.withColumnRenamed("v", "src"), "src").select(F.col("dst").alias("v"), "label")
-        new = labels.unionByName(nb).groupBy("v").agg(F.min("label").alias("label"))
-        hop = new.select(F.col("v").alias("label"), F.col("label").alias("_l2"))
-        new = (new.join(hop, "label", "left")
-                  .select("v", F.least(F.col("label"), F.coalesce("_l2", "label")).alias("label"))
-                  .checkpoint())
-        changed = new.join(labels.withColumnRenamed("label", "_old"), "v").filter(F.col("label") != F.col("_old"))
-        labels = new
-        if changed.isEmpty():
-            log.info("connected components converged after %d rounds", rnd + 1)
+    none = F.lit(None).cast(vertices.schema["v"].dataType)
+    rnd = 0
+    while True:
+        rnd += 1
+        sent = e.join(labels.select(F.col("v").alias("src"), "label"), "src").select(F.col("dst").alias("v"), "label", none.alias("old"))
+        least = (labels.withColumn("old", F.col("label")).unionByName(sent)
+                 .groupBy("v").agg(F.min("label").alias("label"), F.max("old").alias("old")))
+        hop = labels.select(F.col("v").alias("label"), F.col("label").alias("hop"))
+        new = (least.join(hop, "label", "left")
+                    .select("v", F.least("label", F.coalesce("hop", "label")).alias("label"), "old").checkpoint())
+        labels = new.select("v", "label")
+        if new.filter(F.col("label") != F.col("old")).isEmpty():
+            log.info("connected components settled after %d rounds", rnd)
             return labels
-    raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
