@@ -19,10 +19,12 @@ def documents(spark, sf_dir: str) -> DataFrame:
 
 def word_count(text: Column) -> Column:
     """Number of ``[^\\x20\\x09-\\x0D]+`` in ``text`` (null: 0), without leaving the JVM."""
-    pieces = F.split(text, BLANK_CLASS)
-    blank_ends = F.when(F.element_at(pieces, 1) == "", 1).otherwise(0) + F.when(
-        (F.size(pieces) > 1) & (F.element_at(pieces, -1) == ""), 1).otherwise(0)
-    return F.when(text.isNull(), F.lit(0)).otherwise(F.size(pieces) - blank_ends).cast("long")
+    def count(pieces: Column) -> Column:
+        blank_ends = F.when(F.element_at(pieces, 1) == "", 1).otherwise(0) + F.when(
+            (F.size(pieces) > 1) & (F.element_at(pieces, -1) == ""), 1).otherwise(0)
+        return F.size(pieces) - blank_ends
+
+    return F.when(text.isNull(), F.lit(0)).otherwise(let(F.split(text, BLANK_CLASS), count)).cast("long")
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

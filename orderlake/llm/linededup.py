@@ -28,6 +28,8 @@ MIN_SITES = 3
 #: Sketch size as a power of two, and how many standard errors count as near the threshold.
 LG_K = 12
 ERRORS = 4.0
+#: Most lines of some 70 bytes that are broadcast to the documents' lines.
+BROADCAST_LINES = 200_000
 
 
 def _line_rows(keyed: DataFrame, doc_id: str, text: str, site: str, k1: str, k2: str) -> DataFrame:
@@ -49,12 +51,17 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K)
     guess = spread.select("h1", "h2", "first", F.hll_sketch_estimate("sketch").alias("sites")).where(F.col("sites") >= low)
     guess = keep_lineage(guess)
     near = guess.where(F.col("sites") <= high)
-    exact = (lines.select("h1", "h2", "site").join(near.select("h1", "h2"), ["h1", "h2"], "left_semi")
+    exact = (lines.select("h1", "h2", "site").join(_small(near.select("h1", "h2")), ["h1", "h2"], "left_semi")
              .groupBy("h1", "h2").agg(F.count_distinct("site").alias("exact")).where(F.col("exact") >= min_sites))
     sure = guess.where(F.col("sites") > high).select("h1", "h2", "first")
     return sure.unionByName(near.join(exact, ["h1", "h2"]).select("h1", "h2", "first"))
 
 
+def _small(few: DataFrame) -> DataFrame:
+    """Lines of a checkpointed frame: broadcast when they are few enough, else left to a shuffle that splits hot lines."""
+    return F.broadcast(few) if few.count() <= BROADCAST_LINES else few
+
+
 def dedup_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", site: str = "source",
                 min_sites: int = MIN_SITES) -> DataFrame:
     """``docs`` with cross-site lines taken out of the text, plus n_lines, n_removed (longs) and
@@ -65,7 +72,7 @@ def dedup_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     lines = _line_rows(keyed, doc_id, text, site, k1, k2)
     found = keep_lineage(boilerplate(lines, min_sites))
     stays = (F.col("first.k1") == F.col("k1")) & (F.col("first.k2") == F.col("k2")) & (F.col("first.pos") == F.col("pos"))
-    removed = lines.join(found, ["h1", "h2"]).where(~stays).groupBy("k1", "k2") \
+    removed = lines.join(_small(found), ["h1", "h2"]).where(~stays).groupBy("k1", "k2") \
                    .agg(F.collect_set("pos").alias(gone)).select(F.col("k1").alias(k1), F.col("k2").alias(k2), gone)
     all_lines = F.split(F.col(text), "\n")
     # positions left are a set difference, so a text of many lines takes one pass

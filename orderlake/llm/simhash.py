@@ -7,8 +7,8 @@ Links: fingerprints are collapsed to distinct ones first, so a group of equal
 texts is one node. Each fingerprint goes to one shard per block of a bit split:
 with ``distance`` + 1 blocks, two fingerprints that differ in at most ``distance``
 bits agree on a whole block and so share a shard. A shard with more than
-``SHARD_NODES`` fingerprints is split again in the same way on its free bits, until
-every shard is that small; this loses no link and caps no group. Each shard's
+``SHARD_NODES`` fingerprints is split again in the same way on the bits that vary in it,
+until every shard is that small; this loses no link and caps no group. Each shard's
 BK-tree (children keyed by their integer Hamming distance to the parent) is built
 in the task that holds the shard, and a lookup follows only edges within the
 radius. The trees grow with the input, so they are not broadcast: shards and
@@ -131,36 +131,46 @@ def _linked_sets(values: list[int], radius: int):
     return ((x, top(x)) for x in values if top(x) != x)
 
 
-def _bit_blocks(mask: int, blocks: int) -> list[int]:
-    """Masks, each ``mask`` plus one of ``blocks`` nearly equal parts of the free bits."""
-    free = [b for b in range(64) if not mask >> b & 1]
-    cuts = [round(k * len(free) / blocks) for k in range(blocks + 1)]
-    return [mask | sum(1 << b for b in free[a:b]) for a, b in zip(cuts, cuts[1:]) if b > a]
+def _bit_blocks(bits: int, blocks: int) -> list[int]:
+    """``bits`` in ``blocks`` nearly equal parts, without empty ones."""
+    each = [1 << b for b in range(64) if bits >> b & 1]
+    cuts = [round(k * len(each) / blocks) for k in range(blocks + 1)]
+    return [sum(each[a:b]) for a, b in zip(cuts, cuts[1:]) if b > a]
 
 
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
+def _finer(blocks: int):
+    """Batches of (mask, key, varying) -> (mask, key, child): masks that also fix one part of the bits that vary in the shard."""
+    def run(batches):
+        for batch in batches:
+            rows = [(m, k, _signed(m % (1 << 64) | part)) for m, k, v in zip(*(c.to_pylist() for c in batch.columns))
+                    for part in _bit_blocks(v % (1 << 64), blocks)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(3)], names=["mask", "key", "child"])
+    return run
+
+
 def _shards(prints: DataFrame, distance: int, shard_nodes: int) -> DataFrame:
-    """(mask, key, fp) with every pair within ``distance`` together in some shard of at most ``shard_nodes`` rows."""
-    masks, parts = _bit_blocks(0, distance + 1), []
-    rows = prints.select("fp", F.explode(F.array(*[F.lit(_signed(m)) for m in masks])).alias("mask")) \
+    """(mask, key, fp) with every pair within ``distance`` together in some shard of at most ``shard_nodes`` rows.
+
+    A pair of a shard differs only in bits that vary in it, so it agrees on one of ``distance`` + 1 parts of these. A
+    split fixes a part, so a large shard falls apart after a few rounds.
+    """
+    rows = prints.select("fp", F.explode(F.array(*[F.lit(_signed(m)) for m in _bit_blocks((1 << 64) - 1, distance + 1)])).alias("mask")) \
                  .withColumn("key", F.col("fp").bitwiseAND(F.col("mask")))
+    parts = []
     while True:
-        sizes = keep_lineage(rows.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-        parts.append(rows.join(sizes.where(F.col("n") <= shard_nodes).drop("n"), ["mask", "key"], "left_semi"))
-        large = sizes.where(F.col("n") > shard_nodes).drop("n")
+        sizes = keep_lineage(rows.groupBy("mask", "key").agg(
+            F.count(F.lit(1)).alias("n"), F.bit_or("fp").bitwiseXOR(F.bit_and("fp")).alias("varying")).where("n > 1"))
+        parts.append(rows.join(sizes.where(F.col("n") <= shard_nodes).select("mask", "key"), ["mask", "key"], "left_semi"))
+        large = sizes.where(F.col("n") > shard_nodes).select("mask", "key", "varying")
         if large.isEmpty():
             return reduce(DataFrame.unionByName, parts)
-        # masks of this level only: their number is fixed by the split, not by the data
-        finer = {m: _bit_blocks(m, distance + 1) for m in masks}
-        masks = sorted({c for x in finer.values() for c in x})
-        child = F.create_map(*[c for m, x in finer.items() for c in (
-            F.lit(_signed(m)), F.array(*[F.lit(_signed(k)) for k in x]))])
-        rows = keep_lineage(rows.join(large, ["mask", "key"], "left_semi")
-                            .select("fp", F.explode(child[F.col("mask")]).alias("mask"))
-                            .withColumn("key", F.col("fp").bitwiseAND(F.col("mask"))))
+        finer = large.mapInArrow(_finer(distance + 1), "mask long, key long, child long")
+        rows = keep_lineage(rows.join(finer, ["mask", "key"]).select("fp", F.col("child").alias("mask"))
+                            .withColumn("key", F.col("fp").bitwiseAND(F.col("mask"))).distinct())
 
 
 def links(prints: DataFrame, distance: int = DISTANCE, shard_nodes: int = SHARD_NODES) -> DataFrame:
