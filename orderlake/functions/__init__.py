@@ -8,7 +8,6 @@ from orderlake.functions.casts import (  # noqa: F401
     bool_flag, null_flag,
 )
 from orderlake.functions.codec import (  # noqa: F401
-    b64_decode_strict, b64_decode_lenient, b64_encode, utf8_strict, utf8_lenient, has_json_key,
-    sha256_hex,
+    b64_decode, b64_encode, json_objects, once, utf8_strict, utf8_lenient, sha256_hex,
 )
 from orderlake.functions.dates import calendar_days, elapsed_days, year_of, month_of  # noqa: F401

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.functions import b64_decode_lenient, b64_decode_strict, has_json_key, utf8_lenient, utf8_strict
+from orderlake.functions import b64_decode, json_objects, utf8_lenient, utf8_strict
 from orderlake.schemas import RAW_ORDER
 
 DEFAULT_CHAINCODE = "mycc"
@@ -44,10 +44,11 @@ def order_writes(blocks: DataFrame, chaincode: str = DEFAULT_CHAINCODE) -> DataF
     w = ns.select("block_number", "tx_index", "action_index", "ns_index",
                   F.posexplode(F.coalesce("ns.rwset.writes", F.array())).alias("write_index", "w"))
     w = w.filter(F.col("w.value").isNotNull() & (F.col("w.value") != ""))
-    text = utf8_strict(b64_decode_strict("w.value"))
-    return (w.select(*ORDER_KEY_COLS, F.col("w.key").alias("key"), text.alias("value"))
-             .filter(has_json_key("value", "orderId"))
-             .withColumn("orderId", F.get_json_object("value", "$.orderId")))
+    text = utf8_strict(b64_decode("w.value"))
+    values = w.select(*ORDER_KEY_COLS, F.col("w.key").alias("key"), text.alias("value")).filter(F.ltrim("value").startswith("{"))
+    # one parse: a value that qualifies gives its object as one row, any other none
+    return values.withColumn("doc", F.explode(json_objects("value", "orderId"))) \
+                 .withColumn("orderId", F.col("doc").getItem("orderId")).drop("doc")
 
 
 def latest_per_key(df: DataFrame, key: str, order_cols: list[str]) -> DataFrame:
@@ -96,12 +97,12 @@ def block_summary(blocks: DataFrame, default_channel: str = DEFAULT_CHANNEL, ord
 
 
 def _decode_or_raw(c):
-    return F.coalesce(utf8_strict(b64_decode_strict(c)), c)
+    return F.coalesce(utf8_strict(b64_decode(c)), c)
 
 
 def creator_label(msp, id_bytes):
     """``"CN (MSP)"`` when the certificate text has a ``CN=``, else the MSP id."""
-    cert = utf8_lenient(b64_decode_strict(id_bytes))
+    cert = utf8_lenient(b64_decode(id_bytes))
     cn = F.regexp_extract(F.coalesce(cert, F.lit("")), r"CN=([^,]+)", 1)
     m = F.coalesce(msp, F.lit(""))
     return F.when(cn != "", F.concat(cn, F.lit(" ("), m, F.lit(")"))).otherwise(m)
@@ -147,7 +148,7 @@ def tx_rwset(blocks: DataFrame) -> DataFrame:
     return w.select(
         "block_number", "tx_index", "ns_index", "write_index", "namespace",
         F.coalesce(F.col("w.key"), F.lit("")).alias("key"),
-        F.coalesce(utf8_lenient(b64_decode_lenient(raw)), raw).alias("value"),
+        F.coalesce(utf8_lenient(b64_decode(raw)), raw).alias("value"),
     )
 
 

@@ -35,7 +35,6 @@ RAW_ORDER = T.StructType(
     + [T.StructField("OrderDetail", RAW_DETAIL)]
 )
 
-RAW_ORDER_WITH_CORRUPT = T.StructType(RAW_ORDER.fields + [T.StructField("_corrupt_record", S)])
 
 # Typed order model (what the contract stores).
 ITEM = T.StructType([

@@ -1,55 +1,33 @@
 """Bronze order documents on storage.
 
-The scan is a parallel JSON read with a declared schema: no inference job,
-no driver-side listing loop, no per-file reads in Python. A file may hold
-one object or a list of objects; unreadable files and values that are not
-objects land in the corrupt-record column and are dropped, never fatal.
+The scan is a parallel read with a declared schema: no inference job, no
+driver-side listing loop, no per-file reads in Python. A file may hold one
+object or a list of values; unreadable files and values that are not objects
+give no row and are never fatal.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from orderlake.schemas import RAW_ORDER, RAW_ORDER_WITH_CORRUPT
+from orderlake.functions.codec import JSON_OPTIONS, json_objects
+from orderlake.schemas import RAW_ORDER
 
-CORRUPT = "_corrupt_record"
-
-
-def bronze_scan(spark: SparkSession, path: str, multi_line: bool = True, lists: str = "whole") -> DataFrame:
+def bronze_scan(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Every order document under ``path`` (recursive), leaves as text.
 
-    ``multi_line=True`` reads one JSON value per file (an object or a list of
-    objects, as the listener stores them); ``False`` reads JSON lines.
-
-    ``lists="elementwise"`` handles files holding a list that mixes objects
-    with other values (``[{...}, 5]``): the JSON reader treats such a file as
-    one corrupt record, while the order model keeps every object of the list.
-    Each file is then read whole, parsed to a VARIANT, arrays are split into
-    their elements and every object element is cast to the bronze schema.
+    ``multi_line=True`` reads one JSON value per file (an object or a list, as
+    the listener stores them); ``False`` reads JSON lines. Every object of a list is kept,
+    also beside values that are none; a field of another type than the order
+    model's is null and the rest of its document stays. Malformed text is skipped.
     """
-    if lists == "elementwise":
-        return _bronze_scan_elementwise(spark, path)
-    df = (spark.read.schema(RAW_ORDER_WITH_CORRUPT)
-          .option("multiLine", multi_line)
-          .option("recursiveFileLookup", True)
-          .option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", CORRUPT)
-          .json(path))
-    # The extra (always true) reference to a data column keeps the scan legal when a
-    # caller prunes every other column (e.g. ``count()``): Spark refuses raw-JSON scans
-    # whose only column is the corrupt-record one.
-    keep = F.col(CORRUPT).isNull() & (F.length(F.coalesce(F.col("orderId"), F.lit(""))) >= 0)
-    return df.filter(keep).select(*[f.name for f in RAW_ORDER.fields])
-
-
-def _bronze_scan_elementwise(spark: SparkSession, path: str) -> DataFrame:
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
-    v = F.try_parse_json("value")
-    elems = F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.array(v))
-    e = files.select(F.explode(elems).alias("e"))
-    objects = e.filter(F.try_variant_get("e", "$", "map<string,variant>").isNotNull())
-    return objects.select(F.try_variant_get("e", "$", RAW_ORDER.simpleString()).alias("d")).select("d.*")
+    text = spark.read.option("wholetext", multi_line).option("recursiveFileLookup", True).text(path)
+    objects = text.select(F.explode(json_objects("value")).alias("m"))
+    order = [F.col("m").getItem(f.name) if f.dataType == StringType() else F.from_json(F.col("m").getItem(f.name), f.dataType, JSON_OPTIONS)
+             for f in RAW_ORDER.fields]
+    return objects.select(*[c.alias(f.name) for c, f in zip(order, RAW_ORDER.fields)])
 
 
 def write_bronze(latest_docs: DataFrame, path: str, fmt: str = "json") -> None:

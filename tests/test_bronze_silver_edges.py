@@ -75,7 +75,7 @@ def test_no_detail_anywhere_gives_empty_items(spark, scratch):
     assert i.count() == 0
 
 
-def test_mixed_lists_elementwise(spark, scratch):
+def test_mixed_lists_and_mismatches_keep_their_records(spark, scratch):
     d = os.path.join(scratch, "b3")
     os.makedirs(d)
     write(d, "mixed.json", json.dumps([hdr("M1"), 5, "x", hdr("M2", OrderDetail={"orderId": "M2",
@@ -83,10 +83,10 @@ def test_mixed_lists_elementwise(spark, scratch):
     write(d, "single.json", json.dumps(hdr("S1")))
     write(d, "bad.json", "{bad")
     write(d, "scalar.json", "5")
-    # the JSON reader loses the whole mixed file ...
-    assert sorted(r.orderId for r in bronze_scan(spark, d).collect()) == ["S1"]
-    # ... the element-wise scan keeps its objects
-    b = bronze_scan(spark, d, lists="elementwise")
-    h, i = silver.bronze_to_silver(b)
-    assert sorted(r.orderId for r in h.collect()) == ["M1", "M2", "S1"]
+    write(d, "mismatch.json", '{"orderId":"d","OrderDetail":"oops"}')
+    write(d, "tail.json", json.dumps(hdr("T1")) + " x")
+    write(d, "nan.json", '{"orderId":"nan","freight":NaN}')
+    write(d, "quotes.json", "{'orderId':'q'}")
+    h, i = silver.bronze_to_silver(bronze_scan(spark, d))
+    assert sorted(r.orderId for r in h.collect()) == ["M1", "M2", "S1", "d", "nan"]
     assert [(r.orderId, r.quantity) for r in i.collect()] == [("M2", 3)]
