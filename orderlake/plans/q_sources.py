@@ -59,9 +59,10 @@ def q_csv_orders_scan(spark, sf):
               freight AS total_amount, freight AS avg_price, 1 AS num_items FROM h""", h=SILVER_HEADER))
 def q_table_replace(spark, sf):
     """S6 + S9 + S10: gold orders written as a managed table (replaced on rerun) and read back."""
-    ns = "orderlake_q_gold"
+    # a namespace of its own for each call: a lazy result keeps its table
     location = scratch_path(spark, "warehouse")
-    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {ns} LOCATION '{location}'")
+    ns = "orderlake_q_gold_" + location.rsplit("-", 1)[-1]
+    spark.sql(f"CREATE NAMESPACE {ns} LOCATION '{location}'")
     h = silver.orders_header(bronze(spark, sf))
     sinks.replace_table(gold.gold_orders(h), f"{ns}.orders")
     if sinks.list_tables(spark, ns).filter(F.col("tableName") == "orders").isEmpty():
@@ -79,15 +80,13 @@ def q_stream_latest_orders(spark, sf):
     from orderlake.streaming import ingest
 
     blocks = ledger_blocks_path(spark, sf)
-    name = "latest_" + scratch_path(spark, "q").rsplit("-", 1)[-1]
     writes = ledger.order_writes(ingest.block_stream(spark, blocks, multi_line=False, max_files_per_trigger=2))
-    q = (ingest.latest_order_stream(writes).writeStream.outputMode("complete").format("memory")
-         .queryName(name).option("checkpointLocation", scratch_path(spark, "stream_ckpt"))
-         .trigger(availableNow=True).start())
+    updates = scratch_path(spark, "latest_orders")
+    q = ingest.run_latest(ingest.latest_order_stream(writes), updates, scratch_path(spark, "stream_ckpt"))
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return spark.table(name).select("orderId", "block_number", "tx_index")
+    return ingest.current_latest(spark, updates, "orderId").select("orderId", "block_number", "tx_index")
 
 
 @register("stream_silver_header", with_views(
@@ -114,16 +113,16 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC)
 def q_stream_latest_event_per_user(spark, sf):
     """T2 on the events stream: event files arrive over several triggers; running latest per user."""
     from orderlake.sources.tables import read_table
+    from orderlake.streaming import ingest
 
     ev = read_table(spark, sf, "events")
     src = scratch_path(spark, "events_stream")
-    ev.repartition(6).write.mode("overwrite").parquet(src)
+    ev.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))).write.mode("overwrite").parquet(src)
     stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 2).parquet(src)
     latest = ledger.latest_per_key(stream, "user_id", ["ts", "event_id"])
-    name = "latest_events_" + src.rsplit("-", 1)[-1]
-    q = (latest.writeStream.outputMode("complete").format("memory").queryName(name)
-         .option("checkpointLocation", scratch_path(spark, "events_ckpt")).trigger(availableNow=True).start())
+    updates = scratch_path(spark, "latest_events")
+    q = ingest.run_latest(latest, updates, scratch_path(spark, "events_ckpt"))
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return spark.table(name).select("user_id", "event_id", "ts", "event_type", "value", "props")
+    return ingest.current_latest(spark, updates, "user_id").select("user_id", "event_id", "ts", "event_type", "value", "props")

@@ -9,6 +9,7 @@ that is already set.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -49,8 +50,9 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting points at shared storage and is used as is.
-    Only when it is unset (a local test run) a scratch folder is created.
+    On a cluster that setting points at shared storage and is used as is, and
+    its absence is an error. Only a local session, whose tasks run in the
+    driver's own process, gets a folder of its own when it is unset.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -58,6 +60,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="orderlake-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d

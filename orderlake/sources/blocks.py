@@ -151,7 +151,15 @@ def blocks_from_documents(docs: DataFrame) -> DataFrame:
     )
 
 
-_MATERIALIZED: dict[tuple[str, str], str] = {}
+_MATERIALIZED: dict[tuple, str] = {}
+
+
+def _source_key(spark: SparkSession, sf_dir: str) -> tuple:
+    """The application and the files read, so that tables written anew are derived anew."""
+    from orderlake.sources.tables import read_table
+
+    files = [f for t in ("orders", "lineitem") for f in sorted(read_table(spark, sf_dir, t).inputFiles())]
+    return (spark.sparkContext.applicationId, sf_dir, *files)
 
 
 def ledger_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,11 +170,9 @@ def ledger_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     and scale-factor folder, written as JSON lines under the shared checkpoint
     folder, and every caller reads those files through the block scanner.
     """
-    import os
-
     from orderlake.session import scratch_path
 
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = _source_key(spark, sf_dir)
     path = _MATERIALIZED.get(key)
     if path is not None:
         try:
@@ -181,10 +187,8 @@ def ledger_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ledger_blocks_path(spark: SparkSession, sf_dir: str) -> str:
     """Folder of the materialised block files (see ``ledger_blocks``)."""
-    import os
-
     ledger_blocks(spark, sf_dir)
-    return _MATERIALIZED[(spark.sparkContext.applicationId, os.path.abspath(sf_dir))]
+    return _MATERIALIZED[_source_key(spark, sf_dir)]
 
 
 def blocks_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -144,11 +144,11 @@ def lifecycle_event_table(spark: SparkSession, sf_dir: str, with_details: bool =
     """The event log as a table: derived from the tables once per application and
     scale-factor folder, written as parquet under the shared checkpoint folder,
     and read back by every caller (as the replay would read an event table)."""
-    import os
-
     from orderlake.session import scratch_path
 
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    # by the files read, so tables that were written anew are derived anew
+    files = [f for t in ("orders", "lineitem") for f in sorted(read_table(spark, sf_dir, t).inputFiles())]
+    key = (spark.sparkContext.applicationId, sf_dir, *files)
     path = _MATERIALIZED.get(key)
     table = None
     if path is not None:

@@ -65,6 +65,25 @@ def run_ingest(spark: SparkSession, blocks_path: str, updates_path: str, checkpo
     return w.start()
 
 
+def _append_changes(updates_path: str):
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
+              .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(updates_path))
+    return write
+
+
+def run_latest(latest: DataFrame, updates_path: str, checkpoint_path: str):
+    """T2 to storage: each trigger appends the keys whose latest row changed (update mode) as a partition
+    of its own; a retried trigger replaces that partition. Returns the started query."""
+    return (latest.writeStream.outputMode("update").foreachBatch(_append_changes(updates_path))
+                  .option("checkpointLocation", checkpoint_path).trigger(availableNow=True).start())
+
+
+def current_latest(spark: SparkSession, updates_path: str, key: str) -> DataFrame:
+    """The last change of every key in the log of ``run_latest``."""
+    return ledger.latest_per_key(spark.read.parquet(updates_path), key, ["batch_id"]).drop("batch_id")
+
+
 def current_state(spark: SparkSession, updates_path: str) -> DataFrame:
     """Latest order document per ``orderId`` over the whole update log (bronze shape)."""
     log = spark.read.parquet(updates_path).drop("batch_id")

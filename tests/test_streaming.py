@@ -45,10 +45,10 @@ def test_stateful_latest_stream(spark, scratch):
     _write_blocks(spark, blocks)
     writes = ledger.order_writes(ingest.block_stream(spark, blocks, multi_line=False, max_files_per_trigger=2))
     latest = ingest.latest_order_stream(writes)
-    q = (latest.writeStream.outputMode("complete").format("memory").queryName("latest_orders_t")
-               .option("checkpointLocation", os.path.join(scratch, "ck2")).trigger(availableNow=True).start())
+    updates = os.path.join(scratch, "latest")
+    q = ingest.run_latest(latest, updates, os.path.join(scratch, "ck2"))
     q.awaitTermination(600)
-    got = spark.sql("SELECT orderId, block_number, tx_index FROM latest_orders_t")
+    got = ingest.current_latest(spark, updates, "orderId").select("orderId", "block_number", "tx_index")
     want = ledger.latest_order_values(ledger.order_writes(read_blocks(spark, blocks, multi_line=False))) \
         .select("orderId", "block_number", "tx_index")
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
