@@ -52,7 +52,7 @@ def test_links_lose_nothing_when_shards_are_split_again(spark):
     values = sorted(set(base) | near | dense | {0})
     signed = [(v - (1 << 64) if v >> 63 else v,) for v in values]
     prints = spark.createDataFrame(signed, "fp long")
-    for nodes in (4, 64, 100_000):
+    for nodes in (40, 100_000):
         edges = simhash.links(prints, shard_nodes=nodes).collect()
         top = {v: v for v in values}
         changed = True
