@@ -93,6 +93,65 @@ def _dist2(a, b):
     return out
 
 
+#: Point comparisons a pair of boxes may cost before it is halved again.
+_PAIR_WORK = 256
+
+
+def _linked_by_boxes(pairs: DataFrame, points: DataFrame, cols: list[str], side: float,
+                     eps2: float, eps2_in: float, eps2_out: float) -> DataFrame:
+    """The cell pairs (v, u) of ``pairs`` that hold two ``points`` (cols, cell) within eps of each other.
+
+    Level by level every cell is halved along each axis. Two boxes far apart are dropped; boxes near
+    enough, or with one near enough pair of points, settle their cells; only boxes that
+    straddle the distance are halved again, until a pair costs few point comparisons. So
+    no pair of cells ever compares all its points.
+    """
+    open_pairs = pairs.withColumn("sv", F.lit(None).cast("string")).withColumn("su", F.col("sv"))
+    found, level = pairs.limit(0), 0
+    while not open_pairs.isEmpty():
+        level += 1
+
+        def place(k):
+            return F.concat_ws(",", *[F.floor(F.col(c) / (side / 2 ** k)).cast("string") for c in cols])
+
+        used = open_pairs.select(F.col("v").alias("cell")).union(open_pairs.select(F.col("u").alias("cell"))).distinct()
+        near = points.join(used, "cell", "left_semi").withColumn("sub", place(level)).withColumn(
+            "parent", place(level - 1) if level > 1 else F.lit(None).cast("string"))
+        boxes = near.groupBy("cell", "parent", "sub").agg(
+            F.count(F.lit(1)).alias("n"), F.min(F.struct(*cols)).alias("rep"),
+            *[F.min(c).alias(f"lo_{c}") for c in cols], *[F.max(c).alias(f"hi_{c}") for c in cols]).checkpoint()
+
+        def of(tag, cell):
+            return boxes.select(F.col("cell").alias(cell), F.col("parent").alias(f"s{cell}"),
+                                *[F.col(c).alias(f"{tag}_{c}") for c in boxes.columns if c not in ("cell", "parent")])
+
+        joined = open_pairs
+        for tag, cell in (("a", "v"), ("b", "u")):
+            box = of(tag, cell)
+            same = (joined[cell] == box[cell]) & joined[f"s{cell}"].eqNullSafe(box[f"s{cell}"])
+            joined = joined.join(box, same).drop(box[cell]).drop(box[f"s{cell}"])
+        mn, mx = _box_box(*[[F.col(f"{t}_{e}_{c}") for c in cols] for t in "ab" for e in ("lo", "hi")])
+        hit = (mx <= eps2_in) | (_dist2([F.col(f"a_rep.{c}") for c in cols], [F.col(f"b_rep.{c}") for c in cols]) <= eps2)
+        tested = joined.filter(mn <= eps2_out).select(
+            "v", "u", F.col("a_sub").alias("sv"), F.col("b_sub").alias("su"), (F.col("a_n") * F.col("b_n")).alias("work"),
+            hit.alias("hit")).checkpoint()
+        settled = tested.filter("hit").select("v", "u").distinct()
+        left = tested.filter("not hit").join(settled, ["v", "u"], "left_anti")
+        few = left.filter(F.col("work") <= _PAIR_WORK)
+
+        def members(tag, cell):
+            return near.select(F.col("cell").alias(cell), F.col("sub").alias(f"s{cell}"), *[F.col(c).alias(f"{tag}_{c}") for c in cols])
+
+        exact = (few.join(members("a", "v"), ["v", "sv"]).join(members("b", "u"), ["u", "su"])
+                    .filter(_dist2([F.col(f"a_{c}") for c in cols], [F.col(f"b_{c}") for c in cols]) <= eps2)
+                    .select("v", "u").distinct())
+        now = settled.unionByName(exact).distinct().checkpoint()
+        found = found.unionByName(now)
+        open_pairs = (left.filter(F.col("work") > _PAIR_WORK).join(now, ["v", "u"], "left_anti")
+                          .select("v", "u", "sv", "su").checkpoint())
+    return found
+
+
 def dbscan(points: DataFrame, id_col: str, cols: list[str], eps: float = 0.9, min_samples: int = 10,
            order_col: str | None = None) -> DataFrame:
     """Label every row of ``points``: (id_col, cluster int, is_core boolean)."""
@@ -179,59 +238,46 @@ def dbscan(points: DataFrame, id_col: str, cols: list[str], eps: float = 0.9, mi
     # it (one aggregation over core points, combined map-side); a pair of cells is linked
     # when the two facing extreme points are within eps. Cell-level work only.
     dirs = list(itertools.product((-1, 0, 1), repeat=d))
-    if len(dirs) <= 81:
-        pt = F.struct(*[F.col(c) for c in cols])
-
-        def dot(dv):
-            e = None
-            for w, c in zip(dv, cols):
-                if w:
-                    t = F.col(c) * float(w)
-                    e = t if e is None else e + t
-            return e if e is not None else F.lit(0.0)
-
-        ext = core.groupBy(*cc).agg(*[F.max_by(pt, dot(dv)).alias(f"x{k}") for k, dv in enumerate(dirs)])
-        ext = ext.select(F.struct(*cc).alias("cell"), F.array(*[F.col(f"x{k}") for k in range(len(dirs))]).alias("ext"))
-
-        def dir_index(sign_cols):
-            idx = None
-            for sc in sign_cols:
-                idx = (sc + 1) if idx is None else idx * 3 + (sc + 1)
-            return idx + 1  # element_at is 1-based
-
-        sgn = [F.signum(F.col(f"_u.{c}") - F.col(f"_v.{c}")).cast("int") for c in cc]
-        probe = (maybe.select("v", "u")
-                      .join(ext.select(F.col("cell").alias("v"), F.col("ext").alias("ea")), "v")
-                      .join(ext.select(F.col("cell").alias("u"), F.col("ext").alias("eb")), "u")
-                      .withColumn("_v", F.col("v")).withColumn("_u", F.col("u")))
-        pa = F.element_at("ea", dir_index(sgn))
-        pb = F.element_at("eb", dir_index([-x for x in sgn]))
-        quick = (probe.filter(_dist2([pa[c] for c in cols], [pb[c] for c in cols]) <= eps2)
-                      .select("v", "u")).checkpoint()
-    else:
-        quick = maybe.select("v", "u").limit(0)
+    pt = F.struct(*[F.col(c) for c in cols])
+
+    def dot(dv):
+        e = None
+        for w, c in zip(dv, cols):
+            if w:
+                t = F.col(c) * float(w)
+                e = t if e is None else e + t
+        return e if e is not None else F.lit(0.0)
+
+    ext = core.groupBy(*cc).agg(*[F.max_by(pt, dot(dv)).alias(f"x{k}") for k, dv in enumerate(dirs)])
+    ext = ext.select(F.struct(*cc).alias("cell"), F.array(*[F.col(f"x{k}") for k in range(len(dirs))]).alias("ext"))
+
+    def dir_index(sign_cols):
+        idx = None
+        for sc in sign_cols:
+            idx = (sc + 1) if idx is None else idx * 3 + (sc + 1)
+        return idx + 1  # element_at is 1-based
+
+    sgn = [F.signum(F.col(f"_u.{c}") - F.col(f"_v.{c}")).cast("int") for c in cc]
+    probe = (maybe.select("v", "u")
+                  .join(ext.select(F.col("cell").alias("v"), F.col("ext").alias("ea")), "v")
+                  .join(ext.select(F.col("cell").alias("u"), F.col("ext").alias("eb")), "u")
+                  .withColumn("_v", F.col("v")).withColumn("_u", F.col("u")))
+    pa = F.element_at("ea", dir_index(sgn))
+    pb = F.element_at("eb", dir_index([-x for x in sgn]))
+    quick = (probe.filter(_dist2([pa[c] for c in cols], [pb[c] for c in cols]) <= eps2)
+                  .select("v", "u")).checkpoint()
     mark("quick links")
-    rest = maybe.join(quick, ["v", "u"], "left_anti")
-    if log.isEnabledFor(logging.DEBUG):
-        log.debug("cell pairs: %d sure, %d maybe, %d settled by probes", sure.count(), maybe.count(), quick.count())
-    amn, _ = _point_box([F.col(c) for c in cols], [F.col(f"blo_{c}") for c in cols],
-                        [F.col(f"bhi_{c}") for c in cols])
-    ca = (rest.select("v", "u", *[F.col(f"blo_{c}") for c in cols], *[F.col(f"bhi_{c}") for c in cols])
-              .join(core_pts.withColumnRenamed("cell", "v"), "v")
-              .filter(amn <= eps2_out)
-              .select("v", "u", *[F.col(c).alias(f"a_{c}") for c in cols]))
-    bmn2, _ = _point_box([F.col(c) for c in cols], [F.col(f"alo_{c}") for c in cols],
-                         [F.col(f"ahi_{c}") for c in cols])
-    cb = (rest.select("v", "u", *[F.col(f"alo_{c}") for c in cols], *[F.col(f"ahi_{c}") for c in cols])
-              .join(core_pts.withColumnRenamed("cell", "u"), "u")
-              .filter(bmn2 <= eps2_out)
-              .select("v", "u", *[F.col(c).alias(f"b_{c}") for c in cols]))
-    # exhaustive test only for the pairs the quick test did not settle
-    linked = (ca.join(cb, ["v", "u"])
-                .filter(_dist2([F.col(f"a_{c}") for c in cols], [F.col(f"b_{c}") for c in cols]) <= eps2)
-                .select("v", "u").distinct())
-    linked = quick.unionByName(linked).select(F.col("v").alias("src"), F.col("u").alias("dst"))
-    edges = sure.unionByName(linked)
+    # Cells that sure and quick links already connect need no test of their own: the answer
+    # would change no component. What is left goes to the test on ever smaller boxes.
+    known = sure.unionByName(quick.select(F.col("v").alias("src"), F.col("u").alias("dst"))).checkpoint()
+    so_far = connected_components(kc.select("v"), known)
+    rest = (maybe.select("v", "u")
+                 .join(so_far.withColumnRenamed("label", "_lv"), "v")
+                 .join(so_far.select(F.col("v").alias("u"), F.col("label").alias("_lu")), "u")
+                 .filter(F.col("_lv") != F.col("_lu")).select("v", "u").checkpoint())
+    log.info("dbscan: box test for the open cell pairs")
+    linked = _linked_by_boxes(rest, core_pts, cols, side, eps2, eps2_in, eps2_out)
+    edges = known.unionByName(linked.select(F.col("v").alias("src"), F.col("u").alias("dst")))
 
     # 5. components over core cells; cluster key = smallest core point of the component
     comp = connected_components(kc.select("v"), edges)
