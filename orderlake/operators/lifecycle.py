@@ -140,7 +140,11 @@ def replay(events: DataFrame, chunk_blocks: int = 1024, with_state: bool = False
     detail_type = events.select(detail_of_event.alias("d")).schema["d"].dataType
     no_detail = F.lit(None).cast(detail_type)
     created = F.struct(sha256_hex("customerId").alias("hash"), detail_of_event.alias("detail"),
-                       F.col("order").alias("meta"))
+                       F.col("order").alias("meta"), F.col("block").alias("block"))
+
+    def held(written: str, collection: str):
+        """Whether a private row written in that block is still kept at this event."""
+        return F.coalesce(F.col("block") - F.col(written) <= COLLECTION_TTL[collection], F.lit(False))
 
     e = (events.withColumn("_org_ok", F.coalesce(org_ok, F.lit(False)))
                .withColumn("_valid_cl", F.coalesce((is_create | is_caa) & org_ok & full_input, F.lit(False))))
@@ -161,20 +165,20 @@ def replay(events: DataFrame, chunk_blocks: int = 1024, with_state: bool = False
     claim_ok = F.coalesce(sha256_hex("customerId") == F.col("_cur.hash"), F.lit(False))
     e = (e.withColumn("_acc_verify", (fn == VERIFY) & F.col("_org_ok") & F.col("_exists_before") &
                       F.col("customerId").isNotNull() & claim_ok)
-          .withColumn("_acc_share", (fn == SHARE) & F.col("_org_ok") & F.col("_cur").isNotNull()))
+          .withColumn("_acc_share", (fn == SHARE) & F.col("_org_ok") & held("_cur.block", ORG2_DETAILS)))
 
     # Pass 3: approval and shared details before each event; publish.
     approval_event = F.when(F.col("_acc_cl") & is_create, F.lit(False)) \
                       .when((F.col("_acc_cl") & is_caa) | F.col("_acc_verify"), F.lit(True))
-    shared_event = F.when(F.col("_acc_cl") & is_caa, detail_of_event) \
-                    .when(F.col("_acc_share"), F.col("_cur.detail"))
+    shared_event = F.when(F.col("_acc_cl") & is_caa, F.struct(detail_of_event.alias("detail"), F.col("block"))) \
+                    .when(F.col("_acc_share"), F.struct(F.col("_cur.detail").alias("detail"), F.col("block")))
     e = scan_before(e, key, chunk, order, [
         ("_approval_before", "last", approval_event, approval_event.isNotNull()),
         ("_shared_before", "last", shared_event, shared_event.isNotNull()),
     ], persist)
     e = e.withColumn("_approved_before", F.coalesce("_approval_before", F.lit(False)))
     e = e.withColumn("_acc_publish", (fn == PUBLISH) & F.col("_org_ok") & F.col("_exists_before") &
-                     F.col("_approved_before") & F.col("_shared_before").isNotNull())
+                     F.col("_approved_before") & held("_shared_before.block", SHARED_DETAILS))
 
     accepted = F.col("_acc_cl") | F.col("_acc_verify") | F.col("_acc_share") | F.col("_acc_publish")
     reason = (
@@ -206,7 +210,7 @@ def replay(events: DataFrame, chunk_blocks: int = 1024, with_state: bool = False
                       F.when(F.col("_acc_cl") & is_create, F.struct(F.lit(0).alias("k"), no_detail.alias("d")))
                        .when(F.col("_acc_cl") & is_caa, F.struct(F.lit(1).alias("k"), detail_of_event.alias("d")))
                        .when(F.col("_acc_verify"), F.struct(F.lit(0).alias("k"), no_detail.alias("d")))
-                       .when(F.col("_acc_publish"), F.struct(F.lit(1).alias("k"), F.col("_shared_before").alias("d")))))
+                       .when(F.col("_acc_publish"), F.struct(F.lit(1).alias("k"), F.col("_shared_before.detail").alias("d")))))
     if with_state:
         e = scan_before(e, key, chunk, order, [
             ("_created_before", "last", F.col("_created"), F.col("_created").isNotNull()),
@@ -272,8 +276,12 @@ def rejected_events(events: DataFrame, chunk_blocks: int = 1024) -> DataFrame:
 
 # ---------------------------------------------------------------- set-based commands
 def first_create_wins(events: DataFrame) -> DataFrame:
-    """The first ``CreateOrder`` per order (later ones would be rejected)."""
-    creates = events.filter(F.col("function") == CREATE)
+    """The first valid ``CreateOrder`` per order (later ones would be rejected).
+
+    Valid = submitted by Org2 with customer id, metadata and details present.
+    """
+    creates = events.filter((F.col("function") == CREATE) & (F.col("org") == ORG2) & F.col("customerId").isNotNull() &
+                            F.col("order").isNotNull() & F.col("orderDetails").isNotNull())
     return creates.groupBy("orderId").agg(
         F.min_by(F.struct(*[c for c in creates.columns if c != "orderId"]), F.struct("block", "tx")).alias("e")
     ).select("orderId", "e.*")
@@ -282,14 +290,9 @@ def first_create_wins(events: DataFrame) -> DataFrame:
 def create_orders(state: DataFrame, requests: DataFrame) -> DataFrame:
     """Accepted creates = first valid request per id whose id is not in ``state``.
 
-    Valid = submitted by Org2 with customer id, metadata and details present.
-
     Output rows follow the header model with status CREATED, not approved.
     """
-    valid = requests.filter((F.col("function") == CREATE) & (F.col("org") == ORG2) &
-                            F.col("customerId").isNotNull() & F.col("order").isNotNull() &
-                            F.col("orderDetails").isNotNull())
-    first = first_create_wins(valid)
+    first = first_create_wins(requests)
     new = first.join(state.select("orderId"), "orderId", "left_anti")
     m = F.col("order")
     return new.select(
@@ -335,6 +338,16 @@ def publish_orders(state: DataFrame, shared: DataFrame) -> DataFrame:
                  .join(shared.select("orderId", F.col("detail").alias("OrderDetail")), "orderId", "inner"))
 
 
+def private_writes(replayed: DataFrame) -> DataFrame:
+    """(collection, orderId, block) of the last accepted write of each private detail row; a create with approval
+    writes both collections."""
+    fn = F.col("function")
+    written = F.when(fn == CREATE, F.array(F.lit(ORG2_DETAILS))).when(fn == SHARE, F.array(F.lit(SHARED_DETAILS))).when(
+        fn == CREATE_APPROVE, F.array(F.lit(ORG2_DETAILS), F.lit(SHARED_DETAILS)))
+    return (replayed.filter("accepted").select(F.explode(written).alias("collection"), "orderId", "block")
+                    .groupBy("collection", "orderId").agg(F.max("block").alias("block")))
+
+
 def live_private_details(rows: DataFrame, current_block, ttl: dict | None = None) -> DataFrame:
     """Private rows still held at ``current_block`` (age <= blockToLive of their collection).
 

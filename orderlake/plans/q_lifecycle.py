@@ -46,7 +46,8 @@ def _units(items):
 
 
 @register("first_create_wins", with_views(
-    """SELECT orderId, block, tx, org FROM ev WHERE function = 'CreateOrder'
+    """SELECT orderId, block, tx, org FROM ev
+       WHERE function = 'CreateOrder' AND org = 'Org2MSP' AND customerId IS NOT NULL AND has_meta AND has_details
        QUALIFY row_number() OVER (PARTITION BY orderId ORDER BY block, tx) = 1""", ev=_EV))
 def q_first_create_wins(spark, sf):
     return L.first_create_wins(_commands(spark, sf)).select("orderId", "block", "tx", "org")
@@ -109,26 +110,6 @@ def q_publish_orders(spark, sf):
     return p.select("orderId", "status", F.size("OrderDetail.items").cast("bigint").alias("n_items"))
 
 
-@register("live_private_details", with_views(
-    """SELECT collection, orderId, block FROM (
-         SELECT 'Org2MSPOrderDetailsCollection' AS collection, orderId, block, 1000 AS ttl FROM ev
-         WHERE function = 'CreateOrder' AND org = 'Org2MSP'
-         UNION ALL
-         SELECT 'Org1Org2OrderDetailsShared', orderId, block, 10 FROM ev
-         WHERE function = 'ShareOrderDetailsToOrg1' AND org = 'Org2MSP') r
-       WHERE (SELECT max(block) FROM ev) - block <= ttl""", ev=_EV))
-def q_live_private_details(spark, sf):
-    ev = _commands(spark, sf)
-    rows = ev.filter(((F.col("function") == L.CREATE) | (F.col("function") == L.SHARE)) &
-                     (F.col("org") == L.ORG2)).select(
-        F.when(F.col("function") == L.CREATE, L.ORG2_DETAILS).otherwise(L.SHARED_DETAILS).alias("collection"),
-        "orderId", "block")
-    # the ledger height is one scalar aggregate; it enters the plan as a literal
-    current = ev.agg(F.max("block").alias("b")).first()["b"]
-    live = L.live_private_details(rows, current)
-    return live.select("collection", "orderId", "block")
-
-
 # The replay rules in SQL: running windows over each order's events in ledger order.
 _W = "(PARTITION BY orderId ORDER BY block, tx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
 _U = "(PARTITION BY orderId ORDER BY block, tx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
@@ -145,19 +126,20 @@ e0 AS (
 e1 AS (SELECT *, org_ok AND full_cl AS valid_cl,
               coalesce(bool_or(org_ok AND full_cl) OVER {_W}, FALSE) AS exists_before FROM e0),
 e2 AS (SELECT *, valid_cl AND (function = 'CreateOrderAndApprove' OR NOT exists_before) AS acc_cl FROM e1),
-e3 AS (SELECT *, last_value(CASE WHEN acc_cl THEN sha256(customerId) END IGNORE NULLS) OVER {_W} AS hash_before
+e3 AS (SELECT *, last_value(CASE WHEN acc_cl THEN sha256(customerId) END IGNORE NULLS) OVER {_W} AS hash_before,
+              last_value(CASE WHEN acc_cl THEN block END IGNORE NULLS) OVER {_W} AS details_block
        FROM e2),
 e4 AS (SELECT *,
          function = 'VerifyCustomer' AND org_ok AND exists_before AND customerId IS NOT NULL
            AND coalesce(sha256(customerId) = hash_before, FALSE) AS acc_verify,
-         function = 'ShareOrderDetailsToOrg1' AND org_ok AND exists_before AS acc_share
+         function = 'ShareOrderDetailsToOrg1' AND org_ok AND coalesce(block - details_block <= 1000, FALSE) AS acc_share
        FROM e3),
 e5 AS (SELECT *,
          coalesce(last_value(CASE WHEN acc_cl AND function = 'CreateOrder' THEN FALSE
                                   WHEN (acc_cl AND function = 'CreateOrderAndApprove') OR acc_verify THEN TRUE END
                              IGNORE NULLS) OVER {_W}, FALSE) AS approved_before,
-         coalesce(bool_or(acc_share OR (acc_cl AND function = 'CreateOrderAndApprove')) OVER {_W}, FALSE)
-           AS shared_before
+         coalesce(block - last_value(CASE WHEN acc_share OR (acc_cl AND function = 'CreateOrderAndApprove') THEN block END
+                                     IGNORE NULLS) OVER {_W} <= 10, FALSE) AS shared_before
        FROM e4),
 e6 AS (SELECT *, function = 'PublishOrderDetails' AND org_ok AND exists_before AND approved_before
                  AND shared_before AS acc_publish FROM e5),
@@ -220,3 +202,20 @@ def q_order_lifecycle(spark, sf):
 @register("rejected_events", _REJECTED_SQL)
 def q_rejected_events(spark, sf):
     return L.rejected_events(_commands(spark, sf))
+
+
+@register("live_private_details", f"""WITH ev AS ({_EV}),{_REPLAY_SQL}
+SELECT collection, orderId, max(block) AS block FROM (
+  SELECT 'Org2MSPOrderDetailsCollection' AS collection, 1000 AS ttl, orderId, block FROM e8
+  WHERE accepted AND function IN ('CreateOrder', 'CreateOrderAndApprove')
+  UNION ALL
+  SELECT 'Org1Org2OrderDetailsShared', 10, orderId, block FROM e8
+  WHERE accepted AND function IN ('ShareOrderDetailsToOrg1', 'CreateOrderAndApprove'))
+GROUP BY collection, orderId, ttl HAVING (SELECT max(block) FROM ev) - max(block) <= ttl""")
+def q_live_private_details(spark, sf):
+    """Private rows of accepted commands that are still kept at the ledger's height."""
+    ev = _commands(spark, sf)
+    # the ledger height is one scalar aggregate; it enters the plan as a literal
+    current = ev.agg(F.max("block").alias("b")).first()["b"]
+    live = L.live_private_details(L.private_writes(L.replay(ev)), current)
+    return live.select("collection", "orderId", "block")

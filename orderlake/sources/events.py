@@ -58,6 +58,11 @@ SLOTS = [
     (17, 41, L.PUBLISH, L.ORG1, 4, "ghost"),
     (18, 73, L.PUBLISH, "Org3MSP", 4, None),
     (19, 79, L.CREATE_APPROVE, L.ORG1, 8, None),
+    # after the shared rows (10 blocks), the private rows (1,000 blocks) or neither have gone
+    (20, (83, "approved"), L.PUBLISH, L.ORG1, 14, None),
+    (21, (89, "approved"), L.PUBLISH, L.ORG2, 13, None),
+    (22, 97, L.SHARE, L.ORG2, 1002, None),
+    (23, 101, L.SHARE, L.ORG2, 1001, None),
 ]
 
 

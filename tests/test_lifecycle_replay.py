@@ -17,7 +17,11 @@ def sha(x):
 
 def brute_force(events):
     """events: list of dict rows sorted by (block, tx) for all orders."""
-    world, org2, shared = {}, {}, {}
+    world, org2, shared = {}, {}, {}  # private rows as (details, block of the write)
+
+    def kept(rows, oid, block, blocks_to_live):
+        return oid in rows and block - rows[oid][1] <= blocks_to_live
+
     rejected = []
     for e in sorted(events, key=lambda r: (r["block"], r["tx"])):
         oid, fn, org = e["orderId"], e["function"], e["org"]
@@ -33,7 +37,7 @@ def brute_force(events):
                 err = L.MSG["missing_transient"]
             else:
                 world[oid] = dict(hash=sha(e["customerId"]), status="CREATED", approved=False, detail=None)
-                org2[oid] = det
+                org2[oid] = (det, e["block"])
         elif fn == L.VERIFY:
             if org != L.ORG1:
                 err = L.MSG["verify_org"]
@@ -48,10 +52,10 @@ def brute_force(events):
         elif fn == L.SHARE:
             if org != L.ORG2:
                 err = L.MSG["share_org"]
-            elif oid not in org2:
+            elif not kept(org2, oid, e["block"], 1000):
                 err = L.MSG["share_not_found"]
             else:
-                shared[oid] = org2[oid]
+                shared[oid] = (org2[oid][0], e["block"])
         elif fn == L.PUBLISH:
             if org not in (L.ORG1, L.ORG2):
                 err = L.MSG["publish_org"]
@@ -59,10 +63,10 @@ def brute_force(events):
                 err = L.MSG["publish_not_found"]
             elif not world[oid]["approved"]:
                 err = L.MSG["publish_not_approved"]
-            elif oid not in shared:
+            elif not kept(shared, oid, e["block"], 10):
                 err = L.MSG["publish_not_shared"]
             else:
-                world[oid] = dict(world[oid], detail=shared[oid])
+                world[oid] = dict(world[oid], detail=shared[oid][0])
         elif fn == L.CREATE_APPROVE:
             if org != L.ORG2:
                 err = L.MSG["caa_org"]
@@ -70,8 +74,7 @@ def brute_force(events):
                 err = L.MSG["missing_transient"]
             else:
                 world[oid] = dict(hash=sha(e["customerId"]), status="APPROVED", approved=True, detail=det)
-                org2[oid] = det
-                shared[oid] = det
+                org2[oid] = shared[oid] = (det, e["block"])
         else:
             err = L.MSG["unknown"]
         if err:
