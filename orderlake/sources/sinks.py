@@ -32,6 +32,10 @@ def replace_table(df: DataFrame, name: str, fmt: str = "parquet", partition_by:
     if partition_by:
         w = w.partitionBy(*partition_by)
     if bucket_by:
+        # a task for each bucket: otherwise every task writes a file into every bucket
+        w = out.repartition(bucket_by[1], bucket_by[0]).write.mode("overwrite").format(fmt)
+        if partition_by:
+            w = w.partitionBy(*partition_by)
         w = w.bucketBy(bucket_by[1], bucket_by[0]).sortBy(bucket_by[0])
     w.saveAsTable(name)
     return obs.get["rows"] if count else None

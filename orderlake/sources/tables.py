@@ -98,7 +98,7 @@ def typed_documents(orders: DataFrame, lineitem: DataFrame, dirty: bool = True,
     """Public order documents (header + ``OrderDetail``) as stored on the ledger.
 
     Dates are text (``yyyy-MM-dd HH:mm:ss``; a missing date is ``""``, the
-    zero value of the order model). One shuffle on the order key nests the
+    zero value of the order model). One shuffle on ``orderId`` nests the
     lines; the orders side joins on the same key.
     """
     h = order_headers(orders)
@@ -113,9 +113,9 @@ def typed_documents(orders: DataFrame, lineitem: DataFrame, dirty: bool = True,
         return doc.drop("orderKey").withColumn("OrderDetail", F.lit(None).cast(
             "struct<orderId:string,items:array<struct<productId:string,quantity:int,unitPrice:double,"
             "discount:double,price:double>>,total:double>"))
-    nested = nest_items(order_lines(lineitem, dirty), "orderKey", ITEM_COLS,
-                        sort_cols=["lineNumber"])
-    j = doc.join(nested, "orderKey", "left")
+    # by orderId, so a later join of the items with their header finds them where they are
+    lines = order_lines(lineitem, dirty).withColumn("orderId", F.col("orderKey").cast("string"))
+    j = doc.join(nest_items(lines, "orderId", ITEM_COLS, sort_cols=["lineNumber"]), "orderId", "left")
     empty = F.array().cast("array<struct<productId:string,quantity:int,unitPrice:double,"
                            "discount:double,price:double>>")
     return j.select(

@@ -44,3 +44,14 @@ def test_library_has_no_udfs_or_row_collects():
         for node in ast.walk(tree):
             if isinstance(node, ast.Attribute) and node.attr in banned_calls:
                 raise AssertionError(f"{path.name}: uses .{node.attr}")
+
+
+def test_items_are_shuffled_once_for_the_header_join(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = _plan(registry.queries()["items_with_header"](spark, SF0001))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # order documents, lines, headers: the items that come out of the documents stay where they are
+    assert p.count("Exchange hashpartitioning(orderId") == 3
