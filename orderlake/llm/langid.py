@@ -77,17 +77,20 @@ def grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     letters_before = np.concatenate(([0], np.cumsum(letter)))
     has_letter = letters_before[starts[1:]] > letters_before[starts[:-1]]
     code = np.where(letter, code, _SPACE).astype(np.uint64)
-    keep = letter.copy()
+    # the spaces that only fill the last n-grams of a text, so that none runs into the next text
+    fill = np.zeros(len(code), bool)
+    fill[(starts[1:, None] - np.arange(1, N)).ravel()] = True
+    keep = letter | fill
     keep[1:] |= letter[:-1]
     keep[starts[:-1]] = True
     at = np.flatnonzero(keep)
-    first = np.searchsorted(at, starts)
     code = np.concatenate((code[at], np.full(N, _SPACE, np.uint64)))
     h = code[:len(at)].copy()
     for k in range(1, N):
         h *= np.uint64(0x9E3779B97F4A7C15)
         h += code[k:k + len(at)]
-    return mix(h), first, has_letter
+    begins = ~fill[at]
+    return mix(h[begins]), np.searchsorted(at[begins], starts), has_letter
 
 
 def _slots_of(hashes: np.ndarray, slot_bits: int):
