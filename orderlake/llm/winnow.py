@@ -148,7 +148,8 @@ def _beside_next(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     more = F.array(F.struct("bucket", F.lit(0).alias("ahead")), F.struct(F.col("closes").alias("bucket"), F.lit(1).alias("ahead")))
     placed = dealt.join(F.broadcast(before), closing, "left").withColumn(
         "p", F.explode(F.when(F.col("closes").isNull(), places).otherwise(more)))
-    return (placed.select("p.bucket", "p.ahead", "no_id", "id", "th", "text").repartition("bucket")
+    # a task for each bucket: by hash some tasks would get several
+    return (placed.select("p.bucket", "p.ahead", "no_id", "id", "th", "text").repartitionById(len(cuts) + 2, F.col("bucket"))
             .sortWithinPartitions("bucket", "ahead", "no_id", "id", "th"))
 
 
