@@ -147,6 +147,7 @@ def _linked_by_boxes(pairs: DataFrame, points: DataFrame, cols: list[str], side:
                     .select("v", "u").distinct())
         now = settled.unionByName(exact).distinct().checkpoint()
         found = found.unionByName(now)
+        logging.getLogger(__name__).info("box test: level %d", level)
         open_pairs = (left.filter(F.col("work") > _PAIR_WORK).join(now, ["v", "u"], "left_anti")
                           .select("v", "u", "sv", "su").checkpoint())
     return found
