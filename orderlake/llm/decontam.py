@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -127,16 +128,18 @@ def _without(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, spans: list
     return b"\n".join(kept).decode("utf-8", "replace")
 
 
-def _blocks(bench: DataFrame, item_id: str, text: str, block_words: int) -> Iterator[list[tuple[str, str]]]:
-    """The items in lists of about ``block_words`` words, each fetched on its own."""
+def _blocks(bench: DataFrame, item_id: str, text: str, block_words: int) -> list[DataFrame]:
+    """The items (id, text) in frames of about ``block_words`` words."""
     rows = bench.select(F.coalesce(F.col(item_id).cast("string"), F.lit("null")).alias("id"), F.col(text).alias("text")) \
                 .where(F.col("text").isNotNull() & (F.col("text") != ""))
     # at most one word for every two bytes, so bytes bound the words
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b")).first()["b"]
     n = max(1, -(-int(size) // (2 * block_words)))
-    for k in range(n):
-        part = rows if n == 1 else rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k)
-        yield [(r["id"], r["text"]) for r in part.toLocalIterator()]
+    return [rows if n == 1 else rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k) for k in range(n)]
+
+
+def _windows_of(block: DataFrame, n: int) -> dict:
+    return window_set([(r["id"], r["text"]) for r in block.toLocalIterator()], n)
 
 
 def scan(docs: DataFrame, bench: DataFrame, *, text: str = "text", item_id: str = "item_id", item_text: str = "text",
@@ -147,17 +150,16 @@ def scan(docs: DataFrame, bench: DataFrame, *, text: str = "text", item_id: str
     """
     added = ("n_words", "n_hit", "hit_spans", "hit_items")
     docs = cleared(docs, *added)
-    sets = (window_set(block, n) for block in _blocks(bench, item_id, item_text, block_words))
-    first = next(sets)
-    if (second := next(sets, None)) is None:
-        return _one_pass(docs, text, first, drop_text)
-    passes = [_one_pass(docs, text, s) for s in (first, second, *sets)]
+    blocks = _blocks(bench, item_id, item_text, block_words)
+    shared = docs.sparkSession.sparkContext.broadcast
+    if len(blocks) == 1:
+        return _one_pass(docs, text, shared(_windows_of(blocks[0], n)), drop_text)
+    passes = [_one_pass(docs, text, shared(_windows_of(b, n))) for b in blocks]
     merged = _merged(docs, text, passes)
     return merged.drop(text) if drop_text else merged
 
 
-def _one_pass(docs: DataFrame, text: str, windows: dict, drop_text: bool = False) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(windows)
+def _one_pass(docs: DataFrame, text: str, shared: Broadcast, drop_text: bool = False) -> DataFrame:
     at = docs.columns.index(text)
     kept = [k for k in range(len(docs.columns)) if not (drop_text and k == at)]
     schema = T.StructType([*(docs.schema[k] for k in kept), T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()),
@@ -176,14 +178,8 @@ def _one_pass(docs: DataFrame, text: str, windows: dict, drop_text: bool = False
     return docs.mapInArrow(run, schema)
 
 
-def _merged(docs: DataFrame, text: str, passes: list[DataFrame]) -> DataFrame:
-    """Hits of several passes, joined by text: equal texts have equal hits."""
-    h1, h2 = fresh(docs, "_h1", "_h2")
-    key = lambda d: d.withColumns(dict(zip((h1, h2), row_key(F.lit(0), F.col(text)))))
-    found = None
-    for p in passes:
-        one = key(p).where("n_hit > 0").select(h1, h2, "hit_spans", "hit_items")
-        found = one if found is None else found.unionByName(one)
+def _united(found: DataFrame, h1: str, h2: str) -> DataFrame:
+    """n_hit, hit_spans and hit_items of each key, from ``found`` with a row for each key and block."""
     word = (found.select(h1, h2, F.explode("hit_spans").alias("s"))
             .select(h1, h2, F.explode(F.sequence("s.first_word", F.expr("s.end_word - 1"))).alias("w")).distinct()
             .groupBy(h1, h2).agg(F.sort_array(F.collect_list("w")).alias("w")))
@@ -193,25 +189,86 @@ def _merged(docs: DataFrame, text: str, passes: list[DataFrame]) -> DataFrame:
            concat(acc, array(named_struct('first_word', x, 'end_word', x + 1)))))""")
     items = (found.select(h1, h2, F.explode("hit_items").alias("i")).distinct()
              .groupBy(h1, h2).agg(F.sort_array(F.collect_list("i")).alias("hit_items")))
-    all_hits = word.select(h1, h2, F.size("w").cast("long").alias("n_hit"), runs.alias("hit_spans")).join(items, [h1, h2])
+    return word.select(h1, h2, F.size("w").cast("long").alias("n_hit"), runs.alias("hit_spans")).join(items, [h1, h2])
+
+
+def _merged(docs: DataFrame, text: str, passes: list[DataFrame]) -> DataFrame:
+    """Hits of several passes, joined by text: equal texts have equal hits."""
+    h1, h2 = fresh(docs, "_h1", "_h2")
+    key = lambda d: d.withColumns(dict(zip((h1, h2), row_key(F.lit(0), F.col(text)))))
+    found = None
+    for p in passes:
+        one = key(p).where("n_hit > 0").select(h1, h2, "hit_spans", "hit_items")
+        found = one if found is None else found.unionByName(one)
     base = key(passes[0].drop("n_hit", "hit_spans", "hit_items"))
-    joined = base.join(all_hits, [h1, h2], "left")
+    joined = base.join(_united(found, h1, h2), [h1, h2], "left")
     return joined.select(
         *docs.columns, "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
         F.coalesce("hit_spans", F.array().cast(_SPAN)).alias("hit_spans"),
         F.coalesce("hit_items", F.array().cast("array<string>")).alias("hit_items"))
 
 
+def _found(texts: DataFrame, blocks: list[DataFrame], n: int) -> DataFrame:
+    """The rows of ``texts`` (h1, h2, text and more) that some block hits, one of each key, with n_words and that block's
+    hit_spans and hit_items. Blocks go one by one: a block's hits are stored and its windows dropped before the next."""
+    found = None
+    for block in blocks:
+        shared = texts.sparkSession.sparkContext.broadcast(_windows_of(block, n))
+        one = keep_lineage(_one_pass(texts, "text", shared).where("n_hit > 0").drop("n_hit").dropDuplicates(["h1", "h2"]))
+        shared.destroy()
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
 def clean(docs: DataFrame, bench: DataFrame, *, text: str = "text", item_id: str = "item_id", item_text: str = "text",
           n: int = WINDOW, drop_share: float = 0.5, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``docs`` without benchmark passages: hit words are cut out of the text, and a document goes
     whole when at least ``drop_share`` of its words are hit. A cut text is scanned again until nothing
     is found, so no passage survives as two halves. Untouched documents come back as they were.
+    The result is the same for any ``block_words``: what is cut are the hits of all blocks together.
     """
-    out = docs
-    for k, block in enumerate(_blocks(bench, item_id, item_text, block_words)):
-        out = _clean_pass(keep_lineage(out) if k else out, text, window_set(block, n), drop_share)
-    return out
+    blocks = _blocks(bench, item_id, item_text, block_words)
+    if len(blocks) == 1:
+        return _clean_pass(docs, text, _windows_of(blocks[0], n), drop_share)
+    return _clean_rounds(docs, text, blocks, n, drop_share)
+
+
+def _clean_rounds(docs: DataFrame, text: str, blocks: list[DataFrame], n: int, drop_share: float) -> DataFrame:
+    """Rounds over the texts that the round before changed, until no block hits any; equal texts are cut once."""
+    h1, h2, new = fresh(docs, "_h1", "_h2", "_new")
+    keyed = docs.withColumns(dict(zip((h1, h2), row_key(F.lit(0), F.col(text)))))
+    todo = keyed.select(F.col(h1).alias("h1"), F.col(h2).alias("h2"), F.col(text).alias("text"),
+                        F.lit(None).cast("long").alias("words"), F.lit(0).cast("long").alias("removed"))
+    changed, k = None, 0
+    while k == 0 or not todo.isEmpty():
+        cut = keep_lineage(_cut(_found(todo, blocks, n), drop_share))
+        todo, k = cut.where("text is not null"), k + 1
+        one = cut.select("h1", "h2", F.struct(F.lit(k).alias("k"), "text").alias("last"))
+        changed = one if changed is None else changed.unionByName(one)
+    # of each key the text of its last round, null if the document goes
+    last = changed.groupBy(F.col("h1").alias(h1), F.col("h2").alias(h2)).agg(F.max("last").alias(new))
+    return keyed.join(last, [h1, h2], "left").where(F.col(new).isNull() | F.col(new)["text"].isNotNull()).select(
+        *(F.when(F.col(new).isNull(), F.col(c)).otherwise(F.col(new)["text"]).alias(c) if c == text else F.col(c) for c in docs.columns))
+
+
+def _cut(found: DataFrame, drop_share: float) -> DataFrame:
+    """One row of each key of ``found`` with the hits of all blocks cut out of its text, which is null where
+    ``drop_share`` of the original words is reached."""
+    rows = found.select("h1", "h2", "text", F.coalesce("words", "n_words").alias("words"), "removed").dropDuplicates(["h1", "h2"])
+    rows = rows.join(_united(found, "h1", "h2").drop("hit_items"), ["h1", "h2"]).withColumn("removed", F.col("removed") + F.col("n_hit"))
+    rows = rows.select("h1", "h2", "text", "words", "removed", "hit_spans")
+
+    def run(batches):
+        nothing = {"ids": [], "words": [], "sets": {}}
+        for batch in batches:
+            total, gone, spans = (batch.column(k).to_pylist() for k in (3, 4, 5))
+            texts = [None if gone[r] >= drop_share * total[r] else
+                     _without(body, starts, ends, [(s["first_word"], s["end_word"]) for s in spans[r]])
+                     for r, (_, _, _, body, starts, ends) in enumerate(_scan_texts(batch.column(2), nothing))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()),
+                                              batch.column(3), batch.column(4)], names=["h1", "h2", "text", "words", "removed"])
+
+    return rows.mapInArrow(run, "h1 long, h2 long, text string, words long, removed long")
 
 
 def _clean_pass(docs: DataFrame, text: str, windows: dict, drop_share: float) -> DataFrame:

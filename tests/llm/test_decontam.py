@@ -62,6 +62,45 @@ def test_clean_cuts_spans_drops_half_hit_documents_and_leaves_the_rest(spark):
         assert all(brute(t, items)[1] == 0 for t in got.values())
 
 
+def brute_clean(text, items, share=0.5, n=10):
+    """Words left of a text, None if it goes."""
+    left, removed, total = words(text), 0, len(words(text))
+    while True:
+        hit = set()
+        for _, t in items:
+            w = words(t)
+            size = min(n, len(w))
+            windows = {tuple(w[k:k + size]) for k in range(len(w) - size + 1)} if w else set()
+            hit |= {j for k in range(len(left) - size + 1) if tuple(left[k:k + size]) in windows for j in range(k, k + size)}
+        removed += len(hit)
+        if not hit:
+            return left
+        if removed >= share * total:
+            return None
+        left = [w for k, w in enumerate(left) if k not in hit]
+
+
+def test_clean_is_the_same_in_one_and_in_many_blocks(spark):
+    passages = [prose(60 + k, 30).split(" ") for k in range(4)]
+    p, q = passages[0], passages[1]
+    items = [(k, " ".join(w)) for k, w in enumerate(passages)] + [(10, " ".join(p[8:] + q[:8])), (11, " ".join(p[20:] + passages[2][:12]))]
+    own = [prose(80 + k, 60).split(" ") for k in range(4)]
+    texts = [own[0][:20] + a + own[0][20:40] + b for a in passages for b in passages if a is not b]  # 60 of 100 words are hit by two items
+    texts += [own[1] + p + q[:8] + own[2], own[1] + p[:28] + passages[2][:12] + own[2]]  # one item's cut leaves a piece of another's hit
+    texts += [own[1] + a[:15] + b + a[15:] + own[2] + own[3] for a in passages for b in passages]  # a cut joins the halves of another item
+    texts += [own[0], own[1] + p + own[2]] * 2
+    lines = [" ".join(t) for t in texts] + [None, ""]
+    docs = spark.createDataFrame([(k, k, t) for k, t in enumerate(lines)], "doc_id long, _h1 long, text string")
+    want = {k: left for k, t in enumerate(lines) if (left := brute_clean(t, items)) is not None}
+    assert 0 < len(want) < len(lines)
+    for block in (1_000_000, 160, 60):
+        got = decontam.clean(docs, bench(spark, items), block_words=block)
+        assert got.columns == docs.columns
+        got = {r.doc_id: r.text for r in got.collect()}
+        assert {k: words(t) for k, t in got.items()} == want, block
+        assert got[len(lines) - 2] is None and all(got[k] == lines[k] for k in got if words(lines[k]) == want[k])
+
+
 def test_query_over_the_whole_table(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
