@@ -118,10 +118,13 @@ def _found(text: Column, rule: Rule, has_digit: Column) -> Column:
 
     def spans(ms: Column, ps: Column) -> Column:
         lengths = F.transform(ms, lambda m, i: (F.length(m) + F.length(F.get(ps, i))).cast("long"))
-        return let(sums_before(lengths), lambda ahead: F.transform(ms, lambda m, i: let(
+        # the text up to and from each match, as far as the context of its neighbours can reach
+        upto = F.transform(ms, lambda m, i: F.right(F.concat(F.get(ps, i), m), F.lit(BEFORE)))
+        since = F.transform(ms, lambda m, i: F.left(F.concat(m, F.get(ps, i + 1)), F.lit(AFTER)))
+        return let(sums_before(lengths), lambda ahead: let(upto, lambda us: let(since, lambda ss: F.transform(ms, lambda m, i: let(
             ahead[i] + F.length(F.get(ps, i)), lambda start: F.struct(
                 start.alias("start"), F.lit(number).alias("kind_no"), (start + F.length(m)).alias("end"), m.alias("match"),
-                _score(rule, F.right(F.get(ps, i), F.lit(BEFORE)), F.left(F.get(ps, i + 1), F.lit(AFTER))).alias("score")))))
+                _score(rule, _before(us, ps, i), _after(ss, ps, i)).alias("score")))))))
 
     kept = (lambda s: rule.confirm(s["match"])) if rule.kind in BASE else (
         lambda s: rule.confirm(s["match"]) & (s["score"] >= THRESHOLD))
@@ -131,6 +134,20 @@ def _found(text: Column, rule: Rule, has_digit: Column) -> Column:
     return F.when(may, F.filter(proposed, kept)).otherwise(F.array().cast(_SPANS))
 
 
+def _before(upto: Column, ps: Column, i: Column) -> Column:
+    """The ``BEFORE`` code points before match ``i``, over earlier matches (of a code point at least) and pieces."""
+    own = F.get(ps, i)
+    run = F.concat(F.array_join(F.slice(upto, F.greatest(i - BEFORE + 1, F.lit(1)), F.least(i, F.lit(BEFORE))), ""), own)
+    return F.right(F.when(F.length(own) >= BEFORE, own).otherwise(run), F.lit(BEFORE))
+
+
+def _after(since: Column, ps: Column, i: Column) -> Column:
+    """The ``AFTER`` code points after match ``i``, over later matches and pieces."""
+    own = F.get(ps, i + 1)
+    run = F.concat(own, F.array_join(F.slice(since, i + 2, F.lit(AFTER)), ""))
+    return F.left(F.when(F.length(own) >= AFTER, own).otherwise(run), F.lit(AFTER))
+
+
 def _score(rule: Rule, before: Column, after: Column) -> Column:
     around = F.lower(F.concat_ws(" ", before, after))
     up = F.when(around.rlike(rf"(?<![a-z])(?:{rule.near})(?![a-z])"), 0.3).otherwise(0.0)

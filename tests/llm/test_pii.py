@@ -74,6 +74,29 @@ def test_context_words_move_the_score(spark):
     assert score[0] > score[1] and score[3] > score[2]
 
 
+def test_context_runs_on_over_neighbouring_matches(spark):
+    texts = ["call 415-555-0133 or 415-555-0134", "call 415-555-0133, 415-555-0134 or 415-555-0135", "SSN 123-45-6789, 234-56-7891",
+             "SSN: 123-45-6789 234-56-7891 345-67-8912", "123-45-6789, 234-56-7891 (ssn)", "ssn 123-45-6789" + " " * 60 + "234-56-7891"]
+    got = found(spark, texts)
+    assert [sum(k in ("ssn", "local_phone") for k, *_ in got[i]) for i in range(len(texts))] == [2, 3, 2, 3, 2, 1]
+    # the declared 60 code points before and 20 after, whatever lies in them
+    rng = random.Random(8)
+    bits = ["call ", "ssn ", "order ", "visa ", "host ", "mail ", "é😀 ", "415-555-0133 ", "123-45-6789 ", "a@b.co ", "a@b.co", "10.0.0.1 ",
+            "+1 415 555 0132 ", "4539578763621486 ", "x, ", " " * 9, "z" * 25 + " "]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randrange(1, 40))) for _ in range(300)] + ["call " + "415-555-0133 " * 300]
+    got = found(spark, texts)
+    rules = {r.kind: r for r in pii.RULES}
+    for i, t in enumerate(texts):
+        for kind, s, e, _, score in got[i]:
+            rule, around = rules[kind], (t[max(0, s - 60):s] + " " + t[e:e + 20]).lower()
+            near, against = (bool(words and re.search(rf"(?<![a-z])(?:{words})(?![a-z])", around)) for words in (rule.near, rule.against))
+            assert abs(score - min(1, max(0, rule.score + 0.3 * near - 0.3 * against))) < 1e-9, (t, kind, s)
+        bare = [m.start() for m in re.finditer(r"(?<![0-9-])123-45-6789(?![0-9-])", t)]
+        cued = [s for s in bare if re.search(r"(?<![a-z])ssn(?![a-z])", t[max(0, s - 60):s] + " " + t[s + 11:s + 31])
+                and not re.search(r"(?<![a-z])order(?![a-z])", t[max(0, s - 60):s] + " " + t[s + 11:s + 31])]
+        assert [s for k, s, *_ in got[i] if k == "ssn"] == cued
+
+
 def test_query_over_the_whole_table(spark):
     rows = queries.QUERIES["op2_pii"](spark, SF).collect()
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
