@@ -35,6 +35,8 @@ _DELIMITERS = bytes([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]
 WINDOW = 10
 #: Words of benchmark text in one broadcast block: about 40 MB of arrays.
 BLOCK_WORDS = 1_000_000
+#: The windows of no items.
+NOTHING = {"ids": [], "words": [], "sets": {}}
 
 _SPAN = T.ArrayType(T.StructType([T.StructField("first_word", T.LongType(), False),
                                   T.StructField("end_word", T.LongType(), False)]), False)
@@ -129,9 +131,9 @@ def _without(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, spans: list
 
 
 def _blocks(bench: DataFrame, item_id: str, text: str, block_words: int) -> list[DataFrame]:
-    """The items (id, text) in frames of about ``block_words`` words."""
+    """The items (id, text), each once, in frames of about ``block_words`` words."""
     rows = bench.select(F.coalesce(F.col(item_id).cast("string"), F.lit("null")).alias("id"), F.col(text).alias("text")) \
-                .where(F.col("text").isNotNull() & (F.col("text") != ""))
+                .where(F.col("text").isNotNull() & (F.col("text") != "")).distinct()
     # at most one word for every two bytes, so bytes bound the words
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b")).first()["b"]
     n = max(1, -(-int(size) // (2 * block_words)))
@@ -139,7 +141,7 @@ def _blocks(bench: DataFrame, item_id: str, text: str, block_words: int) -> list
 
 
 def _windows_of(block: DataFrame, n: int) -> dict:
-    return window_set([(r["id"], r["text"]) for r in block.toLocalIterator()], n)
+    return window_set([(r["id"], r["text"]) for r in block.collect()], n)
 
 
 def scan(docs: DataFrame, bench: DataFrame, *, text: str = "text", item_id: str = "item_id", item_text: str = "text",
@@ -154,9 +156,16 @@ def scan(docs: DataFrame, bench: DataFrame, *, text: str = "text", item_id: str
     shared = docs.sparkSession.sparkContext.broadcast
     if len(blocks) == 1:
         return _one_pass(docs, text, shared(_windows_of(blocks[0], n)), drop_text)
-    passes = [_one_pass(docs, text, shared(_windows_of(b, n))) for b in blocks]
-    merged = _merged(docs, text, passes)
-    return merged.drop(text) if drop_text else merged
+    h1, h2 = fresh(docs, "_h1", "_h2")
+    keyed = docs.withColumns(dict(zip((h1, h2), row_key(F.lit(0), F.col(text)))))
+    found = _found(keyed.select(F.col(h1).alias("h1"), F.col(h2).alias("h2"), F.col(text).alias("text")), blocks, n, drop_text=True)
+    # equal texts have equal hits
+    hits = _united(found, "h1", "h2").withColumnsRenamed({"h1": h1, "h2": h2})
+    counted = _one_pass(keyed, text, shared(NOTHING), drop_text).drop("n_hit", "hit_spans", "hit_items")
+    return counted.join(hits, [h1, h2], "left").select(
+        *(c for c in docs.columns if not (drop_text and c == text)), "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
+        F.coalesce("hit_spans", F.array().cast(_SPAN)).alias("hit_spans"),
+        F.coalesce("hit_items", F.array().cast("array<string>")).alias("hit_items"))
 
 
 def _one_pass(docs: DataFrame, text: str, shared: Broadcast, drop_text: bool = False) -> DataFrame:
@@ -192,29 +201,13 @@ def _united(found: DataFrame, h1: str, h2: str) -> DataFrame:
     return word.select(h1, h2, F.size("w").cast("long").alias("n_hit"), runs.alias("hit_spans")).join(items, [h1, h2])
 
 
-def _merged(docs: DataFrame, text: str, passes: list[DataFrame]) -> DataFrame:
-    """Hits of several passes, joined by text: equal texts have equal hits."""
-    h1, h2 = fresh(docs, "_h1", "_h2")
-    key = lambda d: d.withColumns(dict(zip((h1, h2), row_key(F.lit(0), F.col(text)))))
-    found = None
-    for p in passes:
-        one = key(p).where("n_hit > 0").select(h1, h2, "hit_spans", "hit_items")
-        found = one if found is None else found.unionByName(one)
-    base = key(passes[0].drop("n_hit", "hit_spans", "hit_items"))
-    joined = base.join(_united(found, h1, h2), [h1, h2], "left")
-    return joined.select(
-        *docs.columns, "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
-        F.coalesce("hit_spans", F.array().cast(_SPAN)).alias("hit_spans"),
-        F.coalesce("hit_items", F.array().cast("array<string>")).alias("hit_items"))
-
-
-def _found(texts: DataFrame, blocks: list[DataFrame], n: int) -> DataFrame:
+def _found(texts: DataFrame, blocks: list[DataFrame], n: int, drop_text: bool = False) -> DataFrame:
     """The rows of ``texts`` (h1, h2, text and more) that some block hits, one of each key, with n_words and that block's
     hit_spans and hit_items. Blocks go one by one: a block's hits are stored and its windows dropped before the next."""
     found = None
     for block in blocks:
         shared = texts.sparkSession.sparkContext.broadcast(_windows_of(block, n))
-        one = keep_lineage(_one_pass(texts, "text", shared).where("n_hit > 0").drop("n_hit").dropDuplicates(["h1", "h2"]))
+        one = keep_lineage(_one_pass(texts, "text", shared, drop_text).where("n_hit > 0").drop("n_hit").dropDuplicates(["h1", "h2"]))
         shared.destroy()
         found = one if found is None else found.unionByName(one)
     return found
@@ -259,12 +252,11 @@ def _cut(found: DataFrame, drop_share: float) -> DataFrame:
     rows = rows.select("h1", "h2", "text", "words", "removed", "hit_spans")
 
     def run(batches):
-        nothing = {"ids": [], "words": [], "sets": {}}
         for batch in batches:
             total, gone, spans = (batch.column(k).to_pylist() for k in (3, 4, 5))
             texts = [None if gone[r] >= drop_share * total[r] else
                      _without(body, starts, ends, [(s["first_word"], s["end_word"]) for s in spans[r]])
-                     for r, (_, _, _, body, starts, ends) in enumerate(_scan_texts(batch.column(2), nothing))]
+                     for r, (_, _, _, body, starts, ends) in enumerate(_scan_texts(batch.column(2), NOTHING))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()),
                                               batch.column(3), batch.column(4)], names=["h1", "h2", "text", "words", "removed"])
 

@@ -1,6 +1,7 @@
 """Benchmark decontamination against brute force over word lists."""
 
 import hashlib
+import os
 import re
 
 from orderlake.llm import decontam, queries
@@ -101,6 +102,25 @@ def test_clean_is_the_same_in_one_and_in_many_blocks(spark):
         assert got[len(lines) - 2] is None and all(got[k] == lines[k] for k in got if words(lines[k]) == want[k])
 
 
+def test_copies_enter_blocks_once_and_one_block_is_held_at_a_time(spark, monkeypatch):
+    own = [(k, prose(100 + k, 30)) for k in range(4)]
+    items = bench(spark, own + [own[0]] * 300)
+    assert sum(b.count() for b in decontam._blocks(items, "item_id", "text", 200)) == len(own)
+    seen, one_pass = [], decontam._one_pass
+
+    def watched(docs, text, shared, *rest):
+        assert not any(os.path.exists(s._path) for s in seen)
+        seen.append(shared)
+        return one_pass(docs, text, shared, *rest)
+
+    monkeypatch.setattr(decontam, "_one_pass", watched)
+    docs = spark.createDataFrame([(k, 1, t + " " + prose(k, 9) + " " + u) for k, (_, t) in enumerate(own) for _, u in own], "doc_id long, _h1 long, text string")
+    got = decontam.scan(docs, items, block_words=200, drop_text=True)
+    assert len(seen) > 2 and got.columns == ["doc_id", "_h1", "n_words", "n_hit", "hit_spans", "hit_items"]
+    want = [(r.doc_id, *brute(r.text, own)) for r in docs.collect()]
+    assert sorted((r.doc_id, r.n_words, r.n_hit, r.hit_items) for r in got.collect()) == sorted(want)
+
+
 def test_query_over_the_whole_table(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
