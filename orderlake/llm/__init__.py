@@ -1,5 +1,6 @@
 """Training-data operators: mixing, personal data, quality, line and near duplicates,
-chat rendering, language, fingerprints, decontamination and toxicity.
+chat rendering, language, fingerprints, decontamination, toxicity, token ids,
+periodic runs and source divergence.
 
 Nothing else in the library imports this subpackage.
 """

@@ -109,4 +109,35 @@ SELECT conv_id, piece, participant, count(*)::BIGINT AS n_turns, count(*) FILTER
 FROM sized GROUP BY conv_id, piece, participant
 """
 
-ORACLE_SQL = {"op5_perspectives": OP5, "op4_line_dedup": OP4, "op1_source_mix": OP1, "op9_decontaminate": OP9}
+OP13 = r"""
+WITH docs AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS r,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+words AS (SELECT lang, source, r, unnest(w) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS c FROM words GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+vocabulary AS (SELECT lang, count(*) AS v, sum(c) AS n FROM kept GROUP BY lang),
+found AS (SELECT w.lang, w.source, w.term, count(*) AS c FROM words w JOIN kept k ON w.lang = k.lang AND w.term = k.term GROUP BY ALL),
+groups AS (
+  SELECT g.lang, g.source, coalesce(sum(f.c), 0) AS n FROM (SELECT DISTINCT lang, source FROM docs) g
+  LEFT JOIN found f ON g.lang = f.lang AND g.source = f.source GROUP BY ALL),
+shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(f.c, 0) AS c,
+         (1 + (1000000000::HUGEINT * (coalesce(f.c, 0) + 1)) // (g.n + v.v))::HUGEINT AS p,
+         (1 + (1000000000::HUGEINT * (k.c + 1)) // (v.n + v.v))::HUGEINT AS q
+  FROM groups g JOIN kept k ON g.lang = k.lang JOIN vocabulary v ON g.lang = v.lang
+  LEFT JOIN found f ON g.lang = f.lang AND g.source = f.source AND k.term = f.term),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+results AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT FROM shares WHERE c > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item))::INTEGER AS rank FROM results)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+ORACLE_SQL = {"op13_divergence": OP13, "op5_perspectives": OP5, "op4_line_dedup": OP4, "op1_source_mix": OP1, "op9_decontaminate": OP9}

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.llm import chat, decontam, langid, linededup, mixing, pii, quality, simhash, toxicity, winnow
-from orderlake.llm.frames import documents, word_count
+from orderlake.llm import bpe, chat, decontam, divergence, langid, linededup, mixing, periodic, pii, quality, simhash, toxicity, winnow
+from orderlake.llm.frames import BLANK_CLASS, documents, let, word_count
 from orderlake.llm.oracles import ORACLE_SQL  # noqa: F401
 
 
@@ -75,6 +76,44 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")), keep=["doc_id"])
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    tables = bpe.read(tokenizer or public_tokenizers.path("word_bpe_49k.json"))
+    coded = bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), tables, drop_text=True)
+    return bpe.decode(coded, tables).select("doc_id", bpe.n_tokens().alias("n_tokens"), F.sha2("token_ids", 256).alias("ids_sha256"),
+                                            F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def repeated(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): one text in ten, by crc32 of its id, made periodic from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+
+    def planted(words):
+        n = F.size(words)
+        g = F.floor(h / 10)
+        a = g % n
+        p = F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))
+        return let(a, lambda a: let(p, lambda p: F.array_join(F.transform(
+            F.sequence(F.lit(0).cast("long"), n.cast("long") - 1), lambda i: F.get(words, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int"))), " ")))
+
+    words = F.filter(F.split("text", BLANK_CLASS), lambda w: w != "")
+    return docs.select("doc_id", F.when((h % 10 == 0) & F.col("text").rlike(r"[^\x20\x09-\x0D]"), let(words, planted)).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.find(repeated(documents(spark, sf_dir).select("doc_id", "text")), drop_text=True)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n"))), "")
+    return found.withColumn("m", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("m.s")).alias("start"), F.col("m.length").alias("length"),
+        (-F.col("m.p")).alias("period"), F.floor(F.col("m.length") * 1000 / -F.col("m.p")).alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_source_mix, op2_pii, op3_quality, op4_line_dedup, op5_perspectives, op6_simhash, op7_language, op8_winnow, op9_decontaminate, op10_toxicity)
+    f.__name__: f for f in (op1_source_mix, op2_pii, op3_quality, op4_line_dedup, op5_perspectives, op6_simhash, op7_language, op8_winnow, op9_decontaminate, op10_toxicity,
+                              op11_bpe, op12_periodic, op13_divergence)
 }
