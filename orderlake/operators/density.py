@@ -26,7 +26,8 @@ Plan (d dimensions, radius eps):
 
 Every step is an equi-join on cell coordinates plus filters; skewed cells
 are split by AQE's skew-join handling, and a dense cell never produces point
-pairs.
+pairs. Offsets and directions of cells grow as powers of the number of dimensions, so
+it is meant for two to four of them.
 """
 
 from __future__ import annotations
@@ -41,6 +42,7 @@ from pyspark.sql import functions as F
 
 from orderlake.functions.ranking import global_index
 from orderlake.operators.components import connected_components
+from orderlake.session import stored
 
 _TOL = 1e-9
 
@@ -119,7 +121,8 @@ def _linked_by_boxes(pairs: DataFrame, points: DataFrame, cols: list[str], side:
             "parent", place(level - 1) if level > 1 else F.lit(None).cast("string"))
         boxes = near.groupBy("cell", "parent", "sub").agg(
             F.count(F.lit(1)).alias("n"), F.min(F.struct(*cols)).alias("rep"),
-            *[F.min(c).alias(f"lo_{c}") for c in cols], *[F.max(c).alias(f"hi_{c}") for c in cols]).checkpoint()
+            *[F.min(c).alias(f"lo_{c}") for c in cols], *[F.max(c).alias(f"hi_{c}") for c in cols])
+        boxes = stored(boxes, "dbscan-boxes")
 
         def of(tag, cell):
             return boxes.select(F.col("cell").alias(cell), F.col("parent").alias(f"s{cell}"),
@@ -132,9 +135,9 @@ def _linked_by_boxes(pairs: DataFrame, points: DataFrame, cols: list[str], side:
             joined = joined.join(box, same).drop(box[cell]).drop(box[f"s{cell}"])
         mn, mx = _box_box(*[[F.col(f"{t}_{e}_{c}") for c in cols] for t in "ab" for e in ("lo", "hi")])
         hit = (mx <= eps2_in) | (_dist2([F.col(f"a_rep.{c}") for c in cols], [F.col(f"b_rep.{c}") for c in cols]) <= eps2)
-        tested = joined.filter(mn <= eps2_out).select(
+        tested = stored(joined.filter(mn <= eps2_out).select(
             "v", "u", F.col("a_sub").alias("sv"), F.col("b_sub").alias("su"), (F.col("a_n") * F.col("b_n")).alias("work"),
-            hit.alias("hit")).checkpoint()
+            hit.alias("hit")), "dbscan-tested")
         settled = tested.filter("hit").select("v", "u").distinct()
         left = tested.filter("not hit").join(settled, ["v", "u"], "left_anti")
         few = left.filter(F.col("work") <= _PAIR_WORK)
@@ -145,11 +148,11 @@ def _linked_by_boxes(pairs: DataFrame, points: DataFrame, cols: list[str], side:
         exact = (few.join(members("a", "v"), ["v", "sv"]).join(members("b", "u"), ["u", "su"])
                     .filter(_dist2([F.col(f"a_{c}") for c in cols], [F.col(f"b_{c}") for c in cols]) <= eps2)
                     .select("v", "u").distinct())
-        now = settled.unionByName(exact).distinct().checkpoint()
+        now = stored(settled.unionByName(exact).distinct(), "dbscan-linked")
         found = found.unionByName(now)
         logging.getLogger(__name__).info("box test: level %d", level)
-        open_pairs = (left.filter(F.col("work") > _PAIR_WORK).join(now, ["v", "u"], "left_anti")
-                          .select("v", "u", "sv", "su").checkpoint())
+        open_pairs = stored(left.filter(F.col("work") > _PAIR_WORK).join(now, ["v", "u"], "left_anti")
+                                .select("v", "u", "sv", "su"), "dbscan-open")
     return found
 
 
@@ -176,7 +179,7 @@ def dbscan(points: DataFrame, id_col: str, cols: list[str], eps: float = 0.9, mi
     g = (points.groupBy(*cols)
                .agg(F.count(F.lit(1)).alias("w"), F.min(order_col).alias("rep"))
                .select(*cols, "w", "rep", *[F.floor(F.col(c) / side).alias(k) for c, k in zip(cols, cc)]))
-    g = g.checkpoint()
+    g = stored(g, "dbscan-points")
     mark("distinct points")
 
     # 2. cell counts
@@ -212,7 +215,7 @@ def dbscan(points: DataFrame, id_col: str, cols: list[str], eps: float = 0.9, mi
             .withColumn("core", F.coalesce(F.col("_dense"), F.lit(False)) |
                         (F.coalesce(F.col("cnt"), F.lit(0)) >= min_samples))
             .drop("_dense", "cnt"))
-    pts = pts.checkpoint()
+    pts = stored(pts, "dbscan-core")
     mark("core flags")
     core = pts.filter("core")
 
@@ -220,7 +223,7 @@ def dbscan(points: DataFrame, id_col: str, cols: list[str], eps: float = 0.9, mi
     kc = core.groupBy(*cc).agg(*[F.min(c).alias(f"lo_{c}") for c in cols],
                                *[F.max(c).alias(f"hi_{c}") for c in cols],
                                F.min("rep").alias("cell_rep"))
-    kc = kc.withColumn("v", F.struct(*cc)).checkpoint()
+    kc = stored(kc.withColumn("v", F.struct(*cc)), "dbscan-cells")
     mark("core cells")
     a = kc.select(*cc, "v", *[F.col(f"lo_{c}").alias(f"alo_{c}") for c in cols],
                   *[F.col(f"hi_{c}").alias(f"ahi_{c}") for c in cols], _offset_col(offs, d).alias("o"))
@@ -265,17 +268,16 @@ def dbscan(points: DataFrame, id_col: str, cols: list[str], eps: float = 0.9, mi
                   .withColumn("_v", F.col("v")).withColumn("_u", F.col("u")))
     pa = F.element_at("ea", dir_index(sgn))
     pb = F.element_at("eb", dir_index([-x for x in sgn]))
-    quick = (probe.filter(_dist2([pa[c] for c in cols], [pb[c] for c in cols]) <= eps2)
-                  .select("v", "u")).checkpoint()
+    quick = probe.filter(_dist2([pa[c] for c in cols], [pb[c] for c in cols]) <= eps2).select("v", "u")
     mark("quick links")
     # Cells that sure and quick links already connect need no test of their own: the answer
     # would change no component. What is left goes to the test on ever smaller boxes.
-    known = sure.unionByName(quick.select(F.col("v").alias("src"), F.col("u").alias("dst"))).checkpoint()
+    known = stored(sure.unionByName(quick.select(F.col("v").alias("src"), F.col("u").alias("dst"))), "dbscan-links")
     so_far = connected_components(kc.select("v"), known)
-    rest = (maybe.select("v", "u")
-                 .join(so_far.withColumnRenamed("label", "_lv"), "v")
-                 .join(so_far.select(F.col("v").alias("u"), F.col("label").alias("_lu")), "u")
-                 .filter(F.col("_lv") != F.col("_lu")).select("v", "u").checkpoint())
+    rest = stored(maybe.select("v", "u")
+                  .join(so_far.withColumnRenamed("label", "_lv"), "v")
+                  .join(so_far.select(F.col("v").alias("u"), F.col("label").alias("_lu")), "u")
+                  .filter(F.col("_lv") != F.col("_lu")).select("v", "u"), "dbscan-open")
     log.info("dbscan: box test for the open cell pairs")
     linked = _linked_by_boxes(rest, core_pts, cols, side, eps2, eps2_in, eps2_out)
     edges = known.unionByName(linked.select(F.col("v").alias("src"), F.col("u").alias("dst")))
@@ -286,7 +288,8 @@ def dbscan(points: DataFrame, id_col: str, cols: list[str], eps: float = 0.9, mi
     kc2 = kc.join(comp, "v")
     ckey = kc2.groupBy("label").agg(F.min("cell_rep").alias("ckey"))
     kc2 = kc2.join(ckey, "label").select(*cc, *[F.col(f"lo_{c}") for c in cols],
-                                         *[F.col(f"hi_{c}") for c in cols], "ckey").checkpoint()
+                                         *[F.col(f"hi_{c}") for c in cols], "ckey")
+    kc2 = stored(kc2, "dbscan-clusters")
 
     # 6. border points: smallest cluster key among reaching core cells (none when all points are core)
     nb = pts.filter(~F.col("core")).select(*cols, *cc)

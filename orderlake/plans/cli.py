@@ -4,6 +4,8 @@
     spark-submit --py-files orderlake.zip run_job.py bronze-to-silver --bronze <dir>
     spark-submit --py-files orderlake.zip run_job.py silver-to-gold --as-of 2024-01-01
     spark-submit --py-files orderlake.zip run_job.py clustering --csv <dir>
+    spark-submit --py-files orderlake.zip run_job.py hdbscan --csv <dir>
+    spark-submit --py-files orderlake.zip run_job.py compact --updates <dir> --state <dir>
     spark-submit --py-files orderlake.zip run_job.py ingest-stream --blocks ... --updates ... --checkpoint ...
 
 The session comes from the cluster (``getOrCreate``); its configuration is
@@ -17,6 +19,7 @@ import json
 
 from pyspark.sql import SparkSession
 
+from orderlake.operators import ledger
 from orderlake.plans import medallion
 from orderlake.streaming import ingest
 
@@ -42,6 +45,15 @@ def main(argv=None) -> None:
     c.add_argument("--csv", default=None)
     c.add_argument("--eps", type=float, default=0.9)
     c.add_argument("--min-samples", type=int, default=10)
+    h = sub.add_parser("hdbscan")
+    h.add_argument("--gold", default="gold")
+    h.add_argument("--csv", default=None)
+    h.add_argument("--min-cluster-size", type=int, default=15)
+    h.add_argument("--min-samples", type=int, default=8)
+    k = sub.add_parser("compact")
+    k.add_argument("--updates", required=True)
+    k.add_argument("--state", required=True)
+    k.add_argument("--buckets", type=int, default=64)
     s = sub.add_parser("ingest-stream")
     s.add_argument("--blocks", required=True)
     s.add_argument("--updates", required=True)
@@ -58,6 +70,10 @@ def main(argv=None) -> None:
         out = medallion.silver_to_gold(spark, args.silver, args.gold, args.as_of)
     elif args.cmd == "clustering":
         out = medallion.clustering(spark, args.gold, args.csv, args.eps, args.min_samples)
+    elif args.cmd == "hdbscan":
+        out = medallion.hdbscan_clustering(spark, args.gold, args.csv, args.min_cluster_size, args.min_samples)
+    elif args.cmd == "compact":
+        out = {"folded_batch": ingest.compact(spark, args.updates, args.state, "orderId", ledger.ORDER_KEY_COLS, buckets=args.buckets)}
     else:
         q = ingest.run_ingest(spark, args.blocks, args.updates, args.checkpoint, available_now=not args.continuous)
         q.awaitTermination()

@@ -10,10 +10,10 @@ from __future__ import annotations
 import logging
 
 from pyspark import StorageLevel
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.operators import density, features, gold, ledger, silver
+from orderlake.operators import density, features, gold, hdbscan, ledger, silver
 from orderlake.schemas import CLUSTERING_RESULTS
 from orderlake.sources import bronze as B
 from orderlake.sources import sinks
@@ -72,21 +72,40 @@ def silver_to_gold(spark: SparkSession, silver_ns: str = "silver", gold_ns: str
     return out
 
 
-def clustering(spark: SparkSession, gold_ns: str = "gold", csv_path: str | None = None,
-               eps: float = 0.9, min_samples: int = 10) -> dict:
-    """Features -> standardise -> PCA(3) -> DBSCAN -> gold.clustering_results (+ CSV)."""
-    g = spark.table(f"{gold_ns}.orders")
-    feats, scores, fit = features.order_pca(g, 3)
-    labels = density.dbscan(scores, "orderid", ["pca1", "pca2", "pca3"], eps, min_samples)
+def clustering_table(feats: DataFrame, scores: DataFrame, labels: DataFrame) -> DataFrame:
+    """The 13 columns of the clustering table, integers without NaN and infinities."""
     j = feats.join(scores, "orderid").join(labels, "orderid")
     cols = []
     for f in CLUSTERING_RESULTS.fields:
-        src = {"orderId": "orderid", "approvedByOrg1": "approvedbyorg1"}.get(f.name, f.name)
-        c = F.col(src)
+        c = F.col({"orderId": "orderid", "approvedByOrg1": "approvedbyorg1"}.get(f.name, f.name))
         if f.dataType.typeName() == "integer":
             c = F.coalesce(features.finite_or_null_col(c), F.lit(0.0)).cast("int")
         cols.append(c.cast(f.dataType).alias(f.name))
-    result = j.select(*cols)
+    return j.select(*cols)
+
+
+def hdbscan_clustering(spark: SparkSession, gold_ns: str = "gold", csv_path: str | None = None,
+                       min_cluster_size: int = 15, min_samples: int = 8) -> dict:
+    """Features -> standardise -> PCA(3) -> HDBSCAN -> gold.hdbscan_results (+ CSV): every column of the gold orders, the
+    features, the components, cluster, cluster_probability and outlier_score."""
+    g = spark.table(f"{gold_ns}.orders")
+    feats, scores, fit = features.order_pca(g, 3)
+    labels = hdbscan.hdbscan(scores, "orderid", ["pca1", "pca2", "pca3"], min_cluster_size, min_samples)
+    dates = gold.lowercase_columns(g, ()).select("orderid", "orderdate", "requireddate", "shippeddate")
+    result = dates.join(feats, "orderid").join(scores, "orderid").join(labels.withColumnRenamed("probability", "cluster_probability"), "orderid")
+    n = sinks.replace_table(result, f"{gold_ns}.hdbscan_results")
+    if csv_path:
+        sinks.export_csv(spark.table(f"{gold_ns}.hdbscan_results"), csv_path)
+    return {"hdbscan_results": n, "explained_variance": [float(x) for x in fit.ratios]}
+
+
+def clustering(spark: SparkSession, gold_ns: str = "gold", csv_path: str | None = None,
+               eps: float = 0.9, min_samples: int = 10) -> dict:
+    """Features -> standardise -> PCA(3) -> DBSCAN -> gold.clustering_results (+ CSV)."""
+    g = spark.table(f"{gold_ns}.orders")
+    feats, scores, fit = features.order_pca(g, 3)
+    labels = density.dbscan(scores, "orderid", ["pca1", "pca2", "pca3"], eps, min_samples)
+    result = clustering_table(feats, scores, labels)
     n = sinks.replace_table(result, f"{gold_ns}.clustering_results")
     if csv_path:
         sinks.export_csv(spark.table(f"{gold_ns}.clustering_results"), csv_path)

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from orderlake.operators import ledger
 from orderlake.operators import lifecycle as L
 from orderlake.operators.nest import nest_items
 from orderlake.plans.registry import register
 from orderlake.plans.sql_fragments import HEADER, with_views
 from orderlake.sources import tables as T
+from orderlake.sources.blocks import ledger_blocks
 from orderlake.sources.events import events_sql, lifecycle_event_table
 
 _EV = events_sql()
@@ -58,12 +60,14 @@ def q_first_create_wins(spark, sf):
               block, tx
        FROM ev
        WHERE function = 'CreateOrder' AND org = 'Org2MSP' AND customerId IS NOT NULL AND has_meta AND has_details
-         AND orderId NOT IN (SELECT cast(o_orderkey AS varchar) FROM orders WHERE o_orderstatus = 'F')
+         AND orderId NOT IN (SELECT cast(o_orderkey AS varchar) FROM orders
+                             WHERE o_orderkey // 5 + 1 <= (SELECT max(CASE o_orderstatus WHEN 'O' THEN 1 ELSE 4 END + o_orderkey // 5) FROM orders) // 2)
        QUALIFY row_number() OVER (PARTITION BY orderId ORDER BY block, tx) = 1""", ev=_EV))
 def q_create_orders(spark, sf):
-    state = _headers(spark, sf).filter(F.col("status") == "APPROVED").join(
-        T.read_table(spark, sf, "orders").filter(F.col("o_orderstatus") == "F")
-         .select(F.col("o_orderkey").alias("orderKey")), "orderKey", "left_semi")
+    """J5 against the state of the ledger at half its height; the commands come after that."""
+    blocks = ledger_blocks(spark, sf)
+    half = F.floor((ledger.ledger_height(blocks).first()["height"] - 1) / 2)
+    state = ledger.latest_order_state(ledger.order_writes(blocks).where(F.col("block_number") <= half))
     out = L.create_orders(state, _commands(spark, sf))
     return out.select("orderId", "customerIdHash", "status", "approvedByOrg1", "block", "tx")
 

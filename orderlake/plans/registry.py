@@ -25,7 +25,7 @@ def register(name: str, sql: str | None = None):
 
 def _load_all():
     # Importing the modules fills REGISTRY.
-    from orderlake.plans import q_clustering, q_ledger, q_lifecycle, q_medallion, q_sources  # noqa: F401
+    from orderlake.plans import q_clustering, q_ledger, q_lifecycle, q_medallion, q_sources, q_state  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -13,7 +13,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at scale. AQE re-plans joins at run time (broadcast
 # only when the measured side is small), coalesces small shuffle partitions
@@ -71,3 +71,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder (never a machine-local temp dir on a cluster)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/orderlake-scratch/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet into a fresh folder and read back.
+
+    Cuts lineage like ``checkpoint()``, survives lost executors like it, and unlike it leaves
+    the planner the size of the files: a checkpoint keeps the estimate of the plan it cut, which a loop of joins
+    multiplies from round to round.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the folders behind frames of ``stored`` that nothing reads any more."""
+    for df in frames:
+        jvm = df.sparkSession.sparkContext._jvm
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            if "/orderlake-scratch/" in folder:
+                path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

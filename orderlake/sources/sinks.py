@@ -16,13 +16,23 @@ def list_tables(spark: SparkSession, namespace: str) -> DataFrame:
     return spark.sql(f"SHOW TABLES IN {namespace}")
 
 
+def list_namespaces(spark: SparkSession) -> DataFrame:
+    """Schemas of the current catalog."""
+    return spark.sql("SHOW NAMESPACES")
+
+
+def list_catalogs(spark: SparkSession) -> DataFrame:
+    """Catalogs that the session has opened."""
+    return spark.sql("SHOW CATALOGS")
+
+
 def replace_table(df: DataFrame, name: str, fmt: str = "parquet", partition_by: list[str] | None = None,
                   count: bool = True, bucket_by: tuple[str, int] | None = None) -> int | None:
     """S6 + S13: create or replace table ``name`` and return its row count.
 
     The count is observed while writing (``DataFrame.observe``), so no second
-    job re-reads the data. The built-in catalog has no atomic replace; a
-    table format with one (a v2 catalog) can use ``writeTo(...).createOrReplace()``.
+    job re-reads the data. The built-in catalog has no atomic replace: readers that
+    need one use ``versioned.replace``, or a table format of a v2 catalog with ``writeTo(...).createOrReplace()``.
     ``bucket_by=(column, n)`` writes ``n`` buckets on ``column``: tables
     bucketed alike join on that column without a shuffle.
     """

@@ -8,9 +8,10 @@
 * T3 ``run_ingest``: ``foreachBatch`` sink that appends each micro-batch's
   per-key latest write to a log partitioned by batch id. A retried batch
   overwrites only its own partition (dynamic partition overwrite), so a
-  replay after a failure is idempotent. ``current_state`` compacts the log
+  replay after a failure is idempotent. ``current_state`` reads the log
   with the same keep-latest aggregation, and silver is derived from it with
-  the batch functions.
+  the batch functions. ``compact`` folds the log into a versioned state up to
+  a batch, after which readers need the state and the rest of the log only.
 
 The checkpoint location must be on shared storage on a cluster (it is an
 argument; nothing here picks a machine-local folder).
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 
 from orderlake.operators import ledger, silver
 from orderlake.schemas import BLOCK, RAW_ORDER
+from orderlake.sources import versioned
 
 
 def block_stream(spark: SparkSession, path: str, multi_line: bool = True,
@@ -84,6 +86,59 @@ def current_latest(spark: SparkSession, updates_path: str, key: str) -> DataFram
     return ledger.latest_per_key(spark.read.parquet(updates_path), key, ["batch_id"]).drop("batch_id")
 
 
+#: Property of a state's version: the last batch of the log that it holds.
+FOLDED = "folded_batch"
+
+
+def _tail(spark: SparkSession, updates_path: str, after: int) -> DataFrame:
+    return spark.read.parquet(updates_path).where(F.col("batch_id") > after)
+
+
+def _folded(spark: SparkSession, state_root: str) -> int:
+    state = versioned.open_version(spark, state_root)
+    return state.properties[FOLDED] if state else -1
+
+
+def compact(spark: SparkSession, updates_path: str, state_root: str, key: str, order: list[str], up_to: int | None = None,
+            buckets: int = 16) -> int:
+    """Fold the log's batches up to ``up_to`` (all, if not given) into the state of ``state_root``; the last batch folded.
+
+    Only buckets with changed keys are written. The state's version says how far the log is folded in, so a compaction that
+    failed, or runs twice, changes nothing; folded batches may be deleted once no reader has an older version open.
+    """
+    done = _folded(spark, state_root)
+    tail = _tail(spark, updates_path, done)
+    last = (tail if up_to is None else tail.where(F.col("batch_id") <= up_to)).agg(F.max("batch_id").alias("b")).first()["b"]
+    if last is None:
+        return done
+    changes = tail.where(F.col("batch_id") <= last).drop("batch_id")
+    versioned.upsert(changes, state_root, key, order, buckets, properties={FOLDED: int(last)})
+    return int(last)
+
+
+def compacted_latest(spark: SparkSession, updates_path: str, state_root: str, key: str, order: list[str]) -> DataFrame:
+    """The latest row of every key: the state, and the batches of the log that are not in it yet."""
+    state = versioned.open_version(spark, state_root)
+    tail = _tail(spark, updates_path, state.properties[FOLDED] if state else -1).drop("batch_id")
+    if state is None:
+        return ledger.latest_per_key(tail, key, order)
+    held = versioned.read(spark, state_root, state.number)
+    return ledger.latest_per_key(held.unionByName(tail.select(*held.columns)), key, order)
+
+
+def run_compacted(latest: DataFrame, updates_path: str, state_root: str, checkpoint_path: str, key: str, order: list[str], every: int = 4):
+    """``run_latest`` whose log is folded into the state of ``state_root`` after every ``every`` triggers."""
+    append = _append_changes(updates_path)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        append(batch, batch_id)
+        if (batch_id + 1) % every == 0:
+            compact(batch.sparkSession, updates_path, state_root, key, order, batch_id)
+
+    return (latest.writeStream.outputMode("update").foreachBatch(write)
+                  .option("checkpointLocation", checkpoint_path).trigger(availableNow=True).start())
+
+
 def current_state(spark: SparkSession, updates_path: str) -> DataFrame:
     """Latest order document per ``orderId`` over the whole update log (bronze shape)."""
     log = spark.read.parquet(updates_path).drop("batch_id")

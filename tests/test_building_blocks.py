@@ -42,3 +42,22 @@ def test_components_on_a_long_chain(spark):
     got = {r.v: r.label for r in lab.collect()}
     assert all(got[i] == 0 for i in range(n))
     assert all(got[i] == i for i in range(1000, 1010))
+
+
+def test_components_of_components_plan_in_bounded_time(spark):
+    """Each call starts from the labels of the call before; size estimates must not pile up from round to round."""
+    import time
+
+    n = 3000
+    vertices = spark.range(n).select(F.col("id").alias("v"))
+    labels = connected_components(vertices, spark.range(0).select(F.col("id").alias("src"), F.col("id").alias("dst")))
+    began = time.time()
+    for step in (1, 2, 4, 8):
+        edges = labels.select(F.col("v").alias("src"), (F.col("v") + step).alias("dst")).where(
+            (F.col("src") % (2 * step) == 0) & (F.col("dst") < n))
+        both = edges.join(labels.select(F.col("v").alias("src"), F.col("label").alias("a")), "src").join(
+            labels.select(F.col("v").alias("dst"), F.col("label").alias("b")), "dst")
+        tops = connected_components(labels.select(F.col("label").alias("v")), both.select(F.col("a").alias("src"), F.col("b").alias("dst")))
+        labels = labels.join(tops.select(F.col("v").alias("label"), F.col("label").alias("top")), "label").select("v", F.col("top").alias("label"))
+    assert {r["v"]: r["label"] for r in labels.collect()} == {i: i // 16 * 16 for i in range(n)}
+    assert time.time() - began < 60
