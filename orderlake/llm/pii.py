@@ -7,7 +7,8 @@ lower its score. Spans are code point offsets, end exclusive.
 Base kinds: email, ip, card, phone; a base span that its check confirms is always
 reported, whatever its score. Further kinds: iban (confirmed by mod-97), ssn and
 local_phone (a bare number pattern says little, so these two need a context word
-nearby to reach ``THRESHOLD``).
+nearby to reach ``THRESHOLD``), and secret: keys and tokens in hexadecimal or base64, confirmed by the entropy of
+their characters, with a context word likewise.
 
 Positions come from the pieces between matches: a text is split at the pattern and
 the lengths are added up in blocks, so a text with very many matches stays far from quadratic
@@ -31,9 +32,11 @@ from pyspark.sql import functions as F
 from orderlake.llm.frames import fresh, let, cleared, sums_before
 
 #: Kinds in the order in which spans with equal starts are listed.
-KINDS = ("email", "ip", "card", "phone", "iban", "ssn", "local_phone")
+KINDS = ("email", "ip", "card", "phone", "iban", "ssn", "local_phone", "secret")
 BASE = KINDS[:4]
 THRESHOLD = 0.6
+#: Least entropy of a secret's characters, in bits; prose and repeated letters stay below it or lack digits.
+ENTROPY = 3.0
 #: Code points before a span in which context words count, and after it.
 BEFORE, AFTER = 60, 20
 
@@ -90,6 +93,20 @@ def _iban(match: Column) -> Column:
     return F.length(plain).between(15, 34) & mod97(plain)
 
 
+def entropy(match: Column) -> Column:
+    """Bits a character of a string, by how often each occurs in it."""
+    def bits(chars: Column) -> Column:
+        n = F.size(chars).cast("double")
+        each = F.transform(F.array_distinct(chars), lambda c: F.size(F.filter(chars, lambda x: x == c)) / n)
+        return F.aggregate(each, F.lit(0.0), lambda a, p: a - p * F.log2(p))
+
+    return let(F.split(match, ""), bits)
+
+
+def _secret(match: Column) -> Column:
+    return match.rlike("[0-9]") & match.rlike("[A-Za-z]") & (entropy(match) >= ENTROPY)
+
+
 RULES = (
     Rule("email", "@", rf"(?:\G|(?<![{_LOCAL}]))[{_LOCAL}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
          lambda m: F.lit(True), 0.9, "e-?mail|mail|contact|write|kontakt|correo|courriel"),
@@ -106,6 +123,8 @@ RULES = (
     Rule("local_phone", r"[0-9]{3}[ .-][0-9]{4}",
          r"(?<![0-9+(.-])(?<!\+[0-9]{1,3}[ (])\(?[2-9][0-9]{2}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9-])", lambda m: F.lit(True), 0.4,
          "phone|call|tel|telephone|mobile|cell|fax", "order|invoice|serial|isbn"),
+    Rule("secret", r"[A-Za-z0-9+/_-]{20}", r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}", _secret, 0.4,
+         "token|key|api[_-]?key|secret|password|passwd|passwort|clave|bearer|credential"),
 )
 
 

@@ -22,7 +22,7 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(documents(spark, sf_dir).select("doc_id", "text"))
     counts = [F.size(pii.of_kinds(F.col("spans"), (k,))).cast("long").alias(f"n_{k}") for k in pii.BASE]
     return found.select("doc_id", *counts, F.sha2(pii.joined(pii.of_kinds(F.col("spans"), pii.BASE)), 256).alias("base_sha256"),
-                        pii.joined(F.col("spans")).alias("spans"))
+                        pii.joined(F.col("spans")).alias("spans"), F.size("spans").cast("long").alias("n_spans"))
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Personal data spans against a plain Python reading of the contract."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from orderlake.llm import pii, queries
 
 SF = "/root/testdata/sf0.001"
+SF01 = "/root/testdata/sf0.01"
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
@@ -115,3 +117,39 @@ def test_empty_table_extra_columns_and_repeats(spark):
     twice = frame(spark, ["a@b.cd"]).unionAll(frame(spark, ["a@b.cd"])).withColumn("_raw", F.lit(1)).withColumn("kind", F.lit("z"))
     rows = pii.find(twice).collect()
     assert len(rows) == 2 and all(r._raw == 1 and r.kind == "z" and len(r.spans) == 1 for r in rows)
+
+
+def brute_secrets(text):
+    out = []
+    for m in re.finditer(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}", text):
+        core = m[0]
+        p = [core.count(c) / len(core) for c in set(core)]
+        bits = -sum(x * math.log2(x) for x in p)
+        around = (text[max(0, m.start() - 60):m.start()] + " " + text[m.end():m.end() + 20]).lower()
+        cue = re.search(r"(?<![a-z])(?:token|key|api[_-]?key|secret|password|passwd|passwort|clave|bearer|credential)(?![a-z])", around)
+        if re.search("[0-9]", core) and re.search("[A-Za-z]", core) and bits >= pii.ENTROPY and cue:
+            out.append(("secret", m.start(), m.end(), core))
+    return out
+
+
+def test_secrets(spark):
+    rng = random.Random(7)
+    hexa = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    base = lambda n: "".join(rng.choice("ABCdefGHIjkl0123456789+/") for _ in range(n))
+    texts = [f'token = "{hexa(40)}"', f"the api_key: {base(32)}==, and {base(24)}", f"commit {hexa(40)} of the tree", f"Secret {hexa(19)} ",
+             "key " + "a" * 30, "password abcdefghijklmnopqrstuvwxyz", "key 12345678901234567890", f"{hexa(30)} is the bearer", f"monkey {hexa(32)}",
+             f"é token {'x' * 55}  {hexa(40)}", "key " + "ab1" * 20_000]
+    parts = ["token", "key", "monkey", "x", hexa(25), base(30), hexa(40), "=", "-", " ", "\n", "é", "a" * 25, "1" * 25]
+    texts += [" ".join(rng.choice(parts) for _ in range(rng.randrange(1, 25))) for _ in range(300)]
+    got = found(spark, texts)
+    want = {i: brute_secrets(t) for i, t in enumerate(texts)}
+    assert {i: [(k, s, e, m) for k, s, e, m, _ in got[i] if k == "secret"] for i in got} == want
+    assert [bool(want[i]) for i in range(10)] == [True, True, False, False, False, False, False, True, False, False]
+
+
+def test_the_query_counts_all_spans(spark):
+    rows = queries.op2_pii(spark, SF01).collect()
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF01}/documents.parquet").collect()}
+    assert all(r.n_spans == len([x for x in r.spans.split(",") if x]) for r in rows)
+    planted = [r.n_spans for r in rows if re.search('token = "[0-9a-f]{40}"', texts[r.doc_id])]
+    assert planted and min(planted) >= 1
