@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -86,6 +87,21 @@ def row_key(id_col: Column, text: Column) -> tuple[Column, Column]:
     return F.xxhash64(text, F.lit(11)), F.xxhash64(F.lit(29), id_col, text)
 
 
+_SHARED: list[Broadcast] = []
+
+
+def share(df: DataFrame, value) -> Broadcast:
+    """``value`` broadcast, to be dropped from the executors by ``release``."""
+    _SHARED.append(df.sparkSession.sparkContext.broadcast(value))
+    return _SHARED[-1]
+
+
+def release() -> None:
+    """Drop what ``share`` broadcast so far from the executors. A frame that is still to run fetches its own again."""
+    while _SHARED:
+        _SHARED.pop().unpersist()
+
+
 def keep_lineage(df: DataFrame) -> DataFrame:
     """``checkpoint()`` into the shared folder, so that a lost executor never repeats the work above."""
     ensure_checkpoint_dir(df.sparkSession)
@@ -111,5 +127,17 @@ def running_sum(df: DataFrame, order: list[Column], value: str, name: str) -> Da
             .withColumn(name, F.col(before) + F.sum(value).over(upto)).drop(part, before))
 
 
+def latest_before(df: DataFrame, order: str, value: str, name: str) -> DataFrame:
+    """Add ``name``: the largest ``value`` of all rows ahead of this one in ``order``, which no two rows share (null: none)."""
+    part, most, before = fresh(df, "_part", "_most", "_before")
+    ranged = keep_lineage(df.repartitionByRange(_partitions(df), order).withColumn(part, F.spark_partition_id()))
+    totals = ranged.groupBy(part).agg(F.max(value).alias(most))
+    ahead = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(part, F.max(most).over(ahead).alias(before))
+    own = Window.partitionBy(part).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    # One row per partition of the frame
+    return ranged.join(F.broadcast(offsets), part).withColumn(name, F.greatest(before, F.max(value).over(own))).drop(part, before)
+
+
 def _partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

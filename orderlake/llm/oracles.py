@@ -92,10 +92,17 @@ WITH turns AS (
 placed AS (
   SELECT *, (row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, encode(role), encode(text)) - 1) AS place FROM turns),
 pieces AS (SELECT *, (place // 256)::BIGINT AS piece FROM placed),
+carried AS (
+  SELECT p.conv_id, p.piece, 'system' AS role, arg_max(s.text, s.place) AS text, p.piece * 256 - 0.5 AS place
+  FROM (SELECT DISTINCT conv_id, piece FROM pieces) p JOIN pieces s
+    ON p.conv_id IS NOT DISTINCT FROM s.conv_id AND s.role = 'system' AND s.place < p.piece * 256
+  GROUP BY p.conv_id, p.piece),
+shown AS (
+  SELECT conv_id, piece, role, text, place::DOUBLE AS place FROM pieces
+  UNION ALL SELECT conv_id, piece, role, text, place FROM carried),
 views AS (
-  SELECT p.*, v.role AS participant FROM pieces p
-  JOIN (SELECT DISTINCT conv_id, piece, role FROM pieces WHERE role <> 'system') v
-    ON p.conv_id IS NOT DISTINCT FROM v.conv_id AND p.piece = v.piece),
+  SELECT p.*, v.role AS participant FROM shown p
+  JOIN (SELECT DISTINCT conv_id, role FROM pieces WHERE role <> 'system') v ON p.conv_id IS NOT DISTINCT FROM v.conv_id),
 parts AS (
   SELECT *, CASE WHEN role = participant THEN '<|assistant|>' || chr(10) WHEN role = 'system' THEN '<|system|>' || chr(10)
                  ELSE '<|user name=' || replace(role, '<|', '< |') || '|>' || chr(10) END AS head,
@@ -103,7 +110,7 @@ parts AS (
 sized AS (
   SELECT *, coalesce(sum(length(head) + length(body) + 1) OVER (PARTITION BY conv_id, piece, participant ORDER BY place
                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT + length(head) AS start FROM parts)
-SELECT conv_id, piece, participant, count(*)::BIGINT AS n_turns, count(*) FILTER (role = participant)::BIGINT AS n_own,
+SELECT conv_id, piece, participant, count(*) FILTER (place = floor(place))::BIGINT AS n_turns, count(*) FILTER (role = participant)::BIGINT AS n_own,
        sum(length(head) + length(body) + 1)::BIGINT AS n_chars, sha256(string_agg(head || body || chr(10), '' ORDER BY place)) AS rendered_sha256,
        string_agg(start::VARCHAR || ':' || (start + length(body))::VARCHAR, ',' ORDER BY place) FILTER (role = participant) AS masks
 FROM sized GROUP BY conv_id, piece, participant

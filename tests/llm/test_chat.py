@@ -40,11 +40,30 @@ def test_long_conversations_come_in_pieces(spark):
     for r in got:
         if r.conv_id == 1:
             part = [(role, x) for _, role, x in order[r.piece * 16:r.piece * 16 + 16]]
+            assert r.participant in ("p0", "p1", "p2")
             assert (r.rendered, [(m.start, m.end) for m in r.masks]) == brute(part, r.participant) and r.n_turns == len(part)
     assert sum(r.n_own for r in got if r.conv_id == 1) == 100
     assert {(r.conv_id, r.n_turns) for r in got if r.conv_id != 1} == {(2, 1), (None, 1)}
 
 
+def test_a_silent_speaker_and_the_system_turn_in_force_reach_every_piece(spark):
+    """600 turns: early speaks only in the first ten, system turns stand at 0, 5 and 300, one piece has its own."""
+    roles = {0: "system", 5: "system", 300: "system"}
+    rows = [(1, k, roles.get(k, "early" if k in (1, 9) else f"p{k % 2}"), f"turn {k}", 0, 0) for k in range(600)]
+    rows += [(2, k, "late" if k else "x", f"other {k}", 0, 0) for k in range(300)]
+    got = {(r.conv_id, r.piece, r.participant): r for r in chat.rotate(frame(spark, rows).repartition(5)).collect()}
+    assert set(got) == {(1, p, w) for p in range(3) for w in ("early", "p0", "p1")} | {(2, p, w) for p in range(2) for w in ("late", "x")}
+    for (conv, piece, who), r in got.items():
+        own = [(role, x) for c, _, role, x, *_ in rows if c == conv]
+        part, ahead = own[piece * 256:piece * 256 + 256], [t for t in own[:piece * 256] if t[0] == "system"]
+        assert (r.rendered, [(m.start, m.end) for m in r.masks]) == brute(ahead[-1:] + part, who)
+        assert r.n_turns == len(part) and r.n_own == sum(t[0] == who for t in part)
+    con = duckdb.connect()
+    con.register("conversations", frame(spark, rows).select("conv_id", "turn", "role", "text").toPandas())
+    want = {(r[0], r[1], r[2]): r[3:] for r in con.execute(oracles.OP5).fetchall()}
+    assert {k: (r.n_turns, r.n_own, len(r.rendered)) for k, r in got.items()} == {k: v[:3] for k, v in want.items()}
+
+
 def test_query_matches_sql_and_empty_tables(spark):
     con = duckdb.connect()
     con.execute(f"create view conversations as select * from read_parquet('{SF}/conversations.parquet')")
