@@ -12,7 +12,8 @@ foreign lines in the training texts do not open a filter to another language.
 
 Learning takes at most about ``docs_per_lang`` labelled texts of each language, chosen by
 a hash of the id (the documented bound of the fit); prediction covers every text.
-The table of slots has a fixed size (``2**slot_bits`` masks), whatever was learned.
+The table of slots has ``2**slot_bits`` masks, or more: as many as keep the fullest language's filter below
+``FILL``. The sample bounds the n-grams and so the table.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0; a
 text none of whose n-grams is known gets the language with most training documents and score 0;
@@ -31,17 +32,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderlake.llm.frames import cleared
-from orderlake.llm.vectext import chunks, mix
+from orderlake.llm.frames import cleared, keep_lineage, share
+from orderlake.llm.vectext import TaskCache, chunks, mix
 
 N = 4
 SLOT_BITS = 20
 HASHES = 3
+#: Share of a filter's slots that its language's n-grams may set.
+FILL = 0.3
 DOCS_PER_LANG = 4000
 #: An n-gram belongs to a language if its rate there is at least this part of its highest rate.
 SHARE = 0.2
 #: Least times an n-gram is seen in a language's texts.
 MIN_COUNT = 2
+#: Most languages whose numbers are broadcast; beyond that the join shuffles.
+BROADCAST_LANGS = 10_000
 _SPACE = 32
 
 
@@ -56,14 +61,14 @@ class Model:
     slot_bits: int
 
 
-_LETTERS: list[np.ndarray] = []
+_LETTERS = TaskCache()
 
 
 def _letters(code: np.ndarray) -> np.ndarray:
     """Which code points are letters; a table for the planes with alphabets, and ideographs beyond it."""
     if not _LETTERS:
-        _LETTERS.append(np.fromiter((chr(c).isalpha() for c in range(0x20001)), bool, 0x20001))
-    return _LETTERS[0][np.minimum(code, 0x20000)] & (code < 0xE0000)
+        _LETTERS["table"] = np.fromiter((chr(c).isalpha() for c in range(0x20001)), bool, 0x20001)
+    return _LETTERS["table"][np.minimum(code, 0x20000)] & (code < 0xE0000)
 
 
 def grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -109,15 +114,20 @@ def learn(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang:
     words = max(1, -(-len(langs) // 64))
     if not langs:
         return Model([], np.zeros((words, 1 << slot_bits), np.uint8), np.zeros(0), 0, slot_bits)
-    number = F.create_map(*[x for i, v in enumerate(langs) for x in (F.lit(v), F.lit(i))])
-    part = F.create_map(*[x for v in langs for x in (F.lit(v), F.lit(min(1.0, docs_per_lang / counts[v])))])
+    # a row for each language, of which the model holds a bit each
+    numbered = docs.sparkSession.createDataFrame([(v, i, min(1.0, docs_per_lang / counts[v])) for i, v in enumerate(langs)], "known string, l int, part double")
     draw = F.pmod(F.xxhash64(F.lit(5), "id"), F.lit(1 << 30)) / float(1 << 30)
-    sample = rows.where(draw < part[F.col("lang")]).select(number[F.col("lang")].alias("l"), "text")
+    numbered = F.broadcast(numbered) if len(langs) <= BROADCAST_LANGS else numbered
+    sample = rows.join(numbered, F.col("lang") == F.col("known")).where(draw < F.col("part")).select("l", "text")
     seen = sample.mapInArrow(_count_grams, "l int, g long, n long").groupBy("l", "g").agg(F.sum("n").alias("n"))
     total = seen.groupBy("l").agg(F.sum("n").alias("total"))
     rate = seen.where(F.col("n") >= MIN_COUNT).join(F.broadcast(total), "l").withColumn("rate", F.col("n") / F.col("total"))
     best = rate.groupBy("g").agg(F.max("rate").alias("best"), F.collect_list(F.struct("l", "rate")).alias("in"))  # a row per language
     member = best.select("g", F.explode(F.filter("in", lambda x: x["rate"] >= SHARE * F.col("best"))).alias("x")).select("g", "x.l")
+    member = keep_lineage(member)
+    most = member.groupBy("l").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()["n"] or 1
+    # a filter of s slots with n n-grams has 1 - exp(-HASHES n / s) of them set
+    slot_bits = max(slot_bits, int(np.ceil(np.log2(HASHES * most / -np.log1p(-FILL)))))
     filled = member.mapInArrow(_fill(slot_bits), "s int, w int, m long").groupBy("s", "w").agg(F.bit_or("m").alias("m"))
     # at most 2**slot_bits rows for each 64 languages
     table = filled.toArrow()
@@ -180,13 +190,13 @@ def predict(docs: DataFrame, model: Model, *, text: str = "text", keep: list[str
     docs = cleared(docs, "lang_pred", "score")
     keep = docs.columns if keep is None else keep
     kept, at = [docs.columns.index(c) for c in keep], docs.columns.index(text)
-    shared = docs.sparkSession.sparkContext.broadcast(asdict(model))
+    shared = share(docs, asdict(model))
 
     def run(batches):
         own = Model(**shared.value)
         for batch in batches:
             column, langs, scores = batch.column(at), [], []
-            for lo, hi, _, _ in chunks(column, 1 << 20):
+            for lo, hi, _, _ in chunks(column, 1 << 18):
                 found, score = decide(column[lo:hi].to_pylist(), own)
                 langs += found
                 scores.append(score)

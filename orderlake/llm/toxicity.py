@@ -8,11 +8,12 @@ Features of a text: how often each known word, 4-byte and 5-byte word beginning
 labelled sample that mark toxic texts beyond chance: they stand in more distinct contexts (word before and
 word after, so copies of one text count once) for each byte of toxic text than of other text.
 
-Labels say toxic or not. Grade 0 is not toxic; toxic texts are graded 1 to 3 by the
-thirds of their share of marked words, so severity means how much of a text is abuse.
+Labels say toxic or not. Grade 0 is not toxic; toxic texts are graded 1 to 3 by the thirds of a cross-fitted share of
+marked words: the marks that grade one half of the sample are learned on the other half, so severity means how much of a
+text is abuse by marks that it did not help to choose, and no grade is a function of the model's own inputs.
 
 The fit takes at most about ``max_per_class`` labelled texts of each class (the documented bound, by a hash
-of the id), so what reaches the driver has a fixed largest size; scoring covers every whole text.
+of the id), and of the features that pass the tests the ``max_features`` with the largest z (the bound of the model's size), so what reaches the driver has a fixed largest size; scoring covers every whole text.
 
 Defined results: null and wordless texts have no feature and get the severity of an unmarked text; labels
 without a value, or of unknown ids, count for nothing; if an id has several labels the largest holds; with labels of one class
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlake.llm import vectext
-from orderlake.llm.frames import keep_lineage, cleared
+from orderlake.llm.frames import cleared, keep_lineage, share
 
 MAX_PER_CLASS = 3000
 MAX_FEATURES = 4096
@@ -61,7 +62,7 @@ def _features(column: pa.Array):
 
 
 def _sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, most: int) -> tuple[DataFrame, dict]:
-    """(text, toxic) of at most about ``most`` labelled texts of each class, and the number of labels of each."""
+    """(text, toxic, half) of at most about ``most`` labelled texts of each class, and the number of labels of each."""
     known = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("labelled_id")) \
                   .agg((F.max(label) > 0).alias("toxic"))
     counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
@@ -71,10 +72,11 @@ def _sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: s
     chosen = F.broadcast(known.where(draw < share))  # about 2 * most ids
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(chosen, F.col("id") == F.col("labelled_id"))
     # one text for each id, also where ids repeat
-    return keep_lineage(rows.groupBy("id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic")).select("text", "toxic")), counts
+    each = rows.groupBy("id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic"))
+    return keep_lineage(each.select("text", "toxic", F.pmod(F.xxhash64(F.lit(SEED + 1), "id"), F.lit(2)).cast("int").alias("half"))), counts
 
 
-def _known_features(sample: DataFrame) -> np.ndarray:
+def _known_features(sample: DataFrame, most: int) -> np.ndarray:
     """Sorted hashes of the features that mark toxic texts."""
     def presence(batches):
         for batch in batches:
@@ -96,7 +98,7 @@ def _known_features(sample: DataFrame) -> np.ndarray:
     # contexts for each byte of text: toxic texts may well be longer than others
     ratio = F.log((F.col("a") + 0.5) / float(size[True])) - F.log((F.col("b") + 0.5) / float(size[False]))
     z = ratio / F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("b") + 0.5))
-    best = seen.withColumn("z", z).where((F.col("z") >= LEAST_Z) & (ratio >= LEAST_LOG_RATIO)).orderBy(F.desc("z"), "f").limit(MAX_FEATURES)
+    best = seen.withColumn("z", z).where((F.col("z") >= LEAST_Z) & (ratio >= LEAST_LOG_RATIO)).orderBy(F.desc("z"), "f").limit(most)
     return np.sort(np.array([r["f"] for r in best.select("f").collect()], np.int64).view(np.uint64))
 
 
@@ -117,39 +119,44 @@ def _counted(column: pa.Array, known: np.ndarray):
 
 
 def learn(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
-          max_per_class: int = MAX_PER_CLASS) -> dict:
+          max_per_class: int = MAX_PER_CLASS, max_features: int = MAX_FEATURES) -> dict:
     """Model as plain data: ``known`` feature hashes, their ``weights`` (those of number and share of marked words last) and ``thresholds``."""
     sample, labelled = _sample(docs, labels, doc_id, text, label, max_per_class)
-    known = _known_features(sample)
+    known = _known_features(sample, max_features)
     if not len(known):
         return {"known": known, "weights": np.zeros(2), "thresholds": np.full(GRADES, np.inf)}
-    shared = docs.sparkSession.sparkContext.broadcast(known)
+    halves = [_known_features(sample.where(F.col("half") == k), max_features) for k in (1, 0)]  # each half is graded by the other's marks
+    shared = share(docs, (known, *halves))
 
     def design(batches):
         for batch in batches:
             at = 0
-            for rows, row, feature, count, (marked, share) in _counted(batch.column(0), shared.value):
+            known, *marks = shared.value
+            others = [np.concatenate([np.zeros(0), *(x[4][1] for x in _counted(batch.column(0), m))]) for m in marks]
+            graded = np.where(np.asarray(batch.column(2)) == 0, *others)
+            for rows, row, feature, count, (marked, share) in _counted(batch.column(0), known):
                 cuts = np.searchsorted(row, np.arange(rows + 1))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(1)[at:at + rows], pa.array(marked), pa.array(share),
+                    [batch.column(1)[at:at + rows], pa.array(graded[at:at + rows]), pa.array(marked), pa.array(share),
                      pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(feature.astype(np.int32))),
                      pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(np.log1p(count)))],
-                    names=["toxic", "marked", "share", "features", "values"])
+                    names=["toxic", "graded", "marked", "share", "features", "values"])
                 at += rows
 
     # as many rows as the sample's bound, each with known features only
-    table = sample.mapInArrow(design, "toxic boolean, marked double, share double, features array<int>, values array<double>").toArrow().combine_chunks()
+    table = sample.mapInArrow(design, "toxic boolean, graded double, marked double, share double, features array<int>, values array<double>").toArrow().combine_chunks()
     toxic = table["toxic"].to_numpy().astype(bool)
-    share = table["share"].to_numpy()
+    part = table["share"].to_numpy()
     lists = table["features"].combine_chunks()
     sizes = np.diff(np.asarray(lists.offsets))
     entries = (np.repeat(np.arange(len(toxic)), sizes), np.asarray(lists.flatten()).astype(np.int64),
                np.asarray(table["values"].combine_chunks().flatten()))
-    cut = np.quantile(share[toxic], [k / GRADES for k in range(1, GRADES)])
-    grade = np.where(toxic, 1 + np.searchsorted(cut, share, "left"), 0)
+    graded = table["graded"].to_numpy()
+    cut = np.quantile(graded[toxic], [k / GRADES for k in range(1, GRADES)])
+    grade = np.where(toxic, 1 + np.searchsorted(cut, graded, "left"), 0)
     # the sample holds as many texts of each class; the labels need not
     weigh = np.where(toxic, labelled[True] / max(1, toxic.sum()), labelled[False] / max(1, (~toxic).sum()))
-    weights, thresholds = fit(entries, np.log1p(np.stack([table["marked"].to_numpy(), share])), grade, len(known), weigh / weigh.mean())
+    weights, thresholds = fit(entries, np.log1p(np.stack([table["marked"].to_numpy(), part])), grade, len(known), weigh / weigh.mean())
     return {"known": known, "weights": weights, "thresholds": thresholds}
 
 
@@ -194,7 +201,7 @@ def score(docs: DataFrame, model: dict, *, text: str = "text", keep: list[str] |
     docs = cleared(docs, *added)
     keep = docs.columns if keep is None else keep
     kept, at = [docs.columns.index(c) for c in keep], docs.columns.index(text)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = share(docs, model)
 
     def run(batches):
         known, w, t = (shared.value[k] for k in ("known", "weights", "thresholds"))
