@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlake.llm.frames import keep_lineage
+from orderlake.llm.frames import keep_lineage, share
 from orderlake.llm.vectext import byte_class, chunks
 
 UNIT = 1_000_000_000
@@ -119,7 +119,7 @@ def term_counts(docs: DataFrame, *, text: str = "text", lang: str = "lang", sour
     return partial.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
-def share(count: np.ndarray, total: np.ndarray | int, kept: int) -> np.ndarray:
+def proportion(count: np.ndarray, total: np.ndarray | int, kept: int) -> np.ndarray:
     """``1 + floor(UNIT (count + 1) / (total + kept))``, a thousandth at a time so that nothing overflows."""
     whole = np.asarray(total + kept, np.int64)
     rest = count.astype(np.int64) + 1
@@ -141,8 +141,8 @@ def _block(lang: str, sources: dict[str, int], totals: np.ndarray, kept: int, te
     names = list(sources)
     table = np.zeros((len(terms), len(names)), np.int64)
     table[rows, columns] = counts
-    p = share(table, totals[None, :], kept)
-    q = share(table.sum(axis=1), int(totals.sum()), kept)
+    p = proportion(table, totals[None, :], kept)
+    q = proportion(table.sum(axis=1), int(totals.sum()), kept)
     out: list[tuple] = []
     for k, name in enumerate(names):
         sums = _differ(p[:, k:k + 1], p).sum(axis=0)
@@ -214,7 +214,7 @@ def audit(docs: DataFrame, *, text: str = "text", lang: str = "lang", source: st
             sources, totals, _ = known.setdefault(r["lang"], ({}, [], r["kept"]))
             sources[r["source"]] = len(sources)
             totals.append(r["total"])
-        shared = docs.sparkSession.sparkContext.broadcast(known)
+        shared = share(docs, known)
 
         def run(batches):
             return _shards(batches, shared.value, top)
@@ -228,7 +228,9 @@ def audit(docs: DataFrame, *, text: str = "text", lang: str = "lang", source: st
              .join(partial.where("part = 'pair'").groupBy("lang", "source", "item").agg(F.sum("value").alias("value")),
                    ["lang", "source", "item"], "left")
              .select("lang", "source", F.lit("pair").alias("part"), "item", F.coalesce("value", F.lit(0)).alias("value")))
-    best = partial.where("part = 'term'")
+    # first the best of parts of a group's terms, so that no task gets what all shards offer for one group
+    some = Window.partitionBy("lang", "source", F.pmod(F.xxhash64("item"), F.lit(32))).orderBy(F.desc("value"), "item")
+    best = partial.where("part = 'term'").withColumn("place", F.row_number().over(some)).where(F.col("place") <= top).drop("place")
     by_rank = Window.partitionBy("lang", "source", "part").orderBy(F.desc("value"), "item")
     return (pairs.unionByName(best).withColumn("rank", F.row_number().over(by_rank))
             .where((F.col("part") == "pair") | (F.col("rank") <= top)))

@@ -78,7 +78,7 @@ def test_shares_are_exact_at_large_counts():
     import numpy as np
 
     for count, total, kept in [(10**14, 3 * 10**14, 10**9), (0, 0, 1), (9 * 10**14, 9 * 10**14, 7), (12345, 10**10, 10**8)]:
-        assert divergence.share(np.array([count]), total, kept)[0] == 1 + 10**9 * (count + 1) // (total + kept)
+        assert divergence.proportion(np.array([count]), total, kept)[0] == 1 + 10**9 * (count + 1) // (total + kept)
 
 
 def test_awkward_rows(spark, awkward, nothing):
