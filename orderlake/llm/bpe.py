@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderlake.llm.frames import cleared
+from orderlake.llm.frames import cleared, share
 
 #: Code points of a text worked on at a time (up to the next blank).
 PIECE = 1 << 20
@@ -308,7 +308,7 @@ def encode(docs: DataFrame, tables: dict, *, text: str = "text", out: str = "tok
     """``docs`` plus the packed ids of ``text``."""
     docs = cleared(docs, out)
     at, kept = docs.columns.index(text), [k for k, c in enumerate(docs.columns) if not (drop_text and c == text)]
-    task = _InTask(docs.sparkSession.sparkContext.broadcast(tables))
+    task = _InTask(share(docs, tables))
 
     def run(batches):
         for batch in batches:
@@ -323,7 +323,7 @@ def decode(docs: DataFrame, tables: dict, *, ids: str = "token_ids", out: str =
     """``docs`` plus the text of the packed ids (null: empty)."""
     docs = cleared(docs, out)
     at = docs.columns.index(ids)
-    shared = docs.sparkSession.sparkContext.broadcast({k: tables[k] for k in ("text", "offsets")})
+    shared = share(docs, {k: tables[k] for k in ("text", "offsets")})
 
     def run(batches):
         for batch in batches:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlake.llm import vectext
-from orderlake.llm.frames import fresh, keep_lineage, cleared, row_key
+from orderlake.llm.frames import cleared, fresh, keep_lineage, row_key, share
 
 #: Words are runs of digits, a-z and everything beyond ASCII, after A-Z were lower-cased.
 _DELIMITERS = bytes([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
@@ -153,15 +153,14 @@ def scan(docs: DataFrame, bench: DataFrame, *, text: str = "text", item_id: str
     added = ("n_words", "n_hit", "hit_spans", "hit_items")
     docs = cleared(docs, *added)
     blocks = _blocks(bench, item_id, item_text, block_words)
-    shared = docs.sparkSession.sparkContext.broadcast
     if len(blocks) == 1:
-        return _one_pass(docs, text, shared(_windows_of(blocks[0], n)), drop_text)
+        return _one_pass(docs, text, share(docs, _windows_of(blocks[0], n)), drop_text)
     h1, h2 = fresh(docs, "_h1", "_h2")
     keyed = docs.withColumns(dict(zip((h1, h2), row_key(F.lit(0), F.col(text)))))
     found = _found(keyed.select(F.col(h1).alias("h1"), F.col(h2).alias("h2"), F.col(text).alias("text")), blocks, n, drop_text=True)
     # equal texts have equal hits
     hits = _united(found, "h1", "h2").withColumnsRenamed({"h1": h1, "h2": h2})
-    counted = _one_pass(keyed, text, shared(NOTHING), drop_text).drop("n_hit", "hit_spans", "hit_items")
+    counted = _one_pass(keyed, text, share(docs, NOTHING), drop_text).drop("n_hit", "hit_spans", "hit_items")
     return counted.join(hits, [h1, h2], "left").select(
         *(c for c in docs.columns if not (drop_text and c == text)), "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
         F.coalesce("hit_spans", F.array().cast(_SPAN)).alias("hit_spans"),
@@ -264,7 +263,7 @@ def _cut(found: DataFrame, drop_share: float) -> DataFrame:
 
 
 def _clean_pass(docs: DataFrame, text: str, windows: dict, drop_share: float) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(windows)
+    shared = share(docs, windows)
     at = docs.columns.index(text)
 
     def cut(original: str | None, body, starts, ends, spans, words):

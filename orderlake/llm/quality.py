@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlake.llm import vectext
-from orderlake.llm.frames import fresh, keep_lineage, cleared, running_sum
+from orderlake.llm.frames import cleared, fresh, keep_lineage, running_sum, share
 
 BUCKET_BITS = 14
 MAX_LABELLED = 50_000
@@ -98,7 +98,7 @@ def score(docs: DataFrame, ratio: np.ndarray, *, text: str = "text", keep: list[
     docs = cleared(docs, "n_grams", "log_ratio")
     keep = docs.columns if keep is None else keep
     kept, at = [docs.columns.index(c) for c in keep], docs.columns.index(text)
-    shared, bits = docs.sparkSession.sparkContext.broadcast(ratio), int(len(ratio)).bit_length() - 1
+    shared, bits = share(docs, ratio), int(len(ratio)).bit_length() - 1
 
     def run(batches):
         for batch in batches:

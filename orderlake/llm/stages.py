@@ -1,5 +1,6 @@
 """Stages of the corpus pipeline: each takes (spark, docs, sf_dir) and calls one operator.
 
+What the stage before broadcast is dropped first: its result is written by then.
 All but the last return exactly the columns they were given, n_chars renewed where a stage edits texts.
 Columns beyond those of ``documents`` may have any name: a stage sets them aside and puts them back.
 """
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake.llm import decontam, langid, linededup, mixing, simhash
-from orderlake.llm.frames import shield, word_count
+from orderlake.llm.frames import release, shield, word_count
 
 USED = ("doc_id", "text", "lang", "source", "n_chars")
 #: Least share of a text's n-grams that its language must hold.
@@ -27,6 +28,7 @@ def _measured(docs: DataFrame) -> DataFrame:
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, and those whose text fits no learned language, go. Learns from all labelled rows."""
+    release()
     plain, restore = shield(docs, *USED)
     found = langid.predict(plain, langid.learn(plain))
     return restore(found.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_SCORE)))
@@ -34,6 +36,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines seen on several sites go from all documents but the first; a document they made up altogether goes too."""
+    release()
     plain, restore = shield(docs, *USED)
     done = linededup.dedup_lines(plain)
     return restore(_measured(done).where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")))
@@ -41,12 +44,14 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked fingerprints stays: that of the smallest doc_id."""
+    release()
     plain, restore = shield(docs, *USED)
     return restore(simhash.keep_one(plain))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark passages are cut out; a document that is half benchmark or more goes."""
+    release()
     plain, restore = shield(docs, *USED)
     return restore(_measured(decontam.clean(plain, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))))
 
@@ -54,5 +59,6 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, with how often (copies), their words (size), the words taken and
     their source's size and target. These replace columns of the same names."""
+    release()
     sized = docs.drop("size").withColumn("size", word_count(F.col("text")))
     return mixing.mix(sized, size="size", text="text").where("copies > 0")

@@ -1,7 +1,7 @@
 """Word tables of Arrow text columns with numpy: no Python object per word.
 
-Texts are handled as the UTF-8 bytes Arrow holds. A chunk is a run of rows of a
-few MB; word starts, ends and 64-bit hashes of all its rows come from a few
+Texts are handled as the UTF-8 bytes Arrow holds. A chunk is a run of rows of
+half a MB; word starts, ends and 64-bit hashes of all its rows come from a few
 array passes. Texts larger than a segment are cut only between words, so memory
 stays bounded by the segment and by 24 bytes a word.
 """
@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 SEGMENT_BYTES = 1 << 19
 
 _P = 0x9E3779B97F4A7C15  # odd, so invertible modulo 2**64
@@ -44,7 +44,15 @@ def chunks(column: pa.Array, most: int = CHUNK_BYTES) -> Iterator[tuple[int, int
         lo = hi
 
 
-_TABLES: dict[int, np.ndarray] = {}
+class TaskCache(dict):
+    """What a task keeps for its next batches. It is empty again wherever it is sent, so what the driver worked
+    out does not travel with every task."""
+
+    def __reduce__(self):
+        return TaskCache, ()
+
+
+_TABLES = TaskCache()
 
 
 def _powers(base: int, n: int) -> np.ndarray:

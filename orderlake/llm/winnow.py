@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlake.llm.frames import cleared
-from orderlake.llm.vectext import mix
+from orderlake.llm.vectext import TaskCache, mix
 
 K = 12
 W = 32
@@ -39,7 +39,7 @@ _P = 0x9E3779B97F4A7C15
 _P_INV = pow(_P, -1, 1 << 64)
 _ENTRY = np.dtype([("pos", ">u4"), ("hash", "u1", 5)])
 _PLACE = np.uint64((1 << 20) - 1)
-_TABLES: dict[int, np.ndarray] = {}
+_TABLES = TaskCache()
 
 
 def _powers(base: int, n: int) -> np.ndarray:

@@ -60,3 +60,26 @@ def test_each_stage_does_its_part_on_a_whole_table(spark, tmp_path):
 def test_stages_call_the_operators():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language", "lines", "near_duplicates", "decontamination", "mixing"]
     assert corpus_pipeline.ORACLE_SQL is None and decontam.WINDOW == 10 and len(prose(1, 3).split()) == 3
+
+
+def test_closures_carry_no_tables(spark):
+    """What the driver has worked out stays there: a function sent to tasks is small all the same."""
+    from pyspark import cloudpickle
+
+    from orderlake.llm import quality, toxicity, vectext, winnow
+
+    decontam.window_set([("a", "one two three four five six seven eight nine ten eleven")], 10)
+    langid.grams(["some text"])
+    winnow.winnow("some text that is long enough")
+    for f in (lambda b: vectext.words(*b), lambda b: langid.decide(b, None), lambda b: winnow.winnow(b), lambda b: list(quality._buckets(b, 4)),
+              lambda b: list(toxicity._features(b)), lambda b: list(decontam._scan_texts(b, None))):
+        assert len(cloudpickle.dumps(f)) < 200_000
+
+
+def test_release_drops_what_was_shared_and_frames_still_run(spark, awkward):
+    from orderlake.llm import frames
+
+    found = langid.predict(awkward, langid.learn(awkward))
+    assert frames._SHARED
+    frames.release()
+    assert not frames._SHARED and found.count() == awkward.count()
