@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from orderlake.llm import stages
-from orderlake.session import scratch_path
+from orderlake.session import discard, stored
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("language", stages.language),
@@ -22,9 +22,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stage's files are deleted once the next stage's are written; those of the last one stay."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        path = scratch_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        before, docs = docs, stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        discard(before)
     return docs
