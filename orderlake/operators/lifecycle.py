@@ -9,16 +9,17 @@ this event" or "the first / last accepted Y before this event". Those scans
 are associative, so they run in two levels (``scan_before``): inside
 (order, block-range chunk) partitions, plus a carry-in from a scan over
 one-row chunk summaries. A hot order spreads over many chunks and tasks;
-the final state is a plain aggregation per order.
+the final state is a plain aggregation per order. The scans carry ledger positions only: an
+order's metadata and details are joined once, at the end, by the position of the command that supplied them.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlake.functions import sha256_hex
+from orderlake.session import stored
 
 # Fixed values of the contract: function names, organisations, collections.
 CREATE = "CreateOrder"
@@ -59,7 +60,7 @@ ORG2_DETAILS = "Org2MSPOrderDetailsCollection"
 SHARED_DETAILS = "Org1Org2OrderDetailsShared"
 
 
-def scan_before(df: DataFrame, key: str, chunk, order: list[str], specs, persist: bool = True) -> DataFrame:
+def scan_before(df: DataFrame, key: str, chunk, order: list[str], specs) -> DataFrame:
     """Running aggregates over the strictly earlier rows of the same ``key``, in ``order``.
 
     ``specs``: (name, kind, value, cond) with kind ``any`` (was ``cond`` true
@@ -86,11 +87,9 @@ def scan_before(df: DataFrame, key: str, chunk, order: list[str], specs, persist
             win = F.last if kind == "last" else F.first
             local = local.withColumn(f"_l_{name}", win(tagged, ignorenulls=True).over(w)["v"])
             summ.append(agg(tagged).alias(f"_s_{name}"))
-    # The windowed frame feeds both the chunk summaries and the final join: keep it
-    # (memory, spilling to disk) so upstream passes are computed once. It is
-    # already partitioned by (key, chunk), so the summary needs no exchange.
-    if persist:
-        local = local.persist(StorageLevel.MEMORY_AND_DISK)
+    # The windowed frame feeds both the chunk summaries and the final join: it is stored, so upstream
+    # passes are computed once and nothing stays in the executors' memory.
+    local = stored(local, "scan")
     summary = local.groupBy(key, "_chunk").agg(*summ)
     wc = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carry_cols = []
@@ -114,17 +113,19 @@ def scan_before(df: DataFrame, key: str, chunk, order: list[str], specs, persist
     return out.drop("_chunk")
 
 
-def replay(events: DataFrame, chunk_blocks: int = 1024, with_state: bool = False,
-           persist: bool = True) -> DataFrame:
-    """C1 + C2 per event: ``accepted`` and the rejection ``reason`` (null when accepted).
+def _here() -> Column:
+    """The position of this command, by which its order and details are found again."""
+    return F.struct("block", "tx")
+
+
+def replay(events: DataFrame, chunk_blocks: int = 1024, with_state: bool = False) -> DataFrame:
+    """C1 + C2 per event (orderId, block, tx, function, org): ``accepted`` and the rejection ``reason`` (null when accepted).
 
     With ``with_state`` the state after each event is added: ``exists``,
     ``customerIdHash``, ``meta``, ``status``, ``approved``, ``detail``.
 
     Histories are cut into chunks of ``chunk_blocks`` blocks; a ledger block
     holds a bounded number of transactions, so a chunk is bounded too.
-    ``persist`` keeps each pass's windowed frame (memory and disk) because it
-    is read twice; otherwise Spark recomputes the earlier passes.
     """
     key, order = "orderId", ["block", "tx"]
     chunk = F.floor(F.col("block") / F.lit(chunk_blocks))
@@ -134,20 +135,16 @@ def replay(events: DataFrame, chunk_blocks: int = 1024, with_state: bool = False
                .when(fn == VERIFY, org == ORG1)
                .when(fn == PUBLISH, org.isin(ORG1, ORG2))
                .otherwise(F.lit(False)))
-    full_input = F.col("customerId").isNotNull() & F.col("order").isNotNull() & F.col("orderDetails").isNotNull()
-    detail_of_event = F.struct(F.col("orderId").alias("orderId"), F.col("orderDetails.items").alias("items"),
-                               F.col("orderDetails.total").alias("total"))
-    detail_type = events.select(detail_of_event.alias("d")).schema["d"].dataType
-    no_detail = F.lit(None).cast(detail_type)
-    created = F.struct(sha256_hex("customerId").alias("hash"), detail_of_event.alias("detail"),
-                       F.col("order").alias("meta"), F.col("block").alias("block"))
+    created = F.struct(F.col("_hash").alias("hash"), _here().alias("at"), F.col("block").alias("block"))
+    nowhere = F.lit(None).cast(events.select(_here().alias("at")).schema["at"].dataType)
 
     def held(written: str, collection: str):
         """Whether a private row written in that block is still kept at this event."""
         return F.coalesce(F.col("block") - F.col(written) <= COLLECTION_TTL[collection], F.lit(False))
 
-    e = (events.withColumn("_org_ok", F.coalesce(org_ok, F.lit(False)))
-               .withColumn("_valid_cl", F.coalesce((is_create | is_caa) & org_ok & full_input, F.lit(False))))
+    e = events.select("orderId", "block", "tx", "function", "org", sha256_hex("customerId").alias("_hash"), _complete().alias("_full"))
+    e = (e.withColumn("_org_ok", F.coalesce(org_ok, F.lit(False)))
+          .withColumn("_valid_cl", F.coalesce((is_create | is_caa) & org_ok & F.col("_full"), F.lit(False))))
 
     # Pass 1: a create is accepted only when no valid create-like event came before;
     # create-and-approve always overwrites. The last accepted create-like before an
@@ -156,26 +153,26 @@ def replay(events: DataFrame, chunk_blocks: int = 1024, with_state: bool = False
         ("_exists_before", "any", None, F.col("_valid_cl")),
         ("_last_caa", "last", created, F.col("_valid_cl") & is_caa),
         ("_first_cl", "first", created, F.col("_valid_cl")),
-    ], persist)
+    ])
     e = (e.withColumn("_acc_cl", F.col("_valid_cl") & (is_caa | ~F.col("_exists_before")))
           .withColumn("_cur", F.coalesce("_last_caa", "_first_cl"))
           .drop("_last_caa", "_first_cl"))
 
     # Pass 2: verify and share (row-local given pass 1).
-    claim_ok = F.coalesce(sha256_hex("customerId") == F.col("_cur.hash"), F.lit(False))
+    claim_ok = F.coalesce(F.col("_hash") == F.col("_cur.hash"), F.lit(False))
     e = (e.withColumn("_acc_verify", (fn == VERIFY) & F.col("_org_ok") & F.col("_exists_before") &
-                      F.col("customerId").isNotNull() & claim_ok)
+                      F.col("_hash").isNotNull() & claim_ok)
           .withColumn("_acc_share", (fn == SHARE) & F.col("_org_ok") & held("_cur.block", ORG2_DETAILS)))
 
     # Pass 3: approval and shared details before each event; publish.
     approval_event = F.when(F.col("_acc_cl") & is_create, F.lit(False)) \
                       .when((F.col("_acc_cl") & is_caa) | F.col("_acc_verify"), F.lit(True))
-    shared_event = F.when(F.col("_acc_cl") & is_caa, F.struct(detail_of_event.alias("detail"), F.col("block"))) \
-                    .when(F.col("_acc_share"), F.struct(F.col("_cur.detail").alias("detail"), F.col("block")))
+    shared_event = F.when(F.col("_acc_cl") & is_caa, F.struct(_here().alias("at"), F.col("block"))) \
+                    .when(F.col("_acc_share"), F.struct(F.col("_cur.at").alias("at"), F.col("block")))
     e = scan_before(e, key, chunk, order, [
         ("_approval_before", "last", approval_event, approval_event.isNotNull()),
         ("_shared_before", "last", shared_event, shared_event.isNotNull()),
-    ], persist)
+    ])
     e = e.withColumn("_approved_before", F.coalesce("_approval_before", F.lit(False)))
     e = e.withColumn("_acc_publish", (fn == PUBLISH) & F.col("_org_ok") & F.col("_exists_before") &
                      F.col("_approved_before") & held("_shared_before.block", SHARED_DETAILS))
@@ -189,7 +186,7 @@ def replay(events: DataFrame, chunk_blocks: int = 1024, with_state: bool = False
         .when(is_create, MSG["missing_transient"])
         .when((fn == VERIFY) & ~F.col("_org_ok"), MSG["verify_org"])
         .when((fn == VERIFY) & ~F.col("_exists_before"), MSG["verify_not_found"])
-        .when((fn == VERIFY) & F.col("customerId").isNull(), MSG["verify_missing"])
+        .when((fn == VERIFY) & F.col("_hash").isNull(), MSG["verify_missing"])
         .when(fn == VERIFY, MSG["verify_mismatch"])
         .when((fn == SHARE) & ~F.col("_org_ok"), MSG["share_org"])
         .when(fn == SHARE, MSG["share_not_found"])
@@ -207,36 +204,51 @@ def replay(events: DataFrame, chunk_blocks: int = 1024, with_state: bool = False
                       .when((F.col("_acc_cl") & is_caa) | F.col("_acc_verify"), F.lit("APPROVED")))
           .withColumn("_approval_event", approval_event)
           .withColumn("_detail_event",
-                      F.when(F.col("_acc_cl") & is_create, F.struct(F.lit(0).alias("k"), no_detail.alias("d")))
-                       .when(F.col("_acc_cl") & is_caa, F.struct(F.lit(1).alias("k"), detail_of_event.alias("d")))
-                       .when(F.col("_acc_verify"), F.struct(F.lit(0).alias("k"), no_detail.alias("d")))
-                       .when(F.col("_acc_publish"), F.struct(F.lit(1).alias("k"), F.col("_shared_before.detail").alias("d")))))
+                      F.when(F.col("_acc_cl") & is_create, F.struct(F.lit(0).alias("k"), nowhere.alias("at")))
+                       .when(F.col("_acc_cl") & is_caa, F.struct(F.lit(1).alias("k"), _here().alias("at")))
+                       .when(F.col("_acc_verify"), F.struct(F.lit(0).alias("k"), nowhere.alias("at")))
+                       .when(F.col("_acc_publish"), F.struct(F.lit(1).alias("k"), F.col("_shared_before.at").alias("at")))))
     if with_state:
         e = scan_before(e, key, chunk, order, [
             ("_created_before", "last", F.col("_created"), F.col("_created").isNotNull()),
             ("_status_before", "last", F.col("_status_event"), F.col("_status_event").isNotNull()),
             ("_detail_before", "last", F.col("_detail_event"), F.col("_detail_event").isNotNull()),
-        ], persist)
+        ])
         cur = F.coalesce("_created", "_created_before")
         e = (e.withColumn("exists", F.col("_exists_before") | F.col("_acc_cl"))
               .withColumn("customerIdHash", cur["hash"])
-              .withColumn("meta", cur["meta"])
+              .withColumn("_made_at", cur["at"])
               .withColumn("status", F.coalesce("_status_event", "_status_before"))
               .withColumn("approved", F.coalesce("_approval_event", "_approved_before"))
-              .withColumn("detail", F.coalesce("_detail_event", "_detail_before")["d"]))
+              .withColumn("_detail_at", F.coalesce("_detail_event", "_detail_before")["at"]))
+        e = supplied(supplied(e, events, "_made_at", "meta"), events, "_detail_at", "detail")
     return e.drop(*[c for c in e.columns if c.startswith("_") and c not in _STATE_INPUTS])
 
 
+def _complete() -> Column:
+    return F.col("customerId").isNotNull() & F.col("order").isNotNull() & F.col("orderDetails").isNotNull()
+
+
+def supplied(rows: DataFrame, events: DataFrame, at: str, name: str) -> DataFrame:
+    """``rows`` plus ``name``: the metadata or the details that the command at position ``at`` of the same order supplied."""
+    what = F.col("order") if name == "meta" else F.struct(
+        F.col("orderId").alias("orderId"), F.col("orderDetails.items").alias("items"), F.col("orderDetails.total").alias("total"))
+    supply = events.where(F.col("function").isin(CREATE, CREATE_APPROVE) & _complete()).select(
+        F.col("orderId").alias("_order"), F.col("block").alias("_block"), F.col("tx").alias("_tx"), what.alias(name))
+    same = (F.col("orderId") == F.col("_order")) & (F.col(f"{at}.block") == F.col("_block")) & (F.col(f"{at}.tx") == F.col("_tx"))
+    return rows.join(supply, same, "left").drop("_order", "_block", "_tx")
+
+
 # Per-event columns that ``final_state`` folds (kept by ``replay``).
 _STATE_INPUTS = ("_acc_cl", "_created", "_status_event", "_approval_event", "_detail_event")
 
 
-def final_state(replayed: DataFrame) -> DataFrame:
+def final_state(replayed: DataFrame, events: DataFrame) -> DataFrame:
     """State of every order after its last event (public order model).
 
     A plain aggregation per order (the latest contribution of each kind,
     by ledger position), combined map-side, so a hot order is reduced before
-    the shuffle.
+    the shuffle; then ``events`` supply metadata and details of the positions that won.
     """
     o = F.struct("block", "tx")
 
@@ -251,21 +263,22 @@ def final_state(replayed: DataFrame) -> DataFrame:
         latest("_detail_event").alias("_d"),
         F.max("block").alias("last_block"),
     )
-    m = F.col("_c.meta")
-    return last.filter(F.col("_exists") == 1).select(
+    m = F.col("meta")
+    state = last.filter(F.col("_exists") == 1).withColumns({"_made_at": F.col("_c.at"), "_detail_at": F.col("_d.at")})
+    return supplied(supplied(state, events, "_made_at", "meta"), events, "_detail_at", "detail").select(
         "orderId",
         F.col("_c.hash").alias("customerIdHash"),
         m["employee"].alias("employee"), m["orderDate"].alias("orderDate"),
         m["requiredDate"].alias("requiredDate"), m["shippedDate"].alias("shippedDate"),
         m["shipperID"].alias("shipperID"), m["freight"].alias("freight"),
         "status", F.coalesce("_approved", F.lit(False)).alias("approvedByOrg1"),
-        F.col("_d.d").alias("OrderDetail"),
+        F.col("detail").alias("OrderDetail"),
         "last_block",
     )
 
 
 def order_lifecycle(events: DataFrame, chunk_blocks: int = 1024) -> DataFrame:
-    return final_state(replay(events, chunk_blocks))
+    return final_state(replay(events, chunk_blocks), events)
 
 
 def rejected_events(events: DataFrame, chunk_blocks: int = 1024) -> DataFrame:

@@ -21,9 +21,9 @@ def _typed(field: T.StructField, source: Column) -> Column:
     return _READ[field.dataType](source).alias(field.name)
 
 
-def orders_header(bronze: DataFrame) -> DataFrame:
-    """The header columns of the silver schema, one row per document (unfiltered)."""
-    return bronze.select(*[_typed(f, F.col(f.name)) for f in ORDERS_HEADER])
+def orders_header(bronze: DataFrame, *more: str) -> DataFrame:
+    """The header columns of the silver schema, one row per document (unfiltered); ``more`` columns pass through."""
+    return bronze.select(*[_typed(f, F.col(f.name)) for f in ORDERS_HEADER], *more)
 
 
 def repair_discount(c="discount", low: float = 0.0, high: float = 1.0):

@@ -6,14 +6,18 @@ from pyspark.sql import functions as F
 
 from orderlake.operators import ledger
 from orderlake.operators import lifecycle as L
+from orderlake.operators import lookups
 from orderlake.operators.nest import nest_items
 from orderlake.plans.registry import register
 from orderlake.plans.sql_fragments import HEADER, with_views
+from orderlake.session import scratch_path
 from orderlake.sources import tables as T
 from orderlake.sources.blocks import ledger_blocks
 from orderlake.sources.events import events_sql, lifecycle_event_table
 
 _EV = events_sql()
+#: Parts in which the log arrives at the streamed replay.
+STREAM_PARTS = 3
 _CLEAN_LINES_N = """SELECT cast(l_orderkey AS varchar) AS orderId, count(*) AS n_items,
        cast(sum(cast(l_quantity AS integer)) AS bigint) AS units FROM lineitem GROUP BY l_orderkey"""
 
@@ -66,7 +70,7 @@ def q_first_create_wins(spark, sf):
 def q_create_orders(spark, sf):
     """J5 against the state of the ledger at half its height; the commands come after that."""
     blocks = ledger_blocks(spark, sf)
-    half = F.floor((ledger.ledger_height(blocks).first()["height"] - 1) / 2)
+    half = (ledger.ledger_height(blocks).first()["height"] - 1) // 2
     state = ledger.latest_order_state(ledger.order_writes(blocks).where(F.col("block_number") <= half))
     out = L.create_orders(state, _commands(spark, sf))
     return out.select("orderId", "customerIdHash", "status", "approvedByOrg1", "block", "tx")
@@ -174,6 +178,7 @@ e8 AS (SELECT *,
          coalesce(last_value(CASE WHEN acc_cl AND function = 'CreateOrder' THEN FALSE
                                   WHEN (acc_cl AND function = 'CreateOrderAndApprove') OR acc_verify THEN TRUE END
                              IGNORE NULLS) OVER {_U}, FALSE) AS approved_after,
+         last_value(CASE WHEN acc_cl THEN sha256(customerId) END IGNORE NULLS) OVER {_U} AS hash_after,
          last_value(CASE WHEN acc_cl AND function = 'CreateOrder' THEN 0
                          WHEN acc_cl AND function = 'CreateOrderAndApprove' THEN 1
                          WHEN acc_verify THEN 0 WHEN acc_publish THEN 1 END IGNORE NULLS) OVER {_U} AS detail_after
@@ -181,13 +186,14 @@ e8 AS (SELECT *,
 
 
 _LIFECYCLE_SQL = f"""WITH ev AS ({_EV}),
-n AS ({_CLEAN_LINES_N}),{_REPLAY_SQL}
-SELECT orderId, status, approvedByOrg1, has_detail, n_items, last_block FROM (
-  SELECT e.orderId, e.status_after AS status, e.approved_after AS approvedByOrg1,
+n AS ({_CLEAN_LINES_N}), h AS ({HEADER}),{_REPLAY_SQL}
+SELECT orderId, customerIdHash, employee, freight, status, approvedByOrg1, has_detail, n_items, units, last_block FROM (
+  SELECT e.orderId, e.hash_after AS customerIdHash, h.employee, h.freight, e.status_after AS status, e.approved_after AS approvedByOrg1,
          coalesce(e.detail_after = 1, FALSE) AS has_detail,
          CASE WHEN e.detail_after = 1 THEN cast(coalesce(n.n_items, 0) AS integer) END AS n_items,
+         CASE WHEN e.detail_after = 1 THEN cast(coalesce(n.units, 0) AS bigint) END AS units,
          e.block AS last_block, e.exists_after
-  FROM e8 e LEFT JOIN n ON n.orderId = e.orderId
+  FROM e8 e LEFT JOIN n ON n.orderId = e.orderId LEFT JOIN h ON h.orderId = e.orderId
   QUALIFY row_number() OVER (PARTITION BY e.orderId ORDER BY e.block DESC, e.tx DESC) = 1) f
 WHERE exists_after"""
 
@@ -198,9 +204,52 @@ SELECT orderId, block, tx, function, org, reason FROM e8 WHERE NOT accepted"""
 @register("order_lifecycle", _LIFECYCLE_SQL)
 def q_order_lifecycle(spark, sf):
     s = L.order_lifecycle(_events(spark, sf))
-    return s.select("orderId", "status", "approvedByOrg1",
+    return s.select("orderId", "customerIdHash", "employee", "freight", "status", "approvedByOrg1",
                     F.col("OrderDetail").isNotNull().alias("has_detail"),
-                    F.size("OrderDetail.items").alias("n_items"), "last_block")
+                    F.size("OrderDetail.items").alias("n_items"), _units("OrderDetail.items").alias("units"), "last_block")
+
+
+def _streamed(spark, sf):
+    """The verdicts of the streamed replay; the log grows by a part of its blocks before each of several runs, which go on from
+    the state of the run before."""
+    from orderlake.streaming import lifecycle as stream
+
+    events, source, log, checkpoint = _events(spark, sf), *(scratch_path(spark, n) for n in ("event_stream", "verdicts", "replay_ckpt"))
+    last = events.agg(F.max("block")).first()[0] or 0
+    for part in range(STREAM_PARTS):
+        rows = events.where((F.col("block") * STREAM_PARTS >= part * (last + 1)) & (F.col("block") * STREAM_PARTS < (part + 1) * (last + 1)))
+        rows.write.mode("append").parquet(source)
+        q = stream.run_replay(spark.readStream.schema(events.schema).parquet(source), log, checkpoint)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(log), events
+
+
+@register("stream_lifecycle", _LIFECYCLE_SQL)
+def q_stream_lifecycle(spark, sf):
+    """C1 as a stream with one small state per order."""
+    from orderlake.streaming import lifecycle as stream
+
+    s = stream.current_orders(*_streamed(spark, sf))
+    return s.select("orderId", "customerIdHash", F.col("meta.employee").alias("employee"), F.col("meta.freight").alias("freight"), "status",
+                    "approvedByOrg1", F.col("OrderDetail").isNotNull().alias("has_detail"), F.size("OrderDetail.items").alias("n_items"),
+                    _units("OrderDetail.items").alias("units"), "last_block")
+
+
+@register("approved_details_state", f"""SELECT orderId, CASE WHEN has_detail THEN orderId END AS detailOrderId, n_items, units
+FROM ({_LIFECYCLE_SQL}) s WHERE approvedByOrg1""")
+def q_approved_details_state(spark, sf):
+    """P14 on the replayed state, where approved orders may have no details: those of a late verification."""
+    d = lookups.approved_order_details(L.order_lifecycle(_events(spark, sf)))
+    return d.select("orderId", "detailOrderId", F.size("items").alias("n_items"), _units("items").alias("units"))
+
+
+@register("published_state", f"SELECT orderId, status, approvedByOrg1, n_items, units FROM ({_LIFECYCLE_SQL}) s WHERE has_detail")
+def q_published_state(spark, sf):
+    """P15 on the replayed state: orders without details are left out."""
+    p = lookups.published_orders(L.order_lifecycle(_events(spark, sf)))
+    return p.select("orderId", "status", "approvedByOrg1", F.size("OrderDetail.items").alias("n_items"), _units("OrderDetail.items").alias("units"))
 
 
 @register("rejected_events", _REJECTED_SQL)

@@ -231,23 +231,38 @@ LEFT JOIN (SELECT cast(orderKey AS varchar) AS orderId, count(*) AS n_items,
                   cast(sum(quantity) AS bigint) AS units FROM ({LINES}) l GROUP BY orderKey) n
 USING (orderId)"""
 
+# The bulk load prices lines itself, with a blank discount as none.
+_NEST_TOTALS = f"""SELECT cast(orderKey AS varchar) AS orderId, sum(p) AS total, cast(sum(floor(p * 100)) AS bigint) AS cents FROM (
+  SELECT orderKey, unitPrice * quantity * (1 - coalesce(discount, cast(0 AS double))) AS p FROM ({LINES}) l) x GROUP BY orderKey"""
 
-@register("nest_orders", _NEST_SQL)
+
+@register("nest_orders", f"""SELECT b.*, coalesce(t.total, cast(0 AS double)) AS total, coalesce(t.cents, 0) AS cents
+FROM ({_NEST_SQL}) b LEFT JOIN ({_NEST_TOTALS}) t USING (orderId)""")
 def q_nest_orders(spark, sf):
     o, d = T.bulk_load_frames(spark, sf)
     n = nest.nest_orders(o, d)
     return n.select("orderId", "customerId",
                     F.size("orderDetails.items").cast("bigint").alias("n_items"),
                     F.aggregate("orderDetails.items", F.lit(0).cast("bigint"),
-                                lambda acc, x: acc + x["quantity"]).alias("units"))
+                                lambda acc, x: acc + x["quantity"]).alias("units"),
+                    F.col("orderDetails.total").alias("total"), _cents("orderDetails.items").alias("cents"))
+
+
+def _cents(items):
+    """Whole hundredths of the items' prices, an exact sum whatever the order."""
+    return F.aggregate(items, F.lit(0).cast("bigint"), lambda acc, x: acc + F.floor(x["price"] * 100))
 
 
 @register("create_and_approve", f"""
-SELECT orderId, sha256(customerId) AS customerIdHash, employee, shipperID, freight,
-       'APPROVED' AS status, true AS approvedByOrg1, orderId AS detailOrderId
-FROM ({HEADER}) h""")
+SELECT h.orderId, sha256(h.customerId) AS customerIdHash, employee, shipperID, freight,
+       'APPROVED' AS status, true AS approvedByOrg1, h.orderId AS detailOrderId, b.n_items, b.units,
+       coalesce(t.total, cast(0 AS double)) AS total, coalesce(t.cents, 0) AS cents
+FROM ({HEADER}) h JOIN ({_NEST_SQL}) b USING (orderId) LEFT JOIN ({_NEST_TOTALS}) t USING (orderId)""")
 def q_create_and_approve(spark, sf):
     o, d = T.bulk_load_frames(spark, sf)
     c = nest.create_and_approve(nest.nest_orders(o, d))
     return c.select("orderId", "customerIdHash", "employee", "shipperID", "freight", "status",
-                    "approvedByOrg1", F.col("OrderDetail.orderId").alias("detailOrderId"))
+                    "approvedByOrg1", F.col("OrderDetail.orderId").alias("detailOrderId"),
+                    F.size("OrderDetail.items").cast("bigint").alias("n_items"),
+                    F.aggregate("OrderDetail.items", F.lit(0).cast("bigint"), lambda acc, x: acc + x["quantity"]).alias("units"),
+                    F.col("OrderDetail.total").alias("total"), _cents("OrderDetail.items").alias("cents"))

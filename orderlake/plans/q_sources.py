@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from orderlake.functions import try_int
 from orderlake.operators import gold, ledger, nest, silver
 from orderlake.plans.q_ledger import _TX
 from orderlake.plans.q_medallion import _NEST_SQL, bronze
 from orderlake.plans.registry import register
-from orderlake.plans.sql_fragments import SILVER_HEADER, with_views
+from orderlake.plans.sql_fragments import ITEMS, RAW_ITEMS, SILVER_HEADER, with_views
 from orderlake.session import scratch_path
 from orderlake.sources import sinks
 from orderlake.sources.blocks import blocks_from_tables, ledger_blocks_path, read_blocks
@@ -22,22 +23,35 @@ from orderlake.sources.csv import read_order_details_csv, read_orders_csv
 from orderlake.sources.tables import bulk_load_frames
 
 
-@register("bronze_scan", SILVER_HEADER)
+@register("bronze_scan", with_views(
+    """SELECT h.*, coalesce(n.n_items, 0) AS n_items, coalesce(n.units, 0) AS units FROM h
+       LEFT JOIN (SELECT orderId, cast(count(*) AS integer) AS n_items, cast(sum(quantity) AS bigint) AS units FROM r GROUP BY orderId) n
+       USING (orderId)""", h=SILVER_HEADER, r=RAW_ITEMS))
 def q_bronze_scan(spark, sf):
-    """Documents stored as JSON, scanned back with the bronze schema, parsed to silver."""
+    """Documents stored as JSON, scanned back with the bronze schema, header and items parsed."""
     path = scratch_path(spark, "bronze")
     bronze(spark, sf).write.mode("overwrite").json(path)
-    return silver.orders_header(bronze_scan(spark, path, multi_line=False))
+    docs = bronze_scan(spark, path, multi_line=False)
+    units = F.aggregate("OrderDetail.items", F.lit(0).cast("bigint"), lambda a, x: a + try_int(x["quantity"]))
+    typed = docs.select("*", F.size("OrderDetail.items").alias("n_items"), units.alias("units"))
+    return silver.orders_header(typed, "n_items", "units")
 
 
 @register("block_scan", with_views(
-    """SELECT cast(block AS bigint) AS block_number, cast(count(*) AS integer) AS tx_count
+    """SELECT cast(block AS bigint) AS block_number, cast(count(*) AS integer) AS tx_count,
+              cast(sum(CASE kind WHEN 'config' THEN 0 WHEN 'create' THEN 2
+                       ELSE 1 + CASE WHEN k % 13 = 0 THEN 1 ELSE 0 END + CASE WHEN k % 17 = 0 THEN 1 ELSE 0 END END) AS bigint) AS n_writes,
+              cast(count(orderId) AS bigint) AS n_commands
        FROM tx GROUP BY block""", tx=_TX))
 def q_block_scan(spark, sf):
     """S3: generated blocks stored as JSON and scanned back with the block schema."""
     path = scratch_path(spark, "blocks")
     blocks_from_tables(spark, sf).write.mode("overwrite").json(path)
-    return ledger.block_summary(read_blocks(spark, path, multi_line=False)).select("block_number", "tx_count")
+    blocks = read_blocks(spark, path, multi_line=False)
+    counts = ledger.block_summary(blocks).select("block_number", "tx_count")
+    writes = ledger.tx_rwset(blocks).groupBy("block_number").agg(F.count(F.lit(1)).alias("n_writes"))
+    commands = ledger.block_transactions(blocks).where("function != ''").groupBy("block_number").agg(F.count(F.lit(1)).alias("n_commands"))
+    return counts.join(writes, "block_number", "left").join(commands, "block_number", "left").na.fill(0, ["n_writes", "n_commands"])
 
 
 @register("csv_orders_scan", _NEST_SQL)
@@ -107,6 +121,22 @@ def q_stream_silver_header(spark, sf):
     return header
 
 
+@register("stream_silver_items", with_views(
+    """SELECT i.orderId, productId, quantity, unitPrice, discount, price, totalPrice FROM i
+       JOIN (SELECT cast(o_orderkey AS varchar) AS orderId FROM orders WHERE o_orderstatus <> 'O') p USING (orderId)""", i=ITEMS))
+def q_stream_silver_items(spark, sf):
+    """The items of the streamed state; orders that were only created have none."""
+    from orderlake.streaming import ingest
+
+    updates = scratch_path(spark, "stream_updates")
+    q = ingest.run_ingest(spark, ledger_blocks_path(spark, sf), updates, scratch_path(spark, "stream_ckpt"),
+                          multi_line=False, max_files_per_trigger=2)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return ingest.current_silver(spark, updates)[1]
+
+
 @register("stream_latest_event_per_user", """
 SELECT user_id, event_id, ts, event_type, value, props FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")

@@ -91,5 +91,5 @@ def discard(*frames: DataFrame) -> None:
         jvm = df.sparkSession.sparkContext._jvm
         for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
             path = jvm.org.apache.hadoop.fs.Path(folder)
-            if "/orderlake-scratch/" in folder:
+            if "/orderlake-scratch/" in folder:  # never an input
                 path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

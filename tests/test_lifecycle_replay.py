@@ -139,3 +139,21 @@ def test_replay_hand_written(spark, chunk_blocks):
         (8, True, None, "APPROVED", False),
         (9, False, "order a already exists", "APPROVED", False),
     }
+
+
+def test_streamed_replay_equals_the_batch(spark, scratch):
+    """Three runs over a growing log, with the commands of each out of order."""
+    from orderlake.streaming import lifecycle as stream
+
+    ev = lifecycle_events(spark, SF0001)
+    last = ev.agg(F.max("block")).first()[0]
+    for part in range(3):
+        rows = ev.where((F.col("block") * 3 >= part * (last + 1)) & (F.col("block") * 3 < (part + 1) * (last + 1)))
+        rows.orderBy(F.xxhash64("orderId", "tx")).write.mode("append").parquet(scratch + "/in")
+        stream.run_replay(spark.readStream.schema(ev.schema).parquet(scratch + "/in"), scratch + "/log", scratch + "/ckpt").awaitTermination()
+    log = spark.read.parquet(scratch + "/log")
+    got = {(r.orderId, r.block, r.tx, r.reason) for r in log.where("not accepted").collect()}
+    assert got == {(r.orderId, r.block, r.tx, r.reason) for r in L.rejected_events(ev).collect()} and log.count() == ev.count()
+    columns = ["orderId", "customerIdHash", "status", "approvedByOrg1", "OrderDetail", "last_block"]
+    want = {r.orderId: tuple(r) for r in L.order_lifecycle(ev).select(*columns).collect()}
+    assert {r.orderId: tuple(r) for r in stream.current_orders(log, ev).select(*columns).collect()} == want
