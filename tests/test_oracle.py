@@ -11,7 +11,7 @@ from orderlake.sources.tables import TABLES
 from tests.conftest import SF0001
 
 HEAVY = {"order_pca", "pca_explained_variance", "dbscan_orders", "cluster_distribution",
-         "clustering_results", "cluster_scatter_bins"}
+         "clustering_results", "cluster_scatter_bins", "hdbscan_orders", "hdbscan_scatter_bins"}
 
 
 @pytest.fixture(scope="module")

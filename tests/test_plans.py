@@ -15,6 +15,7 @@ def _plan(df):
 
 #: Fitted in steps; their last plan is checked with the others, their steps use built-in functions (next test but one).
 FITTED = {"order_pca", "pca_explained_variance", "dbscan_orders", "cluster_distribution", "clustering_results", "cluster_scatter_bins",
+          "dbscan_two_features", "two_feature_distribution", "two_feature_bins",
           "hdbscan_orders", "hdbscan_scatter_bins"}
 #: Modules that bring summaries of bounded size to the driver: boxes of leaves, the last few groups or clusters, buckets of a table.
 SUMMARIES = {"neighbours.py", "spanning.py", "hierarchy.py", "versioned.py"}
