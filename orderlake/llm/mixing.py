@@ -97,7 +97,8 @@ def schedule(sized: DataFrame, goals: DataFrame, *, max_epochs: int = MAX_EPOCHS
     queue = joined.withColumn("epoch", F.explode(epochs)).withColumn(
         "draw", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("epoch"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
     queue = queue.select("rid", "source_rank", "epoch", "draw", "doc_id", "size", "tie", "target")
-    shuffled = ["source_rank", "epoch", "draw", "doc_id", "size", "tie"]
+    # the row's number comes last, so that rows equal in all else (null ids, say) are not one key of a range
+    shuffled = ["source_rank", "epoch", "draw", "doc_id", "size", "tie", "rid"]
     summed = running_sum(queue, [F.col(c) for c in shuffled], "size", "sum_all")
     # words of all sources before this one in rank order: a source's own running total starts there
     ahead = running_sum(
@@ -106,7 +107,7 @@ def schedule(sized: DataFrame, goals: DataFrame, *, max_epochs: int = MAX_EPOCHS
     ahead = _small(ahead)
     timed = summed.join(ahead, summed["source_rank"] == ahead["sr"]).withColumn(
         "finish", F.when(F.col("target") > 0, (F.col("sum_all") - F.col("ahead")).cast("double") / F.col("target")).otherwise(0.0))
-    timed = timed.select("rid", "finish", *shuffled)
+    timed = timed.select("finish", *shuffled)
     spent = running_sum(timed, [F.col("finish"), *[F.col(c) for c in shuffled]], "size", "spent")
     budget = goals.agg(F.sum("target").alias("budget"))
     # one number; whole words, rounded so that float error in the targets costs no document

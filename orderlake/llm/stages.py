@@ -27,7 +27,11 @@ def _measured(docs: DataFrame) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, and those whose text fits no learned language, go. Learns from all labelled rows."""
+    """Documents without a letter, and those whose text fits no learned language, go. Learns from all labelled rows.
+
+    Null, empty and blank texts go; rows with a null id or lang are not learned from but judged; repeated rows are judged each on
+    its own; without a labelled row, and from an empty table, nothing stays.
+    """
     release()
     plain, restore = shield(docs, *USED)
     found = langid.predict(plain, langid.learn(plain))
@@ -35,7 +39,11 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines seen on several sites go from all documents but the first; a document they made up altogether goes too."""
+    """Lines seen on several sites go from all documents but the first; a document they made up altogether goes too.
+
+    A null text stays null and its document stays; a null source is a site of its own; repeated rows are documents of one site;
+    an empty table gives an empty one.
+    """
     release()
     plain, restore = shield(docs, *USED)
     done = linededup.dedup_lines(plain)
@@ -43,14 +51,21 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked fingerprints stays: that of the smallest doc_id."""
+    """One document of each group of linked fingerprints stays: that of the smallest doc_id.
+
+    Null, empty and blank texts are one group; null ids come last; repeated rows are one; an empty table gives an empty one.
+    """
     release()
     plain, restore = shield(docs, *USED)
     return restore(simhash.keep_one(plain))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Benchmark passages are cut out; a document that is half benchmark or more goes."""
+    """Benchmark passages are cut out; a document that is half benchmark or more goes.
+
+    Null and wordless texts are clean and stay; repeated rows are judged each on its own; null or wordless items count for nothing; an
+    empty benchmark changes nothing, an empty table gives an empty one.
+    """
     release()
     plain, restore = shield(docs, *USED)
     return restore(_measured(decontam.clean(plain, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))))
@@ -58,7 +73,11 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, with how often (copies), their words (size), the words taken and
-    their source's size and target. These replace columns of the same names."""
+    their source's size and target. These replace columns of the same names.
+
+    Null and blank texts have size 0 and may be taken; a null source is a source of its own; null ids and repeated rows are
+    separate documents; an empty table gives an empty mix.
+    """
     release()
     sized = docs.drop("size").withColumn("size", word_count(F.col("text")))
     return mixing.mix(sized, size="size", text="text").where("copies > 0")

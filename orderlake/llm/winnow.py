@@ -11,7 +11,7 @@ Likeness is the Jaccard index of the sets of kept hashes.
 Defined results: a null or empty text has the empty fingerprint, and two of these are alike (1);
 a text of fewer than ``k`` code points is one run; fewer than ``w`` runs are one window.
 Long texts are hashed in pieces that overlap by a window, with the same result.
-Equal texts have equal fingerprints. Rows that repeat are judged each on its own; extra
+Equal texts have equal fingerprints. Ids are whole numbers, or texts of such: anything else is an error. Rows that repeat are judged each on its own; extra
 columns pass through; a column named like a result column is replaced by it.
 """
 

@@ -92,3 +92,16 @@ def test_a_hot_source_in_many_partitions(spark):
     for r in rows:
         by.setdefault(r.source, [r.target, 0])[1] += r.taken
     assert all(abs(t - got) <= 100 for t, got in by.values())
+
+
+def test_rows_equal_in_all_but_their_number_are_spread(spark):
+    """A third of the rows share a null id and a size: they are many keys of the range partitions, not one."""
+    rows = [(None if k % 3 == 0 else k, "a" if k % 2 else "b", 5) for k in range(3000)]
+    sized = spark.createDataFrame(rows, "doc_id long, source string, size long")
+    out = mixing.mix(sized, size="size")
+    taken = {r.source: r.t for r in out.groupBy("source").agg(F.sum("taken").alias("t")).collect()}
+    goal = {r.source: r.target for r in out.select("source", "target").distinct().collect()}
+    assert out.count() == 3000 and all(abs(taken[s] - goal[s]) <= 10 for s in goal)
+    numbered = sized.withColumn("rid", F.monotonically_increasing_id()).withColumn("tie", F.lit(0).cast("long"))
+    mixed = mixing.schedule(numbered, mixing.targets(numbered, source="source", size="size"))
+    assert mixed.select("rid", "epoch").distinct().count() == mixed.count()
