@@ -229,7 +229,7 @@ def audit(docs: DataFrame, *, text: str = "text", lang: str = "lang", source: st
                    ["lang", "source", "item"], "left")
              .select("lang", "source", F.lit("pair").alias("part"), "item", F.coalesce("value", F.lit(0)).alias("value")))
     # first the best of parts of a group's terms, so that no task gets what all shards offer for one group
-    some = Window.partitionBy("lang", "source", F.pmod(F.xxhash64("item"), F.lit(32))).orderBy(F.desc("value"), "item")
+    some = Window.partitionBy("lang", "source", F.pmod(F.xxhash64("item"), F.lit(8))).orderBy(F.desc("value"), "item")
     best = partial.where("part = 'term'").withColumn("place", F.row_number().over(some)).where(F.col("place") <= top).drop("place")
     by_rank = Window.partitionBy("lang", "source", "part").orderBy(F.desc("value"), "item")
     return (pairs.unionByName(best).withColumn("rank", F.row_number().over(by_rank))
