@@ -84,6 +84,12 @@ def clustering_table(feats: DataFrame, scores: DataFrame, labels: DataFrame) ->
     return j.select(*cols)
 
 
+def wide_table(orders: DataFrame, feats: DataFrame, scores: DataFrame, labels: DataFrame) -> DataFrame:
+    """Everything that is known of an order: its dates, the features, the components and the labels."""
+    dates = gold.lowercase_columns(orders, ()).select("orderid", "orderdate", "requireddate", "shippeddate")
+    return dates.join(feats, "orderid").join(scores, "orderid").join(labels, "orderid")
+
+
 def hdbscan_clustering(spark: SparkSession, gold_ns: str = "gold", csv_path: str | None = None,
                        min_cluster_size: int = 15, min_samples: int = 8) -> dict:
     """Features -> standardise -> PCA(3) -> HDBSCAN -> gold.hdbscan_results (+ CSV): every column of the gold orders, the
@@ -91,8 +97,7 @@ def hdbscan_clustering(spark: SparkSession, gold_ns: str = "gold", csv_path: str
     g = spark.table(f"{gold_ns}.orders")
     feats, scores, fit = features.order_pca(g, 3)
     labels = hdbscan.hdbscan(scores, "orderid", ["pca1", "pca2", "pca3"], min_cluster_size, min_samples)
-    dates = gold.lowercase_columns(g, ()).select("orderid", "orderdate", "requireddate", "shippeddate")
-    result = dates.join(feats, "orderid").join(scores, "orderid").join(labels.withColumnRenamed("probability", "cluster_probability"), "orderid")
+    result = wide_table(g, feats, scores, labels.withColumnRenamed("probability", "cluster_probability"))
     n = sinks.replace_table(result, f"{gold_ns}.hdbscan_results")
     if csv_path:
         sinks.export_csv(spark.table(f"{gold_ns}.hdbscan_results"), csv_path)
@@ -101,12 +106,12 @@ def hdbscan_clustering(spark: SparkSession, gold_ns: str = "gold", csv_path: str
 
 def clustering(spark: SparkSession, gold_ns: str = "gold", csv_path: str | None = None,
                eps: float = 0.9, min_samples: int = 10) -> dict:
-    """Features -> standardise -> PCA(3) -> DBSCAN -> gold.clustering_results (+ CSV)."""
+    """Features -> standardise -> PCA(3) -> DBSCAN -> gold.clustering_results (13 columns), and a CSV of all columns."""
     g = spark.table(f"{gold_ns}.orders")
     feats, scores, fit = features.order_pca(g, 3)
     labels = density.dbscan(scores, "orderid", ["pca1", "pca2", "pca3"], eps, min_samples)
     result = clustering_table(feats, scores, labels)
     n = sinks.replace_table(result, f"{gold_ns}.clustering_results")
     if csv_path:
-        sinks.export_csv(spark.table(f"{gold_ns}.clustering_results"), csv_path)
+        sinks.export_csv(wide_table(g, feats, scores, labels.select("orderid", "cluster")), csv_path)
     return {"clustering_results": n, "explained_variance": [float(x) for x in fit.ratios]}

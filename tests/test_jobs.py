@@ -53,7 +53,11 @@ def test_jobs_write_tables(spark, scratch):
     res = spark.table("t_gold.clustering_results")
     assert res.columns[0] == "orderId" and len(res.columns) == 13
     back = spark.read.option("header", True).csv(os.path.join(scratch, "csv"))
-    assert back.count() == c2["orders"]
+    assert back.count() == c2["orders"] and {"orderdate", "freight", "pca3", "cluster"} <= set(back.columns)
+    c4 = medallion.hdbscan_clustering(spark, "t_gold", os.path.join(scratch, "csv_h"))
+    assert c4["hdbscan_results"] == c2["orders"]
+    back = spark.read.option("header", True).csv(os.path.join(scratch, "csv_h"))
+    assert back.count() == c2["orders"] and {"orderdate", "pca1", "cluster", "cluster_probability", "outlier_score"} <= set(back.columns)
 
 
 def test_csv_nesting(spark, scratch):
