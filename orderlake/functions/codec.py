@@ -53,8 +53,13 @@ def utf8_strict(b) -> Column:
 
 
 def utf8_lenient(b) -> Column:
-    """Bytes -> text, invalid sequences dropped."""
-    return F.replace(F.make_valid_utf8(_c(b).cast("string")), F.lit("�"), F.lit(""))
+    """Bytes -> text, invalid sequences dropped; a replacement character that was in the bytes stays.
+
+    It waits as the noncharacter U+FDD0, which texts for interchange do not hold.
+    """
+    genuine, aside = F.lit("\ufffd"), F.lit("\ufdd0")
+    marked = F.make_valid_utf8(F.replace(_c(b).cast("string"), genuine, aside))
+    return F.replace(F.replace(marked, genuine, F.lit("")), aside, genuine)
 
 
 def json_objects(text, key: str | None = None) -> Column:

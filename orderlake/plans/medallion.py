@@ -10,7 +10,7 @@ from __future__ import annotations
 import logging
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake.operators import density, features, gold, hdbscan, ledger, silver
@@ -25,10 +25,11 @@ log = logging.getLogger(__name__)
 def ledger_to_bronze(spark: SparkSession, blocks_path: str, bronze_path: str, chaincode: str = "mycc",
                      multi_line: bool = True) -> dict:
     """Listener: all blocks -> qualifying order writes -> latest per order -> bronze dataset."""
-    writes = ledger.order_writes(read_blocks(spark, blocks_path, multi_line), chaincode)
+    counted = Observation("order_writes")  # counted while writing: the ledger is read once
+    writes = ledger.order_writes(read_blocks(spark, blocks_path, multi_line), chaincode).observe(counted, F.count(F.lit(1)).alias("n"))
     latest = ledger.latest_order_values(writes)
     B.write_bronze(latest.select("value"), bronze_path, fmt="text")
-    return {"order_writes": ledger.order_write_count(writes).first()["order_writes"]}
+    return {"order_writes": counted.get["n"]}
 
 
 def bronze_to_silver(spark: SparkSession, bronze_path: str, namespace: str = "silver",
