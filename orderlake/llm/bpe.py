@@ -304,19 +304,25 @@ class _InTask:
         return tables["encoder"]
 
 
-def encode(docs: DataFrame, tables: dict, *, text: str = "text", out: str = "token_ids", drop_text: bool = False) -> DataFrame:
-    """``docs`` plus the packed ids of ``text``."""
-    docs = cleared(docs, out)
+def encode(docs: DataFrame, tables: dict, *, text: str = "text", out: str = "token_ids", back: str | None = None,
+           drop_text: bool = False) -> DataFrame:
+    """``docs`` plus the packed ids of ``text``, and under the name ``back``, if given, the text that they decode to."""
+    docs = cleared(docs, out, *([back] if back else []))
     at, kept = docs.columns.index(text), [k for k, c in enumerate(docs.columns) if not (drop_text and c == text)]
     task = _InTask(share(docs, tables))
 
     def run(batches):
         for batch in batches:
-            packed = task.encoder().packed
-            ids = pa.array([packed(t) for t in _texts(batch.column(at))], pa.binary())
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in kept), ids], names=[*(batch.schema.names[k] for k in kept), out])
-
-    return docs.mapInArrow(run, T.StructType([*(docs.schema[k] for k in kept), T.StructField(out, T.BinaryType())]))
+            encoder = task.encoder()
+            ids = [encoder.packed(t) for t in _texts(batch.column(at))]
+            made = [pa.array(ids, pa.binary())]
+            if back:
+                made.append(pa.array([decoded(encoder.tables, i) for i in ids], pa.binary()).cast(pa.string()))
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in kept), *made], names=[*(batch.schema.names[k] for k in kept), *added])
+
+    added = [out, *([back] if back else [])]
+    kinds = (T.BinaryType(), T.StringType())
+    return docs.mapInArrow(run, T.StructType([*(docs.schema[k] for k in kept), *map(T.StructField, added, kinds)]))
 
 
 def decode(docs: DataFrame, tables: dict, *, ids: str = "token_ids", out: str = "decoded") -> DataFrame:

@@ -78,8 +78,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_bpe(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
     tables = bpe.read(tokenizer or public_tokenizers.path("word_bpe_49k.json"))
-    coded = bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), tables, drop_text=True)
-    return bpe.decode(coded, tables).select("doc_id", bpe.n_tokens().alias("n_tokens"), F.sha2("token_ids", 256).alias("ids_sha256"),
+    coded = bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), tables, back="decoded", drop_text=True)
+    return coded.select("doc_id", bpe.n_tokens().alias("n_tokens"), F.sha2("token_ids", 256).alias("ids_sha256"),
                                             F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
