@@ -17,7 +17,7 @@ from orderlake.plans.registry import register
 from orderlake.plans.sql_fragments import ITEMS, RAW_ITEMS, SILVER_HEADER, with_views
 from orderlake.session import scratch_path
 from orderlake.sources import sinks
-from orderlake.sources.blocks import blocks_from_tables, ledger_blocks_path, read_blocks
+from orderlake.sources.blocks import blocks_from_tables, ledger_blocks_path, read_blocks, write_blocks
 from orderlake.sources.bronze import bronze_scan
 from orderlake.sources.csv import read_order_details_csv, read_orders_csv
 from orderlake.sources.tables import bulk_load_frames
@@ -46,7 +46,7 @@ def q_bronze_scan(spark, sf):
 def q_block_scan(spark, sf):
     """S3: generated blocks stored as JSON and scanned back with the block schema."""
     path = scratch_path(spark, "blocks")
-    blocks_from_tables(spark, sf).write.mode("overwrite").json(path)
+    write_blocks(blocks_from_tables(spark, sf), path)
     blocks = read_blocks(spark, path, multi_line=False)
     counts = ledger.block_summary(blocks).select("block_number", "tx_count")
     writes = ledger.tx_rwset(blocks).groupBy("block_number").agg(F.count(F.lit(1)).alias("n_writes"))
