@@ -17,7 +17,7 @@ from orderlake.plans.registry import register
 from orderlake.plans.sql_fragments import ITEMS, RAW_ITEMS, SILVER_HEADER, with_views
 from orderlake.session import scratch_path
 from orderlake.sources import sinks
-from orderlake.sources.blocks import blocks_from_tables, ledger_blocks_path, read_blocks, write_blocks
+from orderlake.sources.blocks import blocks_from_tables, ledger_blocks, ledger_blocks_path, read_blocks, write_blocks
 from orderlake.sources.bronze import bronze_scan
 from orderlake.sources.csv import read_order_details_csv, read_orders_csv
 from orderlake.sources.tables import bulk_load_frames
@@ -85,6 +85,16 @@ def q_table_replace(spark, sf):
 
 
 # ---------------------------------------------------------------- streaming
+#: Triggers in which the files of a stream arrive.
+STREAM_TRIGGERS = 4
+
+
+def block_files_per_trigger(spark, sf) -> int:
+    from orderlake.streaming import ingest
+
+    return ingest.files_per_trigger(len(ledger_blocks(spark, sf).inputFiles()), STREAM_TRIGGERS)
+
+
 @register("stream_latest_orders", with_views(
     """SELECT orderId, cast(block AS bigint) AS block_number, tx_index
        FROM tx WHERE kind <> 'config'
@@ -94,7 +104,7 @@ def q_stream_latest_orders(spark, sf):
     from orderlake.streaming import ingest
 
     blocks = ledger_blocks_path(spark, sf)
-    writes = ledger.order_writes(ingest.block_stream(spark, blocks, multi_line=False, max_files_per_trigger=2))
+    writes = ledger.order_writes(ingest.block_stream(spark, blocks, multi_line=False, max_files_per_trigger=block_files_per_trigger(spark, sf)))
     updates = scratch_path(spark, "latest_orders")
     q = ingest.run_latest(ingest.latest_order_stream(writes), updates, scratch_path(spark, "stream_ckpt"))
     q.awaitTermination()
@@ -113,7 +123,7 @@ def q_stream_silver_header(spark, sf):
     blocks = ledger_blocks_path(spark, sf)
     updates = scratch_path(spark, "stream_updates")
     q = ingest.run_ingest(spark, blocks, updates, scratch_path(spark, "stream_ckpt"),
-                          multi_line=False, max_files_per_trigger=2)
+                          multi_line=False, max_files_per_trigger=block_files_per_trigger(spark, sf))
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
@@ -130,7 +140,7 @@ def q_stream_silver_items(spark, sf):
 
     updates = scratch_path(spark, "stream_updates")
     q = ingest.run_ingest(spark, ledger_blocks_path(spark, sf), updates, scratch_path(spark, "stream_ckpt"),
-                          multi_line=False, max_files_per_trigger=2)
+                          multi_line=False, max_files_per_trigger=block_files_per_trigger(spark, sf))
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
@@ -148,7 +158,8 @@ def q_stream_latest_event_per_user(spark, sf):
     ev = read_table(spark, sf, "events")
     src = scratch_path(spark, "events_stream")
     ev.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))).write.mode("overwrite").parquet(src)
-    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 2).parquet(src)
+    files = len(spark.read.parquet(src).inputFiles())
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", ingest.files_per_trigger(files, STREAM_TRIGGERS)).parquet(src)
     latest = ledger.latest_per_key(stream, "user_id", ["ts", "event_id"])
     updates = scratch_path(spark, "latest_events")
     q = ingest.run_latest(latest, updates, scratch_path(spark, "events_ckpt"))

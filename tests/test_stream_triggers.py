@@ -1,0 +1,54 @@
+"""Streams take a backlog in a bounded number of triggers; a group's commands are folded without frames."""
+
+import datetime as dt
+
+import pandas as pd
+
+from orderlake.operators import lifecycle as L
+from orderlake.plans import registry
+from orderlake.streaming import ingest
+from orderlake.streaming import lifecycle as stream
+
+
+def test_files_per_trigger():
+    assert [ingest.files_per_trigger(n, 4) for n in (0, 1, 4, 5, 8, 9, 400)] == [1, 1, 1, 2, 2, 3, 100]
+
+
+def test_number_of_triggers_does_not_grow_with_the_files(spark, scratch, monkeypatch):
+    day = dt.datetime(1997, 3, 1)
+    spark.createDataFrame([(i, day + dt.timedelta(seconds=i), i % 40, "view", float(i), "{}") for i in range(400)],
+                          "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string") \
+         .write.parquet(f"{scratch}/events.parquet")
+    logs, read = [], ingest.current_latest
+    monkeypatch.setattr(ingest, "current_latest", lambda s, log, key: logs.append(log) or read(s, log, key))
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        rows = registry.queries()["stream_latest_event_per_user"](spark, scratch).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+    assert {r["user_id"]: r["event_id"] for r in rows} == {u: 360 + u for u in range(40)}
+    assert 2 <= spark.read.parquet(logs[0]).select("batch_id").distinct().count() <= 4
+
+
+class _Held:
+    exists = False
+
+    def update(self, state):
+        self.state = state
+
+
+def test_commands_of_a_group_are_folded_without_frames(monkeypatch):
+    def banned(*_, **__):
+        raise AssertionError("a frame for each order")
+
+    monkeypatch.setattr(pd, "concat", banned)
+    monkeypatch.setattr(pd.DataFrame, "sort_values", banned)
+    columns = ["block", "tx", "function", "org", "claim", "full"]
+    late = pd.DataFrame([(5, 0, L.VERIFY, L.ORG1, "h", False)], columns=columns)
+    early = pd.DataFrame([(3, 1, L.VERIFY, L.ORG1, "x", False), (3, 0, L.CREATE, L.ORG2, "h", True)], columns=columns)
+    held = _Held()
+    out, = stream._fold(("a",), [late, early], held)
+    assert out[["block", "tx", "accepted", "status"]].values.tolist() == [
+        [3, 0, True, "CREATED"], [3, 1, False, "CREATED"], [5, 0, True, "APPROVED"]]
+    assert held.state[3:5] == ("APPROVED", True)
