@@ -44,6 +44,20 @@ def test_verdicts_across_chunks(spark):
     assert state["customerIdHash"] == spark.range(1).select(F.sha2(F.lit("7"), 256)).first()[0] and state["status"] == "APPROVED"
 
 
+def test_only_hot_orders_are_cut_into_chunks(spark):
+    """Orders of few commands have one whole history, with no carry-in; hot ones are cut; the verdicts are the same."""
+    events = _events(spark)
+    dealt = {hot: {(r["orderId"], r["_chunk"]) for r in L.by_chunk(events, "orderId", "_chunk", F.floor(F.col("block") / 4), hot).collect()}
+             for hot in (1, 2, 100)}
+    assert dealt[100] == {("a", None), ("b", None), (None, None)}
+    assert dealt[2] == {("a", 0), ("a", 1), ("a", 7), ("b", None), (None, None)}
+    assert dealt[1] == dealt[2] - {("b", None)} | {("b", 0)}
+    verdicts = [sorted(map(str, L.rejected_events(events, chunk_blocks=2, hot=hot).collect())) for hot in (0, 2, 100)]
+    assert verdicts[0] == verdicts[1] == verdicts[2]
+    states = [sorted(map(str, L.order_lifecycle(events, chunk_blocks=2, hot=hot).where("orderId = 'a'").collect())) for hot in (0, 100)]
+    assert states[0] == states[1] and len(states[0]) == 1
+
+
 def test_lines_meet_before_they_are_nested(spark, scratch):
     orders = spark.createDataFrame([(1, 4, "F", 10.0, dt.datetime(1997, 3, 1)), (2, 4, "O", 10.0, dt.datetime(1997, 3, 1))],
                                    "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz")
