@@ -6,6 +6,8 @@ import pandas as pd
 
 from orderlake.operators import lifecycle as L
 from orderlake.plans import registry
+from orderlake.sources.blocks import ledger_blocks_path
+from orderlake.sources.events import lifecycle_event_table
 from orderlake.streaming import ingest
 from orderlake.streaming import lifecycle as stream
 
@@ -52,3 +54,20 @@ def test_commands_of_a_group_are_folded_without_frames(monkeypatch):
     assert out[["block", "tx", "accepted", "status"]].values.tolist() == [
         [3, 0, True, "CREATED"], [3, 1, False, "CREATED"], [5, 0, True, "APPROVED"]]
     assert held.state[3:5] == ("APPROVED", True)
+
+
+def test_update_log_and_event_log_are_packed(spark, scratch):
+    """Documents in the update log and in the derived event log are written with the denser codec, the rows being the same."""
+    day = dt.datetime(1997, 3, 1)
+    spark.createDataFrame([(k, 4, "F" if k % 2 else "O", 10.0, day) for k in range(1, 30)],
+                          "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz") \
+         .write.parquet(f"{scratch}/orders.parquet")
+    spark.createDataFrame([(k, 1, 100 + k, 2.0, 8.0, 0.0) for k in range(1, 30)],
+                          "l_orderkey long, l_linenumber int, l_partkey long, l_quantity double, l_extendedprice double, l_discount double") \
+         .write.parquet(f"{scratch}/lineitem.parquet")
+    updates = f"{scratch}/updates"
+    ingest.run_ingest(spark, ledger_blocks_path(spark, scratch), updates, f"{scratch}/ckpt", multi_line=False).awaitTermination()
+    log, events = spark.read.parquet(updates), lifecycle_event_table(spark, scratch)
+    assert all(f.endswith(".zstd.parquet") for f in [*log.inputFiles(), *events.inputFiles()])
+    assert ingest.current_state(spark, updates).count() == 29
+    assert events.where("function = 'CreateOrder' and tx % 20 = 0").count() == 29
