@@ -27,8 +27,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.functions import b64_encode, sha256_hex
+from orderlake.functions import b64_encode
 from orderlake.schemas import BLOCK
+from orderlake.sources.tables import DOCUMENT, ITEM_COLS, date_texts, dealt, header_fields, line_fields, read_table
 
 CHANNEL = "mychannel"
 CHAINCODE = "mycc"
@@ -89,17 +90,22 @@ def _write(key, value):
     return F.struct(key.cast("string").alias("key"), value.cast("string").alias("value"))
 
 
-#: The header of an order's document. Transactions carry the customer's id, from which its hash follows, as the rest of the envelope does.
-_DOC = ["orderId", "customerIdHash", "employee", "orderDate", "requiredDate", "shippedDate", "shipperID", "freight", "status", "approvedByOrg1"]
+#: What a transaction is made of; the rest of its order's header follows from these.
+_ORDER = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"]
+_LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_discount"]
 
 
-def _transaction(t):
-    """The envelope of one transaction: ``t`` holds its ``kind``, the order's ``key`` and document."""
-    k, oid, config, create = t["key"], t["orderId"], t["kind"] == "config", t["kind"] == "create"
-    fields = {c: t[c] for c in _DOC if c != "customerIdHash"} | {"customerIdHash": sha256_hex(t["customerId"])}
+def _transaction(t, lines):
+    """The envelope of one transaction: ``t`` holds its ``kind`` and the row of its order, ``lines`` the order lines of its block."""
+    fields = date_texts(header_fields(lambda c: t[c]))
+    k, oid, config, create = fields["orderKey"], fields["orderId"], t["kind"] == "config", t["kind"] == "create"
+    own = F.sort_array(F.filter(lines, lambda line: line["orderKey"] == k))
+    detail = F.struct(
+        oid.alias("orderId"), F.transform(own, lambda line: line["item"]).alias("items"),
+        F.aggregate(own, F.lit(0.0), lambda total, line: total + F.coalesce(line["item"]["price"], F.lit(0.0))).alias("total"))
     header_doc = F.to_json(F.struct(
-        *[fields[c].alias(c) for c in _DOC[:-2]], F.lit("CREATED").alias("status"), F.lit(False).alias("approvedByOrg1")))
-    public_doc = F.to_json(F.struct(*[fields[c].alias(c) for c in _DOC], t["OrderDetail"].alias("OrderDetail")))
+        *[fields[c].alias(c) for c in DOCUMENT[:-2]], F.lit("CREATED").alias("status"), F.lit(False).alias("approvedByOrg1")))
+    public_doc = F.to_json(F.struct(*[fields[c].alias(c) for c in DOCUMENT], detail.alias("OrderDetail")))
     create_action = _action(
         F.array(_b64(F.lit("CreateOrder")),
                 F.when(k % 19 == 0, F.concat(F.lit("raw:"), oid)).otherwise(_b64(oid))),
@@ -118,37 +124,42 @@ def _transaction(t):
     return _envelope(
         F.when(config, F.lit("")).otherwise(F.sha2(F.concat(F.lit("tx:"), t["kind"], F.lit(":"), oid), 256)),
         F.when(config, F.lit("1970-01-01T00:00:00Z")).otherwise(
-            F.concat(F.regexp_replace(t["orderDate"], " ", "T"), F.lit("Z"))),
+            F.concat(F.regexp_replace(fields["orderDate"], " ", "T"), F.lit("Z"))),
         F.when(config, F.lit("OrdererMSP")).otherwise(F.lit("Org2MSP")),
         F.when(config, F.lit(ORDERER_CERT)).otherwise(F.lit(ORG2_CERT)),
         F.when(create, F.array(create_action)).when(~config, F.array(approve_action)))
 
 
-def blocks_from_documents(docs: DataFrame) -> DataFrame:
-    """Build blocks from typed public order documents with their ``orderKey`` (long) and ``customerId`` columns.
+def blocks_from_rows(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """Build blocks from the rows of ``orders`` and ``lineitem``.
 
-    The transactions go to their blocks as the typed fields they are made of; the envelopes, with their texts
-    and base64 values several times as long, are spelled out inside the block.
+    One shuffle: the transactions, as the rows of their orders, and the lines, as read, go to their blocks together; the documents and
+    envelopes, with their texts and base64 values several times as long, are spelled out inside the block.
     """
-    k = F.col("orderKey")
+    k = F.col("o_orderkey")
 
-    def tx(kind: str, offset: int, slot: int, detail):
-        return F.struct((F.floor(k / 5) + offset).cast("long").alias("block"), ((k % 5) * 2 + slot).cast("long").alias("pos"),
-                        F.struct(F.lit(kind).alias("kind"), k.alias("key"), "customerId", *[c for c in _DOC if c != "customerIdHash"], detail.alias("OrderDetail")).alias("tx"))
+    def block(key, offset: int):
+        return (F.floor(key / 5) + offset).cast("long").alias("block")
 
-    detail = docs.schema["OrderDetail"].dataType
-    all_tx = docs.select(F.explode(F.filter(F.array(
-        tx("create", 1, 0, F.lit(None).cast(detail)),
-        F.when(F.col("approvedByOrg1"), tx("approve", 4, 1, F.col("OrderDetail"))),
+    def tx(kind: str, offset: int, slot: int):
+        return F.struct(block(k, offset), F.struct(((k % 5) * 2 + slot).cast("long").alias("pos"), F.lit(kind).alias("kind"), *_ORDER).alias("tx"))
+
+    txs = orders.select(F.explode(F.filter(F.array(
+        tx("create", 1, 0),
+        F.when(header_fields()["approvedByOrg1"], tx("approve", 4, 1)),
     ), lambda t: t.isNotNull())).alias("t")).select("t.*")
-    fields = all_tx.schema["tx"].dataType.fields
-    genesis = docs.sparkSession.range(1).select(
-        F.lit(0).cast("long").alias("block"), F.lit(0).cast("long").alias("pos"),
-        F.struct(F.lit("config").alias("kind"), *[F.lit(None).cast(f.dataType).alias(f.name) for f in fields[1:]]).alias("tx"))
-
-    txs = F.transform("txs", lambda t: F.struct(t["pos"].alias("pos"), _transaction(t["tx"]).alias("env")))
-    blocks = all_tx.unionByName(genesis).groupBy("block").agg(F.collect_list(F.struct("pos", "tx")).alias("txs"))
-    blocks = blocks.select("block", F.sort_array(txs).alias("txs"))
+    genesis = orders.sparkSession.range(1).select(
+        F.lit(0).cast("long").alias("block"),
+        F.struct(F.lit(0).cast("long").alias("pos"), F.lit("config").alias("kind"),
+                 *[F.lit(None).cast(orders.schema[c].dataType).alias(c) for c in _ORDER]).alias("tx"))
+    lines = lineitem.where(F.col("l_orderkey").isNotNull()).select(block(F.col("l_orderkey"), 4), F.struct(*_LINE).alias("line"))
+    met = dealt(txs.unionByName(genesis).unionByName(lines, allowMissingColumns=True), orders.count() + lineitem.count(), "block")
+    line = line_fields(lambda c: F.col("line")[c])
+    item = F.struct(F.col("line")["l_orderkey"].alias("orderKey"), line["lineNumber"].alias("lineNumber"),
+                    F.struct(*[line[c].alias(c) for c in ITEM_COLS]).alias("item"))
+    met = met.groupBy("block").agg(F.collect_list("tx").alias("txs"), F.collect_list(F.when(F.col("line").isNotNull(), item)).alias("lines"))
+    envelopes = F.transform("txs", lambda t: F.struct(t["pos"].alias("pos"), _transaction(t, F.col("lines")).alias("env")))
+    blocks = met.where(F.size("txs") > 0).select("block", F.sort_array(envelopes).alias("txs"))
     n = F.col("block")
     return blocks.select(
         F.struct(
@@ -171,8 +182,6 @@ _MATERIALIZED: dict[tuple, str] = {}
 
 def _source_key(spark: SparkSession, sf_dir: str) -> tuple:
     """The application and the files read, so that tables written anew are derived anew."""
-    from orderlake.sources.tables import read_table
-
     files = [f for t in ("orders", "lineitem") for f in sorted(read_table(spark, sf_dir, t).inputFiles())]
     return (spark.sparkContext.applicationId, sf_dir, *files)
 
@@ -207,8 +216,4 @@ def ledger_blocks_path(spark: SparkSession, sf_dir: str) -> str:
 
 
 def blocks_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from orderlake.sources.tables import read_table, typed_documents
-
-    docs = typed_documents(read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "lineitem"),
-                           keep_key=True)
-    return blocks_from_documents(docs)
+    return blocks_from_rows(read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "lineitem"))
