@@ -4,6 +4,10 @@ The state holds ledger positions and flags, never documents: who the customer is
 commands that supplied the current metadata, details and shared details. Each command gives a row with its verdict and the
 state after it; metadata and details are looked up in the log by position (``operators.lifecycle``).
 
+The states of a few thousand orders lie packed in one bucket of the state store, as an Arrow table: a call and a frame for each order
+cost several times the replay itself. A trigger reads and writes the buckets that its commands touch, so the number of
+buckets (``buckets``, fixed by the first run on a checkpoint) is chosen for the number of orders.
+
 Commands of one trigger are taken in ledger order, whatever order they arrive in; a later trigger must hold later blocks, as
 it does when a log is appended block by block. The rules and wordings are those of ``operators.lifecycle``.
 """
@@ -14,6 +18,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -31,21 +36,30 @@ OUTPUT = ("orderId string, block long, tx long, function string, org string, acc
 
 _COLUMNS = pd.Index([c.split()[0] for c in OUTPUT.split(", ")])
 
+#: Buckets of orders in the state store.
+BUCKETS = 1024
+_DTYPES = {"string": object, "long": np.int64, "boolean": bool}
+_OUT = [(c, _DTYPES[t]) for c, t in (x.split() for x in OUTPUT.split(", "))]
+_COMMAND = ("block", "tx", "function", "org", "claim", "full")
+_ARROW = {"string": pa.string(), "long": pa.int64(), "boolean": pa.bool_()}
+_PACKED = pa.schema([("orderId", pa.string()), *((c, _ARROW[t]) for c, t in (x.split() for x in _STATE.split(", ")))])
+
+_ALLOWED = {L.CREATE: (L.ORG2,), L.SHARE: (L.ORG2,), L.CREATE_APPROVE: (L.ORG2,), L.VERIFY: (L.ORG1,), L.PUBLISH: (L.ORG1, L.ORG2)}
+_WORDS = {L.CREATE: "create_org", L.SHARE: "share_org", L.CREATE_APPROVE: "caa_org", L.VERIFY: "verify_org", L.PUBLISH: "publish_org"}
+
 
 def step(state: tuple, order_id: str, block: int, tx: int, function: str, org: str, claim: str | None, full: bool) -> tuple[tuple, str | None]:
     """The state after one command, and why it was rejected (None: accepted)."""
     made, made_block, made_tx, status, approved, detail_block, detail_tx, from_block, from_tx, shared = state
     there = made is not None
-    allowed = {L.CREATE: (L.ORG2,), L.SHARE: (L.ORG2,), L.CREATE_APPROVE: (L.ORG2,), L.VERIFY: (L.ORG1,), L.PUBLISH: (L.ORG1, L.ORG2)}
-    words = {L.CREATE: "create_org", L.SHARE: "share_org", L.CREATE_APPROVE: "caa_org", L.VERIFY: "verify_org", L.PUBLISH: "publish_org"}
 
     def held(since: int, collection: str) -> bool:
         return since >= 0 and block - since <= L.COLLECTION_TTL[collection]
 
-    if function not in allowed:
+    if function not in _ALLOWED:
         return state, L.MSG["unknown"]
-    if org not in allowed[function]:
-        return state, L.MSG[words[function]]
+    if org not in _ALLOWED[function]:
+        return state, L.MSG[_WORDS[function]]
     if function == L.CREATE:
         if there:
             return state, L.MSG["create_exists"].replace("<orderId>", order_id)
@@ -77,26 +91,60 @@ def step(state: tuple, order_id: str, block: int, tx: int, function: str, org: s
     return (made, made_block, made_tx, status, approved, from_block, from_tx, from_block, from_tx, shared), None
 
 
+def _verdict(state: tuple, order_id: str, block: int, tx: int, function: str, org: str, claim: str | None, full: bool) -> tuple[tuple, tuple]:
+    """The state after a command, and its row of the output."""
+    state, reason = step(state, order_id, int(block), int(tx), function, org, claim, bool(full))
+    made, made_block, made_tx, status, approved, detail_block, detail_tx, *_ = state
+    return state, (order_id, block, tx, function, org, reason is None, reason, made, made_block, made_tx, status, approved, detail_block, detail_tx)
+
+
 def _fold(key: tuple, batches: Iterable[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
+    """The commands of one order."""
     state = held.get if held.exists else _EMPTY
-    # a handful of commands for an order: as plain tuples they take a fraction of what frames of them cost
-    rows = [r for b in batches for r in zip(*(b[c].tolist() for c in ("block", "tx", "function", "org", "claim", "full")))]
+    rows = [r for b in batches for r in zip(*(b[c].tolist() for c in _COMMAND))]
     rows.sort(key=lambda r: r[:2])
     out = []
-    for block, tx, function, org, claim, full in rows:
-        state, reason = step(state, key[0], int(block), int(tx), function, org, claim, bool(full))
-        made, made_block, made_tx, status, approved, detail_block, detail_tx, *_ = state
-        out.append((key[0], block, tx, function, org, reason is None, reason, made, made_block, made_tx, status, approved, detail_block, detail_tx))
+    for r in rows:
+        state, row = _verdict(state, key[0], *r)
+        out.append(row)
     held.update(state)
     yield pd.DataFrame(np.array(out, dtype=object), columns=_COLUMNS)
 
 
-def replay_stream(events: DataFrame) -> DataFrame:
+def _pack(states: dict[str | None, tuple]) -> bytes:
+    columns = zip(*((k, *v) for k, v in states.items()))
+    table = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _PACKED)], schema=_PACKED)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, _PACKED, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpack(packed: bytes) -> dict[str | None, tuple]:
+    names, *columns = (c.to_pylist() for c in pa.ipc.open_stream(packed).read_all().columns)
+    return dict(zip(names, zip(*columns)))
+
+
+def _fold_bucket(key: tuple, batches: Iterable[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
+    """The commands of the orders of one bucket."""
+    states = _unpack(bytes(held.get[0])) if held.exists else {}
+    rows = [r for b in batches for r in zip(*(b[c].tolist() for c in ("orderId", *_COMMAND)))]
+    rows.sort(key=lambda r: r[1:3])
+    out = []
+    for order_id, *command in rows:
+        states[order_id], row = _verdict(states.get(order_id, _EMPTY), order_id, *command)
+        out.append(row)
+    held.update((_pack(states),))
+    yield pd.DataFrame({c: np.array(values, dtype) for (c, dtype), values in zip(_OUT, zip(*out))})
+
+
+def replay_stream(events: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """A row for each command of the stream ``events`` with its verdict and the state after it."""
     commands = events.select(
         "orderId", F.col("block").cast("long").alias("block"), F.col("tx").cast("long").alias("tx"), "function", "org", sha256_hex("customerId").alias("claim"),
         (F.col("customerId").isNotNull() & F.col("order").isNotNull() & F.col("orderDetails").isNotNull()).alias("full"))
-    return commands.groupBy("orderId").applyInPandasWithState(_fold, OUTPUT, _STATE, "append", GroupStateTimeout.NoTimeout)
+    dealt = commands.withColumn("bucket", F.pmod(F.xxhash64("orderId"), F.lit(buckets)).cast("int"))
+    return dealt.groupBy("bucket").applyInPandasWithState(_fold_bucket, OUTPUT, "packed binary", "append", GroupStateTimeout.NoTimeout)
 
 
 def run_replay(events: DataFrame, log_path: str, checkpoint_path: str):
