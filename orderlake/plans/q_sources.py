@@ -100,11 +100,15 @@ def block_files_per_trigger(spark, sf) -> int:
        FROM tx WHERE kind <> 'config'
        QUALIFY row_number() OVER (PARTITION BY orderId ORDER BY block DESC, pos DESC) = 1""", tx=_TX))
 def q_stream_latest_orders(spark, sf):
-    """T1 + T2: block files streamed (several triggers), stateful latest write per order."""
+    """T1 + T2: block files streamed (several triggers), stateful latest write per order.
+
+    The result names ledger positions, so state and log hold these: no document is read out of them, and the planner cannot see that through the state.
+    """
     from orderlake.streaming import ingest
 
     blocks = ledger_blocks_path(spark, sf)
     writes = ledger.order_writes(ingest.block_stream(spark, blocks, multi_line=False, max_files_per_trigger=block_files_per_trigger(spark, sf)))
+    writes = writes.select("orderId", *ledger.ORDER_KEY_COLS)
     updates = scratch_path(spark, "latest_orders")
     q = ingest.run_latest(ingest.latest_order_stream(writes), updates, scratch_path(spark, "stream_ckpt"))
     q.awaitTermination()
