@@ -177,7 +177,9 @@ def links(prints: DataFrame, distance: int = DISTANCE, shard_nodes: int = SHARD_
     """Edges (src, dst) over the distinct ``fp`` of ``prints`` whose components are those of
     "differ in at most ``distance`` bits"."""
     shards = _shards(prints, distance, shard_nodes)
-    ordered = shards.repartition("mask", "key").sortWithinPartitions("mask", "key", "fp")
+    # by a hash of its own: a deal by the columns that the join above met on would be taken for done, and is undone where that join is turned into
+    # a broadcast one, so that a shard lay in several tasks
+    ordered = shards.repartition(F.xxhash64("mask", "key")).sortWithinPartitions("mask", "key", "fp")
 
     def run(batches):
         shard, values = None, []
